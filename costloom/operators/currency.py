@@ -41,24 +41,24 @@ def fx_asof(df: DataFrame, rates: DataFrame, currency: str, date_col: str, out:
     # Few rows per currency by construction: one per day at most.
     intervals = daily.selectExpr(
         "currency",
-        "date AS __from",
-        "lead(date) OVER (PARTITION BY currency ORDER BY date) AS __until",
+        "date AS __fx_from",
+        "lead(date) OVER (PARTITION BY currency ORDER BY date) AS __fx_until",
         "rate",
     )
     last_month = daily.agg(F.max(_month(F.col("date")))).scalar()
-    until = F.coalesce(_month(F.col("__until")), last_month)
-    listed = intervals.withColumn("__m", F.explode(F.sequence(_month(F.col("__from")), until)))
-    side = listed.select(F.col("currency").alias("__cur"), "__m", "__from", "__until", F.col("rate").alias(out))
+    until = F.coalesce(_month(F.col("__fx_until")), last_month)
+    listed = intervals.withColumn("__fx_month", F.explode(F.sequence(_month(F.col("__fx_from")), until)))
+    side = listed.select(F.col("currency").alias("__fx_currency"), "__fx_month", "__fx_from", "__fx_until", F.col("rate").alias(out))
     day = F.col(date_col).cast("date")
-    left = df.withColumn("__day", day)
-    bucket = F.least(_month(F.col("__day")), last_month)
+    left = df.withColumn("__fx_day", day)
+    bucket = F.least(_month(F.col("__fx_day")), last_month)
     match = (
-        (F.col(currency) == F.col("__cur"))
-        & (bucket == F.col("__m"))
-        & (F.col("__from") <= F.col("__day"))
-        & (F.col("__until").isNull() | (F.col("__day") < F.col("__until")))
+        (F.col(currency) == F.col("__fx_currency"))
+        & (bucket == F.col("__fx_month"))
+        & (F.col("__fx_from") <= F.col("__fx_day"))
+        & (F.col("__fx_until").isNull() | (F.col("__fx_day") < F.col("__fx_until")))
     )
-    return left.join(F.broadcast(side), match, "left").drop("__day", "__cur", "__m", "__from", "__until")
+    return left.join(F.broadcast(side), match, "left").drop("__fx_day", "__fx_currency", "__fx_month", "__fx_from", "__fx_until")
 
 
 def convert(
