@@ -4,12 +4,13 @@
 rows per key in every map task (WindowGroupLimit, partial) before the shuffle,
 so the size of a key does not matter.
 
-``ordered_scan`` computes running values. A plain running window puts a whole
-key into one task. Here keys above ``hot_rows`` rows are cut into ordered
-chunks (``levels``, coarse to fine); rows are scanned inside their chunk, chunk
-totals are scanned per parent chunk, and the two are combined. Other keys keep
-one chunk. The only broadcast side is the list of hot keys and their chunks,
-whose length is at most rows / hot_rows keys.
+``ordered_scan`` computes running values. A running window puts a whole key into
+one task, which is right until a key is too big for one. So the sizes are
+checked first, by one aggregate of the key columns. When no key is above
+``hot_rows`` rows the plain window is used. Otherwise hot keys are cut into
+ordered chunks (``levels``, coarse to fine): rows are scanned inside their
+chunk, chunk totals are scanned per parent chunk, and the two are combined. The
+only broadcast side is the list of hot keys, at most rows / hot_rows long.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 HOT_ROWS = 2_000_000
 _HOT = "__hot"
 _ROW = "__rn"
@@ -73,13 +76,20 @@ def _combine(kind: str, before: Column, here: Column) -> Column:
 
 
 def mark_chunks(df: DataFrame, keys: Sequence[str], levels: Sequence[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add chunk columns: the given levels for hot keys, one chunk for the rest."""
+    """``df`` with chunk columns if a key is hot, else unchanged.
+
+    Hot keys get the given levels, other keys one chunk. The marked frame is
+    checkpointed, since rows and chunk totals both start from it.
+    """
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_HOT)).filter(F.col(_HOT) > hot_rows)
+    if hot.isEmpty():
+        return df
     out = df.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), list(keys), "left")
     out = out.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
-    return out.withColumns(
+    out = out.withColumns(
         {_level(i): F.when(F.col(_HOT), level.cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, level in enumerate(levels)}
     )
+    return settle(out)
 
 
 def drop_chunks(df: DataFrame) -> DataFrame:
@@ -101,6 +111,8 @@ def scan_chunks(
     inner = Window.partitionBy(*keys, *levels).orderBy(*map(direction, order))
     upto, before = (inner.rowsBetween(Window.unboundedPreceding, e) for e in (0, -1))
     here = df.withColumns({r.name: _over(r.kind, r.value, before if r.exclusive else upto) for r in running})
+    if not levels:
+        return here
 
     position = F.struct(*order)
     totals = df.filter(_HOT).groupBy(*keys, *levels).agg(
@@ -111,7 +123,7 @@ def scan_chunks(
     # Rows are already partitioned and sorted by keys and levels: no new shuffle.
     out = here.join(renamed, [*keys, *levels], "left")
     out = out.withColumns({r.name: _combine(r.kind, F.col(f"__off_{r.name}"), F.col(r.name)) for r in running})
-    return out.drop(*[f"__off_{r.name}" for r in running])
+    return settle(out.drop(*[f"__off_{r.name}" for r in running]))
 
 
 def _chunk_offsets(totals: DataFrame, keys, levels, running, reverse) -> DataFrame:

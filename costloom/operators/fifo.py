@@ -16,8 +16,10 @@ from ..functions.ordered import HOT_ROWS, Running, drop_chunks, mark_chunks, ord
 
 QTY = "decimal(18,4)"
 MONEY = "decimal(36,8)"
+KNOT = f"struct<at: decimal(29,4), cost: {MONEY}, price: {QTY}>"
 ID_CHUNK = 1 << 40
 POSITION_CHUNK = 1 << 16
+EVENT_ORDER = ["day", "kind", "id"]
 
 
 def _events(layers: DataFrame, issues: DataFrame) -> DataFrame:
@@ -27,13 +29,16 @@ def _events(layers: DataFrame, issues: DataFrame) -> DataFrame:
     return received.unionByName(issued)
 
 
+def _event_levels() -> list[Column]:
+    return [F.unix_date("day"), F.col("kind").cast("bigint") * F.lit(1 << 30) + F.floor(F.col("id") / F.lit(ID_CHUNK))]
+
+
 def _intervals(layers: DataFrame, issues: DataFrame, hot_rows: int) -> DataFrame:
     """Events with their stretch [lo, hi) of the received-quantity axis."""
     is_layer = F.col("kind") == 0
     zero = F.lit(0).cast(QTY)
-    levels = [F.unix_date("day"), F.col("kind").cast("bigint") * F.lit(1 << 30) + F.floor(F.col("id") / F.lit(ID_CHUNK))]
-    events = mark_chunks(_events(layers, issues), ["product_id"], levels, hot_rows)
-    order = ["day", "kind", "id"]
+    events = mark_chunks(_events(layers, issues), ["product_id"], _event_levels(), hot_rows)
+    order = EVENT_ORDER
     events = scan_chunks(
         events,
         ["product_id"],
@@ -73,28 +78,25 @@ def fifo_cost(layers: DataFrame, issues: DataFrame, hot_rows: int = HOT_ROWS) ->
     so far; an issue before any receipt costs 0.
     """
     spans = _intervals(layers, issues, hot_rows)
-    dec = F.lit(None)
-    knots = spans.filter((F.col("kind") == 0) & (F.col("qty") > 0)).select(
-        "product_id",
-        F.col("lo").alias("pos"),
-        F.lit(0).alias("probe"),
-        "id",
-        F.struct(
-            F.col("lo").alias("at"), (F.col("cum_cost") - F.col("qty") * F.col("price")).cast(MONEY).alias("cost"), "price"
-        ).alias("knot"),
-        *[dec.cast(t).alias(n) for n, t in (("qty", QTY), ("covered", "decimal(28,4)"), ("last_price", QTY))],
+    knot = F.struct(
+        F.col("lo").alias("at"), (F.col("cum_cost") - F.col("qty") * F.col("price")).cast(MONEY).alias("cost"), F.col("price")
     )
-    ends = spans.filter(F.col("kind") == 1).select(
+    no_knot = F.lit(None).cast(KNOT)
+    point = lambda pos, probe, at: F.struct(F.col(pos).alias("pos"), F.lit(probe).alias("probe"), at.alias("knot"))
+    # A layer is one knot, an issue two probes; an empty layer has no stretch.
+    rows = F.when(F.col("kind") == 1, F.array(point("lo", 1, no_knot), point("hi", 2, no_knot))).when(
+        F.col("qty") > 0, F.array(point("lo", 0, knot.cast(KNOT)))
+    )
+    marks = spans.select(
         "product_id",
-        F.explode(F.array(F.struct(F.col("lo").alias("pos"), F.lit(1).alias("probe")), F.struct(F.col("hi").alias("pos"), F.lit(2).alias("probe")))).alias("end"),
         "id",
         "qty",
         (F.col("hi") - F.col("lo")).cast("decimal(28,4)").alias("covered"),
         "last_price",
-    )
-    ends = ends.select("product_id", "end.pos", "end.probe", "id", dec.cast(knots.schema["knot"].dataType).alias("knot"), "qty", "covered", "last_price")
+        F.explode(rows).alias("point"),
+    ).select("product_id", "id", "qty", "covered", "last_price", "point.*")
     points = ordered_scan(
-        knots.unionByName(ends),
+        marks,
         ["product_id"],
         ["pos", "probe", "id"],
         _position_levels(F.col("pos")),
@@ -125,9 +127,16 @@ def fifo_balance(layers: DataFrame, issues: DataFrame, hot_rows: int = HOT_ROWS)
     ``qty_to_here`` and ``price_to_here`` describe the first n remaining layers.
     """
     spans = _intervals(layers, issues, hot_rows)
-    taken = spans.groupBy("product_id").agg(F.max(F.when(F.col("kind") == 1, F.col("hi"))).alias("taken"))
-    left = spans.filter("kind = 0").join(taken, "product_id", "left")
-    remaining = F.greatest(F.lit(0).cast(QTY), F.least(F.col("qty"), F.col("hi") - F.coalesce("taken", F.lit(0).cast(QTY))))
+    zero = F.lit(0).cast(QTY)
+    # The end of the last issue: the ends never fall, so the greatest one.
+    end = F.when(F.col("kind") == 1, F.col("hi"))
+    levels = _event_levels()
+    spans = mark_chunks(spans, ["product_id"], levels, hot_rows)
+    spans = scan_chunks(spans, ["product_id"], EVENT_ORDER, [Running("__later", "max", end)], reverse=True)
+    spans = scan_chunks(spans, ["product_id"], EVENT_ORDER, [Running("__earlier", "max", end)])
+    taken = F.coalesce(F.greatest("__later", "__earlier"), zero)
+    left = drop_chunks(spans).filter("kind = 0")
+    remaining = F.greatest(zero, F.least(F.col("qty"), F.col("hi") - taken))
     left = left.select("product_id", "id", "day", "price", remaining.cast(QTY).alias("remaining"))
     out = ordered_scan(
         left,

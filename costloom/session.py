@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Set on any session the library is used with; all are runtime settings.
 RUNTIME_CONF = {
@@ -28,11 +30,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Shared folder for checkpoints: the cluster's setting, else ``fallback``."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-    return fallback
+def settle(df: DataFrame) -> DataFrame:
+    """Checkpoint: cut the lineage and keep the rows in the shared folder.
+
+    The folder is the cluster's ``spark.checkpoint.dir``; only where that is
+    unset, as in tests, a folder of our own is used. Survives a lost executor.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="costloom-"))
+    return df.checkpoint()
