@@ -31,9 +31,13 @@ REPLACEMENT = "�"  # what a decoder leaves where bytes were not UTF-8
 
 
 def newer_than(feed: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Rows written after the watermark; without one everything since 2000."""
-    limit = F.lit(watermark or FULL_RELOAD_WATERMARK).cast("timestamp")
-    return feed.filter(F.col("write_date").cast("timestamp") > limit)
+    """Rows written after the watermark; without one everything since 2000.
+
+    Raw feeds compare as ISO text, so a malformed date is not lost here but
+    rejected with its reason by ``parse_feed``.
+    """
+    kind = feed.schema["write_date"].dataType
+    return feed.filter(F.col("write_date") > F.lit(watermark or FULL_RELOAD_WATERMARK).cast(kind))
 
 
 def feed_width_check(raw: DataFrame) -> DataFrame:
