@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,9 +45,17 @@ def last_tax_rate(taxes: Column) -> Column:
     return F.coalesce(F.try_element_at(taxes, F.lit(-1)) / F.lit(100.0), F.lit(0.0))
 
 
+WHITE_SPACE = " \t\n\x0b\x0c\r"
+
+
 def py_strip(text: Column) -> Column:
     """Strip every kind of white space, not only blanks as ``trim`` does."""
-    return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
+def any_of(conditions: list[Column]) -> Column:
+    """True when a condition holds; an unknown one does not."""
+    return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions], F.lit(False))
 
 
 def normalize_code(code: Column) -> Column:

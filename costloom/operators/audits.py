@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import CUSTOMER_TYPES, py_strip
+from ..functions.columns import CUSTOMER_TYPES, any_of, py_strip
 from ..schemas import SHEET_COLUMNS
 
 # Fixed values of the supplier sheets.
@@ -18,7 +18,7 @@ OPEN_ORDER_STATES = ("draft", "sent")
 
 
 def validate_sheet(rows: DataFrame, product: DataFrame) -> DataFrame:
-    """Typed sheet rows with ``product_exists`` and an ``errors`` array of (column, reason).
+    """Typed sheet rows with ``product_exists``, ``invalid`` and ``errors`` of (column, reason).
 
     Rows with an empty code are skipped. A required cell may be empty only when
     the product exists already; empty cells then keep the stored value.
@@ -33,11 +33,11 @@ def validate_sheet(rows: DataFrame, product: DataFrame) -> DataFrame:
     step = step.join(known, "__code", "left").join(parents, "__parent", "left")
     exists = F.coalesce("product_exists", F.lit(False))
 
-    errors: list[Column] = []
+    errors: list[tuple[Column, Column]] = []
     values: dict[str, Column] = {}
 
     def fail(column: str, when: Column, reason: str) -> None:
-        errors.append(F.when(when, F.struct(F.lit(column).alias("column"), F.lit(reason).alias("reason"))))
+        errors.append((when, F.struct(F.lit(column).alias("column"), F.lit(reason).alias("reason"))))
 
     def filled(column: str) -> Column:
         cell = F.col(column)
@@ -75,17 +75,18 @@ def validate_sheet(rows: DataFrame, product: DataFrame) -> DataFrame:
 
     keep = [c for c in rows.columns if c not in SHEET_COLUMNS]
     return step.select(
-        *keys_of(keep), *[values[c].alias(c) for c in SHEET_COLUMNS], exists.alias("product_exists"), F.array_compact(F.array(*errors)).alias("errors")
+        *keep,
+        *[values[c].alias(c) for c in SHEET_COLUMNS],
+        exists.alias("product_exists"),
+        any_of([bad for bad, _ in errors]).alias("invalid"),
+        F.array_compact(F.array(*[F.when(bad, why) for bad, why in errors])).alias("errors"),
     )
 
 
-def keys_of(names: list[str]) -> list[Column]:
-    return [F.col(n) for n in names]
-
-
 def sheet_errors(checked: DataFrame) -> DataFrame:
     """One row per error of a validated sheet row."""
-    return checked.select("upload_id", "vendor_ref", "sheet_no", "row_no", F.explode("errors").alias("e")).select(
+    bad = checked.filter("invalid")
+    return bad.select("upload_id", "vendor_ref", "sheet_no", "row_no", F.explode("errors").alias("e")).select(
         "upload_id", "vendor_ref", "sheet_no", "row_no", "e.column", "e.reason"
     )
 
@@ -108,13 +109,13 @@ def sheet_gate(checked: DataFrame, vendors: DataFrame | None = None) -> DataFram
     sheets stay loaded; nothing of the failing one or later ones is. An
     ambiguous vendor aborts the upload, so none of its sheets load.
     """
-    bad = checked.filter(F.size("errors") > 0).select("upload_id", "sheet_no")
+    bad = checked.filter("invalid").select("upload_id", "sheet_no")
     if vendors is not None:
         failed = F.when(F.col("status") == "ambiguous", F.lit(-1)).otherwise(F.col("sheet_no"))
         bad = bad.unionByName(vendors.filter(F.col("status") != "ok").select("upload_id", failed.alias("sheet_no")))
     first = bad.groupBy("upload_id").agg(F.min("sheet_no").alias("__first_bad"))
     out = checked.join(first, "upload_id", "left")
-    return out.filter(F.col("__first_bad").isNull() | (F.col("sheet_no") < F.col("__first_bad"))).drop("__first_bad", "errors")
+    return out.filter(F.col("__first_bad").isNull() | (F.col("sheet_no") < F.col("__first_bad"))).drop("__first_bad", "invalid", "errors")
 
 
 def upsert_supplier_products(current: DataFrame, loaded: DataFrame, company_currency: str) -> DataFrame:

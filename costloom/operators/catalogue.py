@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import cost_per_unit, normalize_code, py_strip
+from ..functions.columns import any_of, cost_per_unit, normalize_code
 from ..functions.ordered import top_k
 from ..schemas import CORRUPT, FEED_COLUMNS
 
@@ -46,17 +46,18 @@ def feed_width_check(raw: DataFrame) -> DataFrame:
 
 
 def parse_feed(raw: DataFrame) -> DataFrame:
-    """Typed feed rows with an ``errors`` array; see ``good_rows`` and ``reject_rows``.
+    """Typed feed rows with ``invalid`` and the ``errors`` behind it.
 
-    Empty optional cells keep a default. The pack cost is divided by the pack
+    See ``good_rows`` and ``reject_rows``: the flag is a plain predicate, so
+    the array of reasons is only built for rows that have one. Empty optional cells keep a default. The pack cost is divided by the pack
     size. A row with any error is rejected alone.
     """
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    errors: list[Column] = []
+    errors: list[tuple[Column, Column]] = []
 
     def text(name: str, optional: bool) -> Column:
         bad = ~F.is_valid_utf8(F.col(name)) | F.col(name).contains(REPLACEMENT)
-        errors.append(F.when(bad, F.lit(f"{name}: not UTF-8")))
+        errors.append((bad, F.lit(f"{name}: not UTF-8")))
         return F.when(empty(name), F.lit(None)).otherwise(F.col(name)) if optional else F.coalesce(name, F.lit(""))
 
     def number(name: str, pattern: str, type_: str, required: bool = False) -> Column:
@@ -64,7 +65,7 @@ def parse_feed(raw: DataFrame) -> DataFrame:
         bad = ~F.col(name).rlike(pattern) & (~missing if not required else F.lit(True))
         if required:
             bad = missing | bad
-        errors.append(F.when(bad, F.concat(F.lit(f"{name}: not a number: "), F.coalesce(name, F.lit("")))))
+        errors.append((bad, F.concat(F.lit(f"{name}: not a number: "), F.coalesce(name, F.lit("")))))
         value = F.when(F.col(name).rlike(pattern), F.expr(f"try_cast(trim({name}) AS {type_})"))
         return F.when(missing, F.lit(0).cast(type_)).otherwise(value)
 
@@ -84,25 +85,30 @@ def parse_feed(raw: DataFrame) -> DataFrame:
         "item_code": text("item_code", optional=False),
         "write_date": F.expr("try_to_timestamp(write_date, 'yyyy-MM-dd HH:mm:ss')"),
     }
-    errors.append(F.when(typed["upv"] == 0, F.lit("upv: pack size is zero")))
-    errors.append(F.when(typed["write_date"].isNull(), F.lit("write_date: not a timestamp")))
+    errors.append((typed["upv"] == 0, F.lit("upv: pack size is zero")))
+    errors.append((typed["write_date"].isNull(), F.lit("write_date: not a timestamp")))
     if CORRUPT in raw.columns:
-        errors.append(F.when(F.col(CORRUPT).isNotNull(), F.lit(f"row: not {len(FEED_COLUMNS)} columns")))
+        errors.append((F.col(CORRUPT).isNotNull(), F.lit(f"row: not {len(FEED_COLUMNS)} columns")))
     keep = [c for c in raw.columns if c not in FEED_COLUMNS and c != CORRUPT]
-    out = raw.select(*keep, *[v.alias(k) for k, v in typed.items()], F.array_compact(F.array(*errors)).alias("errors"))
+    out = raw.select(
+        *keep,
+        *[v.alias(k) for k, v in typed.items()],
+        any_of([bad for bad, _ in errors]).alias("invalid"),
+        F.array_compact(F.array(*[F.when(bad, why) for bad, why in errors])).alias("errors"),
+    )
     return out.withColumn("cost", cost_per_unit(F.col("pack_cost"), F.col("upv")))
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
     """Accepted rows with the fixed product defaults."""
-    good = parsed.filter(F.size("errors") == 0).drop("errors")
+    good = parsed.filter(~F.col("invalid")).drop("invalid", "errors")
     return good.withColumns({k: F.lit(v) for k, v in PRODUCT_DEFAULTS.items()})
 
 
 def reject_rows(parsed: DataFrame) -> DataFrame:
     """One row per reason of a rejected feed row."""
-    return parsed.filter(F.size("errors") > 0).select(
-        *[c for c in parsed.columns if c != "errors"], F.explode("errors").alias("reason")
+    return parsed.filter("invalid").select(
+        *[c for c in parsed.columns if c not in ("invalid", "errors")], F.explode("errors").alias("reason")
     )
 
 

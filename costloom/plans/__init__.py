@@ -1,4 +1,4 @@
 """Every runnable query of the library, by topic."""
 
-from . import audits, catalogue, costing, fifo, kpis, prices, repairs, sales, stock  # noqa: F401
+from . import audits, catalogue, costing, fifo, flows, kpis, prices, repairs, sales, stock  # noqa: F401
 from .registry import CHECKS, QUERIES  # noqa: F401

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import audits
-from ..schemas import CELL, SHEET_COLUMNS
+from ..schemas import SHEET_COLUMNS
 from ..sources.tables import Tables
 from .catalogue import flat
 from .common import dated_lines, rounded
@@ -47,7 +47,7 @@ def sheets(t: Tables):
         kind = F.col(f"{c}_kind")
         text = F.when(kind == "text", F.col(f"{c}_text") if c in TEXT else F.lit("x"))
         number = F.when(kind.isin("int", "float"), F.col(f"{c}_num") if c in NUMBER else F.lit(1.0))
-        return F.struct(text.alias("text"), number.alias("num"), kind.alias("kind")).cast(CELL).alias(c)
+        return F.struct(text.alias("text"), number.alias("num"), kind.alias("kind")).alias(c)
 
     return raw.select("upload_id", "sheet_no", "row_no", "vendor_ref", *[cell(c) for c in SHEET_COLUMNS])
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import apply_runtime_conf
 from ..sources.tables import Tables, ansi_prelude, read_erp
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,7 @@ def query(check: str | None = None):
         name = fn.__name__
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            apply_runtime_conf(spark)
             return fn(read_erp(spark, folder))
 
         run.__name__ = name

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,9 +13,16 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes; split such stages instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def apply_runtime_conf(spark: SparkSession) -> None:
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the local bench; a cluster job brings its own."""
     builder = (
@@ -30,15 +38,25 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder all executors can reach: below ``spark.checkpoint.dir``.
+
+    A temporary folder of this machine is used only where that is unset, as in
+    tests.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return f"{configured.rstrip('/')}/costloom-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix="costloom-")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Checkpoint: cut the lineage and keep the rows in the shared folder.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is
-    unset, as in tests, a folder of our own is used. Survives a lost executor.
+    The rows outlive a lost executor. A checkpoint folder that is already set
+    is kept.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="costloom-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -20,9 +20,12 @@ STOCK_HEADER = {
 }
 
 
-def write_daily(feed: DataFrame, path: str, mode: str = "append") -> None:
-    """One folder per write date. Rows spread over all tasks: a busy day is not one task."""
-    out = feed.select(*FEED_COLUMNS).withColumn("day", F.substring("write_date", 1, 10))
+DAY, MONTH = 10, 7  # characters of an ISO date
+
+
+def write_daily(feed: DataFrame, path: str, mode: str = "append", period: int = DAY) -> None:
+    """One folder per write date (or month). Rows stay spread: a busy day is not one task."""
+    out = feed.select(*FEED_COLUMNS).withColumn("day", F.substring("write_date", 1, period))
     out.write.partitionBy("day").mode(mode).option("quoteAll", "false").option("escape", '"').csv(path)
 
 

@@ -10,6 +10,8 @@ from ..functions.ordered import top_k
 from ..schemas import BARCODE_FILE, CODE_NAME, CORRUPT, FEED, ITEM_FILE, SHEET
 
 CSV = {"header": "false", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "encoding": "UTF-8"}
+# Rows of a wrong width are only noticed when every column is parsed.
+CSV["columnPruning"] = "false"
 
 _PLACE = "__place"
 
