@@ -22,8 +22,7 @@ CATEGORY_ACCOUNTS = {
 PROTECTED_PREFIX = "996."
 FULL_RELOAD_WATERMARK = "2000-01-01 00:00:00"
 
-INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMERIC_TEXT = "0123456789+-.eE \t"
 REPLACEMENT = "�"  # what a decoder leaves where bytes were not UTF-8
 
 
@@ -60,28 +59,28 @@ def parse_feed(raw: DataFrame) -> DataFrame:
         errors.append((bad, F.lit(f"{name}: not UTF-8")))
         return F.when(empty(name), F.lit(None)).otherwise(F.col(name)) if optional else F.coalesce(name, F.lit(""))
 
-    def number(name: str, pattern: str, type_: str, required: bool = False) -> Column:
+    def number(name: str, type_: str, required: bool = False) -> Column:
         missing = empty(name)
-        bad = ~F.col(name).rlike(pattern) & (~missing if not required else F.lit(True))
-        if required:
-            bad = missing | bad
-        errors.append((bad, F.concat(F.lit(f"{name}: not a number: "), F.coalesce(name, F.lit("")))))
-        value = F.when(F.col(name).rlike(pattern), F.expr(f"try_cast(trim({name}) AS {type_})"))
+        value = F.expr(f"try_cast(trim({name}) AS {type_})")
+        bad = value.isNull()
+        if type_ == "double":  # the cast also takes NaN, hex and Java suffixes
+            bad = bad | (F.translate(name, NUMERIC_TEXT, "") != "")
+        errors.append((bad if required else ~missing & bad, F.concat(F.lit(f"{name}: not a number: "), F.coalesce(name, F.lit("")))))
         return F.when(missing, F.lit(0).cast(type_)).otherwise(value)
 
     typed = {
         "default_code": text("default_code", optional=False),
         "name": text("name", optional=True),
         "description_sale": text("description_sale", optional=True),
-        "pack_cost": number("pack_cost", NUMBER, "double"),
-        "upv": number("upv", INTEGER, "bigint"),
-        "weight": number("weight", NUMBER, "double"),
-        "volume": number("volume", NUMBER, "double"),
-        "wholesaler_bulk": number("wholesaler_bulk", INTEGER, "bigint", required=True),
-        "retail_bulk": number("retail_bulk", INTEGER, "bigint", required=True),
+        "pack_cost": number("pack_cost", "double"),
+        "upv": number("upv", "bigint"),
+        "weight": number("weight", "double"),
+        "volume": number("volume", "double"),
+        "wholesaler_bulk": number("wholesaler_bulk", "bigint", required=True),
+        "retail_bulk": number("retail_bulk", "bigint", required=True),
         "image_name": text("image_name", optional=True),
-        "warranty": number("warranty", NUMBER, "double"),
-        "iva": number("iva", NUMBER, "double"),
+        "warranty": number("warranty", "double"),
+        "iva": number("iva", "double"),
         "item_code": text("item_code", optional=False),
         "write_date": F.expr("try_to_timestamp(write_date, 'yyyy-MM-dd HH:mm:ss')"),
     }
