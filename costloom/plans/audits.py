@@ -24,7 +24,7 @@ SHEET_SQL = """
            CASE WHEN l.quantity = 44 AND l.line_no < 3 THEN 'EUR' ELSE p.currency END AS currency_text,
            CASE WHEN l.quantity = 40 THEN NULL ELSE 'text' END AS currency_kind,
            CASE WHEN l.quantity = 13 AND l.line_no = 1 THEN 'text' ELSE 'float' END AS cost_kind, abs(l.price_unit) AS cost_num,
-           CASE WHEN l.quantity = 14 AND l.line_no = 1 THEN NULL ELSE 'int' END AS price_kind, floor(abs(l.price_unit) * 1.5e0) AS price_num,
+           CASE WHEN l.quantity = 14 AND l.line_no = 1 THEN NULL ELSE 'int' END AS price_kind, CAST(floor(abs(l.price_unit) * 1.5e0) AS DOUBLE) AS price_num,
            p.name AS name_text, CASE WHEN l.line_no = 5 THEN NULL ELSE 'text' END AS name_kind,
            CASE WHEN l.quantity = 17 AND l.line_no = 2 THEN 0.5e0 WHEN l.vat_21 THEN 0.21e0 ELSE 0.105e0 END AS purchase_tax_num,
            CASE WHEN l.line_no = 6 THEN NULL ELSE 'float' END AS purchase_tax_kind,
