@@ -127,6 +127,29 @@ def loyalty_price(sale: DataFrame, partner: DataFrame) -> DataFrame:
     )
 
 
+def margin_column(agreed: Column | None = None, convert_negative_stock: bool = False) -> Column:
+    """The margin rule over a line joined with its product and both current rates.
+
+    Reads type, product_id, price_unit, discount, ``__rate_i`` (of the invoice
+    currency), business_mode, standard_price, today_cost, virtual_available and
+    ``__rate_p`` (of the product currency).
+    """
+    agreed = F.col("today_cost") if agreed is None else agreed
+    price = exchange(net_unit_price(F.col("price_unit"), F.col("discount")), F.col("__rate_i"), F.lit(1.0))
+    own = F.col("today_cost")
+    if convert_negative_stock:
+        own = exchange(own, F.col("__rate_p"), F.lit(1.0))
+    mode = F.coalesce("business_mode", F.lit("standard"))
+    cost = (
+        F.when(mode == "consignment", exchange(agreed, F.col("__rate_p"), F.lit(1.0)))
+        .when(F.col("virtual_available") >= 0, F.col("standard_price"))
+        .otherwise(own)
+    )
+    margin = F.when(mode == "undefined", F.lit(MARGIN_UNKNOWN)).otherwise(margin_ratio(price, cost))
+    customer = F.col("type").isin(*CUSTOMER_TYPES) & F.col("product_id").isNotNull()
+    return F.when(customer, margin)
+
+
 def line_margin(
     line: DataFrame,
     product: DataFrame,
@@ -150,27 +173,16 @@ def line_margin(
         "standard_price",
         "today_cost",
         "virtual_available",
-        F.coalesce("__rate_p", F.lit(1.0)).alias("__rate_p"),
+        "__rate_p",
     )
     out = with_current_rate(line, rates, "currency", "__rate_i", as_of).join(what, "product_id", "left")
-    agreed = F.col("today_cost")
+    agreed = None
     if historic is not None:
         past = historic.select(F.col("line_id").alias("id"), F.col("price").alias("__past"))
         out = out.join(past, "id", "left")
         agreed = F.col("__past")
-    price = exchange(net_unit_price(F.col("price_unit"), F.col("discount")), F.col("__rate_i"), F.lit(1.0))
-    own = F.col("today_cost")
-    if convert_negative_stock:
-        own = exchange(own, F.col("__rate_p"), F.lit(1.0))
-    mode = F.coalesce("business_mode", F.lit("standard"))
-    cost = (
-        F.when(mode == "consignment", exchange(agreed, F.col("__rate_p"), F.lit(1.0)))
-        .when(F.col("virtual_available") >= 0, F.col("standard_price"))
-        .otherwise(own)
-    )
-    margin = F.when(mode == "undefined", F.lit(MARGIN_UNKNOWN)).otherwise(margin_ratio(price, cost))
-    customer = F.col("type").isin(*CUSTOMER_TYPES) & F.col("product_id").isNotNull()
-    return out.withColumn("product_margin", F.when(customer, margin)).select(*line.columns, "product_margin")
+    margin = margin_column(agreed, convert_negative_stock)
+    return out.withColumn("product_margin", margin).select(*line.columns, "product_margin")
 
 
 def margin_backfill(product: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from ..functions.columns import (
     document_number,
 )
 from ..functions.fixed_point import exact_sum
+from .costing import margin_column
+from .currency import with_current_rate
 
 MEASURES = (
     "price_total",
@@ -73,9 +75,51 @@ def sales_fact(line: DataFrame, invoice: DataFrame, product: DataFrame, partner:
     Lines without invoice or partner drop out; a missing product does not drop
     a line. Join strategies are left to statistics and adaptive execution.
     """
-    inv = invoice.select(
+    head = _invoice_head(invoice, partner)
+    what = product.select(
+        F.col("id").alias("product_id"),
+        F.col("name").alias("name_template"),
+        F.col("categ_id").alias("product_category_id"),
+        "brand_id",
+    )
+    out = sales_measures(line).join(head, "invoice_id").join(what, "product_id", "left")
+    return _fact_columns(out)
+
+
+def margin_fact(
+    line: DataFrame, invoice: DataFrame, product: DataFrame, partner: DataFrame, rates: DataFrame, as_of: str | None = None
+) -> DataFrame:
+    """``sales_fact`` with margins and vendors computed on the way.
+
+    ``product`` also has business_mode, vendor_id and the columns of
+    ``costing.margin_column``. Everything of an invoice is joined at invoice
+    grain and everything of a product at product grain, so the lines meet each
+    side once.
+    """
+    head = _invoice_head(with_current_rate(invoice, rates, "currency", "__rate_i", as_of), partner, "__rate_i")
+    what = with_current_rate(product, rates, "currency", "__rate_p", as_of).select(
+        F.col("id").alias("product_id"),
+        F.col("name").alias("name_template"),
+        F.col("categ_id").alias("product_category_id"),
+        "brand_id",
+        "vendor_id",
+        "business_mode",
+        "standard_price",
+        "today_cost",
+        "virtual_available",
+        "__rate_p",
+    )
+    out = line.join(head, "invoice_id").join(what, "product_id", "left")
+    return _fact_columns(sales_measures(out.withColumn("product_margin", margin_column())))
+
+
+def _invoice_head(invoice: DataFrame, partner: DataFrame, *extra: str) -> DataFrame:
+    who = partner.select(F.col("id").alias("partner_id"), "customer", "supplier")
+    return invoice.join(who, "partner_id").select(
         F.col("id").alias("invoice_id"),
-        F.col("partner_id").alias("invoice_partner_id"),
+        "partner_id",
+        "customer",
+        "supplier",
         "date_due",
         document_number(F.col("document_number"), F.col("number")).alias("number"),
         "journal_id",
@@ -86,25 +130,16 @@ def sales_fact(line: DataFrame, invoice: DataFrame, product: DataFrame, partner:
         "state",
         "date",
         "date_invoice",
+        *extra,
     )
-    who = partner.select(F.col("id").alias("invoice_partner_id"), "customer", "supplier")
-    what = product.select(
-        F.col("id").alias("product_id"),
-        F.col("name").alias("name_template"),
-        F.col("categ_id").alias("product_category_id"),
-        "brand_id",
-    )
-    out = (
-        sales_measures(line)
-        .join(inv, "invoice_id")
-        .join(who, "invoice_partner_id")
-        .join(what, "product_id", "left")
-    )
-    return out.select(
+
+
+def _fact_columns(joined: DataFrame) -> DataFrame:
+    return joined.select(
         "id",
         *MEASURES,
         "margin_percent",
-        F.col("invoice_partner_id").alias("partner_id"),
+        "partner_id",
         "product_id",
         "date_due",
         "number",

@@ -50,10 +50,8 @@ def categorised_product(t: Tables) -> DataFrame:
 
 
 def fact(t: Tables) -> DataFrame:
-    line = costing.line_margin(t.invoice_line.join(t.invoice.select(F.col("id").alias("invoice_id"), "type", "currency"), "invoice_id"), moded_product(t), t.currency_rate)
-    vendor = costing.current_vendor(t.product, t.supplierinfo).select(F.col("id").alias("product_id"), "vendor_id")
-    line = line.drop("type", "currency").join(vendor, "product_id", "left")
-    return sales.sales_fact(line, t.invoice, categorised_product(t), t.partner)
+    product = costing.current_vendor(costing.business_mode(categorised_product(t), t.supplierinfo, t.vendor), t.supplierinfo)
+    return sales.margin_fact(t.invoice_line, t.invoice, product, t.partner, t.currency_rate)
 
 
 CUR_RATE = "cur_rate AS (SELECT currency, arg_max(rate, date) AS rate FROM currency_rate GROUP BY currency)"

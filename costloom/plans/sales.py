@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as fx
-from ..operators import catalogue, sales
+from ..operators import catalogue, costing, sales
 from ..sources.tables import Tables
-from .common import FACT, MARGINED, TODAY, fact, margined_lines, rounded
+from .common import FACT, MARGINED, TODAY, categorised_product, fact, margined_lines, rounded
 from .registry import query, r4, xsum
 
 MONEY = [m for m in sales.MEASURES if m != "quantity"] + ["margin_percent"]
@@ -52,6 +52,15 @@ def sales_fact(t: Tables):
     return out.drop("product_category_id")
 
 
+@query(f""", {FACT} SELECT id, {r4("margin_total")} AS margin_total, number, name_template, vendor_id FROM fact""")
+def sales_fact_from_stored_margin(t: Tables):
+    """The plain star join, over lines that carry margin and vendor already."""
+    vendor = costing.current_vendor(t.product, t.supplierinfo).select(F.col("id").alias("product_id"), "vendor_id")
+    stored = margined_lines(t).drop("type", "state", "currency", "date_invoice").join(vendor, "product_id", "left")
+    out = sales.sales_fact(stored, t.invoice, categorised_product(t), t.partner)
+    return rounded(out.select("id", "margin_total", "number", "name_template", "vendor_id"), "margin_total")
+
+
 @query(f""", {FACT} SELECT {", ".join(KEYS)} FROM fact WHERE {CUSTOMER}""")
 def filter_side(t: Tables):
     return sales.sales_filter(fact(t), side="customer").select(*KEYS)

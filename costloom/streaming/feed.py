@@ -108,8 +108,9 @@ def run_feed_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> None:
     )
     # One event per product and second: the feed has no finer order.
     events = top_k(events, ["tmpl_id", "date", "seq"], [F.col("arrival").desc()]).drop("arrival")
+    # Only open rows go on; closed ones stay in the batch that closed them.
     history = scd2_prices(
-        job.table(spark, "history", batch_id),
+        job.table(spark, "history", batch_id).filter("date_end IS NULL"),
         events.select("vendor_id", F.col("tmpl_id").alias("product_tmpl_id"), F.col("cost").alias("price"), "date", "seq", "is_primary"),
     )
     job.save(history.drop("action"), "history", batch_id)
@@ -125,6 +126,12 @@ def run_feed_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> None:
     job.save(stats, "run_log", batch_id)
 
 
+def price_history(spark: SparkSession, job: FeedJob, last_batch: int) -> DataFrame:
+    """Whole history: rows closed by any batch, and those the last one left open."""
+    rows = spark.read.option("basePath", f"{job.state}/history").parquet(f"{job.state}/history").filter(F.col("batch") <= last_batch)
+    return rows.filter(F.col("date_end").isNotNull() | (F.col("batch") == last_batch)).drop("batch")
+
+
 def start_feed(stream: DataFrame, job: FeedJob, checkpoint: str) -> StreamingQuery:
     """Run the stream until all files present are done."""
     return (
