@@ -19,7 +19,8 @@ from . import audits as sheet_plans
 from .catalogue import CODES_SQL, CURRENT_SQL, FEED_SQL, HELD_SQL, PARSED, TAX_SQL, feed, flat, good_feed
 from .common import rounded
 from .kpis import ACCOUNT_SQL, MONTH_END
-from .registry import query, r4
+from .registry import CHECKS, query, r4
+from .stock import POSTED
 
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS n_rows FROM {n}" for n in ("customer", "orders", "lineitem", *DEFINITIONS)))
@@ -89,13 +90,19 @@ def supplier_sheet_files(t: Tables):
     return rounded(typed.select("vendor_ref", "sheet_no", "row_no", F.col("default_code.text").alias("default_code"), F.col("cost.num").alias("cost"), "upload_id"), "cost")
 
 
-@query()
+@query(f""", {POSTED}, first_supplier AS (SELECT product_tmpl_id, arg_min(vendor_id, id) AS vendor_id FROM supplierinfo GROUP BY 1)
+    SELECT p.default_code AS "Codigo", p.name AS "Descripcion", v.ref AS "Proveedor", p.qty_available AS "En Mano", p.virtual_available AS "Previsto",
+           coalesce(CAST(CAST(q.qty AS DECIMAL(18,2)) AS VARCHAR), 'S/Fact') AS "Factura", {r4("p.today_cost")} AS "Costo Hoy", {r4("p.standard_product_price")} AS "Costo Compra"
+    FROM product p JOIN first_supplier f ON f.product_tmpl_id = p.tmpl_id JOIN vendor v ON v.id = f.vendor_id
+    LEFT JOIN posted q ON q.default_code = p.default_code WHERE p.virtual_available <> 0 AND p.type = 'product'""")
 def stock_export(t: Tables):
     folder = shared_folder(t.spark)
     posted = stock.stock_by_posted_invoices(t.invoice_line, t.invoice, t.product)
     sinks.export_stock_csv(stock.stock_reconciliation(t.product, posted, t.supplierinfo, t.vendor), folder)
-    schema = ", ".join(f"`{h}` string" for h in sinks.STOCK_HEADER.values())
-    return t.spark.read.schema(schema).option("header", True).option("escape", '"').csv(folder)
+    numeric = ("on_hand", "forecast", "cost_today", "cost_purchase")
+    schema = ", ".join(f"`{h}` {'double' if c in numeric else 'string'}" for c, h in sinks.STOCK_HEADER.items())
+    read = t.spark.read.schema(schema).option("header", True).option("escape", '"').csv(folder)
+    return rounded(read, "Costo Hoy", "Costo Compra")
 
 
 @query()
@@ -107,6 +114,9 @@ def kpi_month_append(t: Tables):
     return t.spark.read.parquet(folder)
 
 
+CHECKS["kpi_month_append"] = CHECKS["month_end_valuation"]
+
+
 @query(f""", {PARSED}, cur AS ({flat(CURRENT_SQL)}), codes AS ({flat(CODES_SQL)}), held AS ({flat(HELD_SQL)}),
     n AS (SELECT DISTINCT default_code FROM good),
     ok AS (SELECT * FROM codes WHERE barcode NOT IN (SELECT barcode FROM codes GROUP BY barcode HAVING COUNT(*) > 1)),
