@@ -10,6 +10,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+# A line has no key of its own: order and line number repeat. This packs them with
+# product, vendor, quantity and price, in that order of weight.
+LINE_ID = """(l_orderkey * 8 + l_linenumber) * 100000000 + (l_partkey % 1000) * 100000 + (l_suppkey % 100) * 1000
+               + CAST(l_quantity AS BIGINT) * 10 + CAST(floor(l_extendedprice) AS BIGINT) % 10"""
+
 DEFINITIONS = {
     # Invoices: kind from the order key, state from the order status.
     "invoice": """
@@ -35,7 +40,7 @@ DEFINITIONS = {
         FROM {orders}""",
     # Invoice lines; line 7 is a global-discount line with a negative amount.
     "invoice_line": """
-        SELECT (l_orderkey * 8 + l_linenumber) * 10000000 + (l_partkey % 100000) * 100 + l_suppkey % 100 AS id,
+        SELECT {line_id} AS id,
                l_orderkey AS invoice_id,
                l_partkey AS product_id,
                l_suppkey AS source_vendor_id,
@@ -117,7 +122,7 @@ DEFINITIONS = {
         FROM {customer}""",
     # Price history: one row per purchase price seen for a product and vendor.
     "supplierinfo": """
-        SELECT (l_orderkey * 8 + l_linenumber) * 10000000 + (l_partkey % 100000) * 100 + l_suppkey % 100 AS id,
+        SELECT {line_id} AS id,
                l_partkey AS product_tmpl_id,
                l_suppkey AS vendor_id,
                floor(l_extendedprice / l_quantity * 10000 + 0.5) / 10000 AS price,
@@ -130,7 +135,7 @@ DEFINITIONS = {
         FROM {lineitem}""",
     # Stock layers: received purchase lines.
     "stock_layer": """
-        SELECT (l_orderkey * 8 + l_linenumber) * 10000000 + (l_partkey % 100000) * 100 + l_suppkey % 100 AS id,
+        SELECT {line_id} AS id,
                l_partkey AS product_id,
                l_orderkey AS invoice_id,
                CASE WHEN l_linenumber = 6 THEN -l_quantity ELSE l_quantity END AS qty,
@@ -152,6 +157,8 @@ DEFINITIONS = {
         GROUP BY CAST(date_trunc('month', o_orderdate) AS DATE)""",
 }
 
+DEFINITIONS = {name: text.replace("{line_id}", LINE_ID) for name, text in DEFINITIONS.items()}
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
