@@ -1,0 +1,187 @@
+"""Secrets in texts, found by lexing assignments.
+
+Source and configuration syntax is read as pairs of a name and the terms on its
+right: quoted or bare literals and other names, joined by ``+``. A name that was
+given a constant before stands for that constant, so a literal is judged by every
+name it reaches. A pair scores the sensitivity of the name times the
+plausibility of the literal. Three plain patterns are always reported beside it.
+"""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed values of the contract: kinds in their order, patterns and least lengths.
+KINDS = ("assign", "access", "hex", "lexed")
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
+HEX = re.compile(r"[0-9a-f]{24,}")
+ASSIGN_LEAST = 6
+ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
+
+# How sensitive a name is that holds these parts side by side.
+SENSITIVE = {
+    ("password",): 1.0,
+    ("passwd",): 1.0,
+    ("passphrase",): 1.0,
+    ("pwd",): 0.9,
+    ("pass",): 0.7,
+    ("secret",): 1.0,
+    ("token",): 0.9,
+    ("apikey",): 1.0,
+    ("api", "key"): 1.0,
+    ("access", "key"): 1.0,
+    ("private", "key"): 1.0,
+    ("signing", "key"): 0.9,
+    ("encryption", "key"): 0.9,
+    ("auth",): 0.7,
+    ("credential",): 0.9,
+    ("credentials",): 0.9,
+}
+HINTS = tuple({w.encode() for parts in SENSITIVE for w in parts[:1]})
+PLACEHOLDER = re.compile(r"(?i)^(?:none|null|nil|true|false|undefined|required|optional|changeme|example|placeholder|redacted|todo|x+|\*+|\.+|<.*>|your[-_ ].*|string|str|text)$")
+LEAST_SCORE = 0.5
+
+PAIR = re.compile(
+    r"""(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*)(?P=q)(?:\])?[\x20\t]*"""
+    r"""(?:(?P<op>:=|=>|=(?!=)|:(?!:))|:[\x20\t]*[A-Za-z_][A-Za-z0-9_.\[\]]*[\x20\t]*=(?!=))[\x20\t]*"""
+)
+TERM = re.compile(r"""(?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|\$\{?(?P<ref>[A-Za-z_][A-Za-z0-9_]*)\}?|(?P<bare>[^\s"'#;,(){}\[\]<>+$]+)""")
+PLUS = re.compile(r"[\x20\t]*\+[\x20\t]*")
+ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*)>(?P<value>[^<>\n]+)</(?P=name)>")
+CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+
+
+def name_score(name: str) -> float:
+    parts = [p.lower() for p in CAMEL.findall(name)]
+    best = 0.0
+    for want, score in SENSITIVE.items():
+        n = len(want)
+        if score > best and any(tuple(parts[i : i + n]) == want for i in range(len(parts) - n + 1)):
+            best = score
+    return best
+
+
+def literal_score(value: str) -> float:
+    """From 0 for a placeholder or a short plain word to 1 for long mixed characters."""
+    if len(value) < 6 or PLACEHOLDER.match(value) or " " in value.strip():
+        return 0.0
+    counts = Counter(value)
+    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
+    classes = sum((any(c.islower() for c in value), any(c.isupper() for c in value), any(c.isdigit() for c in value), any(not c.isalnum() for c in value)))
+    return min(1.0, entropy / 4 + 0.15 * (classes - 1))
+
+
+def lexed_spans(text: str) -> list[tuple[int, int]]:
+    """Spans of literals that reach a sensitive name."""
+    constants: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+    out: set[tuple[int, int]] = set()
+
+    def judge(name: str, value: str, spans: list[tuple[int, int]]) -> None:
+        if spans and name_score(name) * literal_score(value) >= LEAST_SCORE:
+            out.update(spans)
+
+    at = 0
+    while m := PAIR.search(text, at):
+        at = m.end()
+        value, spans = [], []
+        p = at
+        while t := TERM.match(text, p):
+            if t["quoted"] is not None:
+                value.append(t["quoted"][1:-1])
+                if len(t["quoted"]) > 2:
+                    spans.append((t.start() + 1, t.end() - 1))
+                p = t.end()
+            else:
+                name = t["ref"] or t["bare"]
+                p = t.end()
+                if name in constants:
+                    known, where = constants[name]
+                    value.append(known)
+                    spans += where
+                elif t["ref"] is None and not PAIR.match(text, t.start()):
+                    value.append(name)
+                    spans.append((t.start(), t.end()))
+                elif t["ref"] is None:
+                    p = t.start()  # the next pair starts here
+                    break
+            plus = PLUS.match(text, p)
+            if not plus:
+                break
+            p = plus.end()
+        at = max(at, p)
+        if spans:
+            joined = "".join(value)
+            constants[m["name"]] = (joined, spans)
+            judge(m["name"], joined, spans)
+    for m in ELEMENT.finditer(text):
+        judge(m["name"], m["value"], [m.span("value")])
+    return sorted(out)
+
+
+def scan(text: str) -> list[tuple[str, int, int]]:
+    """All spans (kind, start, end) by start, then kind; code points, end exclusive."""
+    raw = text.encode("utf-8", "surrogatepass").lower()
+    spans: list[tuple[str, int, int]] = []
+    if any(w in raw for w in ASSIGN_WORDS):
+        spans += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
+    if b"akia" in raw:
+        spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
+    spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
+    if (b"=" in raw or b":" in raw or b"</" in raw) and any(w in raw for w in HINTS):
+        spans += [("lexed", s, e) for s, e in lexed_spans(text)]
+    return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+
+
+def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+    """``text`` with every run of overlapping spans replaced by ``mark``."""
+    out, at = [], 0
+    for _, s, e in spans:
+        if s >= at:
+            out += [text[at:s], mark]
+        at = max(at, e)
+    return "".join(out) + text[at:]
+
+
+SPAN = "array<struct<kind:string,start:int,end:int>>"
+
+
+def find_secrets(docs: DataFrame, text: str = "text", spans: str = "spans", clean: str | None = None, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with the spans of secrets, and with the redacted text in column ``clean`` if named.
+
+    A NULL text has no spans and stays NULL; a text is never cut. Columns of
+    ``docs`` of the same names are replaced.
+    """
+
+    @F.pandas_udf(f"spans {SPAN}, clean string")
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            every = [scan(x) if isinstance(x, str) else [] for x in batch]
+            texts = [redacted(x, s, mark) if clean and s else None for x, s in zip(batch, every, strict=True)]
+            yield pd.DataFrame({"spans": [[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in every], "clean": texts})
+
+    out = docs.withColumn("__found", look(F.col(text)))
+    if clean:
+        out = out.withColumn(clean, F.coalesce("__found.clean", F.col(text)))
+    return out.withColumn(spans, F.col("__found.spans")).drop("__found")
+
+
+def joined(spans, kinds=KINDS):
+    """Spans of the given kinds as kind:start:end, comma-joined."""
+    own = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.concat_ws(",", F.transform(own, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """Per document the counts of the plain patterns, their digest, and all spans."""
+    found = find_secrets(docs.select("doc_id", "text"))
+    spans = F.col("spans")
+    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts[:3], F.sha2(joined(spans, KINDS[:3]), 256).alias("base_sha256"), joined(spans).alias("spans"), counts[3])
