@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Functions of this package travel with the job, so executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 # A Python task sees this many rows at a time, so that long texts fit in its memory.
 ARROW_ROWS = 500
 
@@ -15,6 +20,7 @@ def prepare(spark: SparkSession) -> None:
     """Session settings of the corpus operators."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
