@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import credentials, decontam, hosts, langid, licenses, packing, simhash, toxicity, warc
+from . import credentials, decontam, hosts, langid, licenses, lm, packing, simhash, toxicity, warc
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def _packing(t):
     return packing.packed(t("documents"), packing.n_tokens())
 
 
+@query("op2_lm_scoring")
+def _scores(t):
+    return lm.scores(t("documents"))
+
+
 @query("op3_benchmark_decontamination")
 def _decontam(t):
     return decontam.contaminations(t("documents"), t("benchmark"))
