@@ -1,9 +1,8 @@
 """Order-independent money arithmetic.
 
 A sum of doubles depends on the order in which partitions arrive. Amounts are
-therefore scaled to whole ten-thousandths before they are added, so a total is
-the same for every partitioning, and map-side combine costs nothing in
-accuracy.
+therefore added as decimals of ten places, so a total is the same for every
+partitioning, and only the total is rounded.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ def round_units(amount: Column, scale: int = SCALE) -> Column:
     return to_units(amount, scale).cast("double") / F.lit(float(scale))
 
 
-def exact_sum(amount: Column, scale: int = SCALE) -> Column:
-    """Sum that does not depend on row order; wide enough not to overflow."""
-    total = F.sum(to_units(amount, scale).cast("decimal(18,0)"))
-    return total.cast("double") / F.lit(float(scale))
+def exact_sum(amount: Column, decimals: int = 4) -> Column:
+    """Sum that does not depend on row order: addends keep ten decimals, the total is rounded."""
+    return F.round(F.sum(amount.cast("decimal(28,10)")), decimals).cast("double")

@@ -5,12 +5,11 @@ rows per key in every map task (WindowGroupLimit, partial) before the shuffle,
 so the size of a key does not matter.
 
 ``ordered_scan`` computes running values. A running window puts a whole key into
-one task, which is right until a key is too big for one. So the sizes are
-checked first, by one aggregate of the key columns. When no key is above
-``hot_rows`` rows the plain window is used. Otherwise hot keys are cut into
-ordered chunks (``levels``, coarse to fine): rows are scanned inside their
-chunk, chunk totals are scanned per parent chunk, and the two are combined. The
-only broadcast side is the list of hot keys, at most rows / hot_rows long.
+one task, so every key is cut into chunks that follow the order itself: rows are
+range-partitioned by key and order, and a row's partition is its chunk. However
+the ids look, a key or a single day with a third of all rows is spread over a
+third of the partitions. Rows are scanned inside their chunk, the chunks' totals
+(at most one per key and partition) are scanned per key, and the two combined.
 """
 
 from __future__ import annotations
@@ -23,8 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 
-HOT_ROWS = 2_000_000
-_HOT = "__hot"
+_CHUNK = "__chunk"
 _ROW = "__rn"
 
 
@@ -46,10 +44,6 @@ class Running:
     exclusive: bool = False  # leave the row itself out
 
 
-def _level(i: int) -> str:
-    return f"__level{i}"
-
-
 def _over(kind: str, value: Column, window) -> Column:
     if kind == "sum":
         return F.sum(value).over(window)
@@ -75,25 +69,17 @@ def _combine(kind: str, before: Column, here: Column) -> Column:
     return F.coalesce(here, before)
 
 
-def mark_chunks(df: DataFrame, keys: Sequence[str], levels: Sequence[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``df`` with chunk columns if a key is hot, else unchanged.
+def mark_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with its chunk column, settled: rows and chunk totals both start from it.
 
-    Hot keys get the given levels, other keys one chunk. The marked frame is
-    checkpointed, since rows and chunk totals both start from it.
+    ``order`` must be a total order of each key's rows.
     """
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_HOT)).filter(F.col(_HOT) > hot_rows)
-    if hot.isEmpty():
-        return df
-    out = df.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), list(keys), "left")
-    out = out.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
-    out = out.withColumns(
-        {_level(i): F.when(F.col(_HOT), level.cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, level in enumerate(levels)}
-    )
-    return settle(out)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settle(df.repartitionByRange(parts, *keys, *order).withColumn(_CHUNK, F.spark_partition_id()))
 
 
 def drop_chunks(df: DataFrame) -> DataFrame:
-    return df.drop(_HOT, *[c for c in df.columns if c.startswith("__level")])
+    return df.drop(_CHUNK)
 
 
 def scan_chunks(
@@ -102,69 +88,35 @@ def scan_chunks(
     order: Sequence[str],
     running: Sequence[Running],
     reverse: bool = False,
+    again: bool = False,
 ) -> DataFrame:
-    """Running values over a frame prepared by ``mark_chunks``; may be repeated."""
+    """Running values over a frame prepared by ``mark_chunks`` with the same keys and order.
+
+    ``again`` settles the result for another scan over it.
+    """
     keys, order = list(keys), list(order)
-    levels = sorted((c for c in df.columns if c.startswith("__level")), key=lambda c: int(c[len("__level"):]))
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
-
-    inner = Window.partitionBy(*keys, *levels).orderBy(*map(direction, order))
+    inner = Window.partitionBy(*keys, _CHUNK).orderBy(*map(direction, order))
     upto, before = (inner.rowsBetween(Window.unboundedPreceding, e) for e in (0, -1))
     here = df.withColumns({r.name: _over(r.kind, r.value, before if r.exclusive else upto) for r in running})
-    if not levels:
-        return here
 
     position = F.struct(*order)
-    totals = df.filter(_HOT).groupBy(*keys, *levels).agg(
-        *[_total(r.kind, r.value, position, reverse).alias(r.name) for r in running]
-    )
-    offsets = _chunk_offsets(totals, keys, levels, running, reverse)
-    renamed = offsets.select(*keys, *levels, *[F.col(r.name).alias(f"__off_{r.name}") for r in running])
-    # Rows are already partitioned and sorted by keys and levels: no new shuffle.
-    out = here.join(renamed, [*keys, *levels], "left")
+    totals = df.groupBy(*keys, _CHUNK).agg(*[_total(r.kind, r.value, position, reverse).alias(r.name) for r in running])
+    outer = Window.partitionBy(*keys).orderBy(direction(_CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, _CHUNK, *[_over(r.kind, F.col(r.name), outer).alias(f"__off_{r.name}") for r in running])
+    # Rows are already partitioned and sorted by keys and chunk: no new shuffle.
+    out = here.join(offsets, [*keys, _CHUNK], "left")
     out = out.withColumns({r.name: _combine(r.kind, F.col(f"__off_{r.name}"), F.col(r.name)) for r in running})
-    return settle(out.drop(*[f"__off_{r.name}" for r in running]))
-
-
-def _chunk_offsets(totals: DataFrame, keys, levels, running, reverse) -> DataFrame:
-    """Running value before each chunk, scanned level by level."""
-    *parents, last = levels
-    direction = F.col(last).desc() if reverse else F.col(last).asc()
-    window = (
-        Window.partitionBy(*keys, *parents).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    here = totals.select(*keys, *levels, *[_over(r.kind, F.col(r.name), window).alias(r.name) for r in running])
-    if not parents:
-        return here
-    above = totals.groupBy(*keys, *parents).agg(
-        *[_total(r.kind, F.col(r.name), F.col(last), reverse).alias(r.name) for r in running]
-    )
-    outer = _chunk_offsets(above, keys, parents, running, reverse)
-    outer = outer.select(*keys, *parents, *[F.col(r.name).alias(f"__out_{r.name}") for r in running])
-    joined = here.join(outer, [*keys, *parents])
-    return joined.select(
-        *keys,
-        *levels,
-        *[_combine(r.kind, F.col(f"__out_{r.name}"), F.col(r.name)).alias(r.name) for r in running],
-    )
-
-
-def ordered_scan(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    levels: Sequence[Column],
-    running: Sequence[Running],
-    reverse: bool = False,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+    out = out.drop(*[f"__off_{r.name}" for r in running])
+    return settle(out) if again else out
+
+
+def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], running: Sequence[Running], reverse: bool = False) -> DataFrame:
     """Running values per key in ``order`` (ascending, or descending if ``reverse``).
 
-    ``order`` must be a total order of non-null columns and ``levels`` must not
-    decrease along it.
+    ``order`` must be a total order of non-null columns.
     """
-    marked = mark_chunks(df, keys, levels, hot_rows)
-    return drop_chunks(scan_chunks(marked, keys, order, running, reverse))
+    return drop_chunks(scan_chunks(mark_chunks(df, keys, order), keys, order, running, reverse))
 
 
 def asof_by_day(asked: DataFrame, facts: DataFrame, keys: Sequence[str], day: str, value: str, following: bool = False) -> DataFrame:

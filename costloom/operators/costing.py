@@ -364,7 +364,6 @@ def cost_history(product: DataFrame, layers: DataFrame) -> DataFrame:
         dated,
         ["product_id"],
         ["__at", "id"],
-        [F.unix_date(F.col("__at").cast("date")), F.floor(F.col("id") / F.lit(1 << 40))],
         [Running("history_no", "sum", F.lit(1).cast("bigint"))],
     ).drop("__at")
 

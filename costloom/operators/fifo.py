@@ -9,16 +9,15 @@ before it: an ordered scan instead of a join of every layer with every issue.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import HOT_ROWS, Running, drop_chunks, mark_chunks, ordered_scan, scan_chunks
+from ..functions.ordered import Running, drop_chunks, mark_chunks, ordered_scan, scan_chunks
+from ..session import settle
 
 QTY = "decimal(18,4)"
 MONEY = "decimal(36,8)"
 KNOT = f"struct<at: decimal(29,4), cost: {MONEY}, price: {QTY}>"
-ID_CHUNK = 1 << 40
-POSITION_CHUNK = 1 << 16
 EVENT_ORDER = ["day", "kind", "id"]
 
 
@@ -29,15 +28,11 @@ def _events(layers: DataFrame, issues: DataFrame) -> DataFrame:
     return received.unionByName(issued)
 
 
-def _event_levels() -> list[Column]:
-    return [F.unix_date("day"), F.col("kind").cast("bigint") * F.lit(1 << 30) + F.floor(F.col("id") / F.lit(ID_CHUNK))]
-
-
-def _intervals(layers: DataFrame, issues: DataFrame, hot_rows: int) -> DataFrame:
-    """Events with their stretch [lo, hi) of the received-quantity axis."""
+def _intervals(layers: DataFrame, issues: DataFrame) -> DataFrame:
+    """Events in chunks, with their stretch [lo, hi) of the received-quantity axis."""
     is_layer = F.col("kind") == 0
     zero = F.lit(0).cast(QTY)
-    events = mark_chunks(_events(layers, issues), ["product_id"], _event_levels(), hot_rows)
+    events = mark_chunks(_events(layers, issues), ["product_id"], EVENT_ORDER)
     order = EVENT_ORDER
     events = scan_chunks(
         events,
@@ -49,6 +44,7 @@ def _intervals(layers: DataFrame, issues: DataFrame, hot_rows: int) -> DataFrame
             Running("cum_cost", "sum", F.when(is_layer, F.col("qty") * F.col("price")).otherwise(F.lit(0).cast(MONEY))),
             Running("last_price", "last", F.when(is_layer, F.col("price"))),
         ],
+        again=True,
     )
     # A shortage is dropped for good: later receipts never make up for it.
     short = F.col("cum_out") - F.col("cum_in")
@@ -62,30 +58,26 @@ def _intervals(layers: DataFrame, issues: DataFrame, hot_rows: int) -> DataFrame
     lost_before = F.greatest(F.lit(0).cast(QTY), F.coalesce("lost_before", F.lit(0).cast(QTY)))
     lo = F.when(is_layer, F.col("cum_in") - F.col("qty")).otherwise(F.col("cum_out") - F.col("qty") - lost_before)
     hi = F.when(is_layer, F.col("cum_in")).otherwise(F.col("cum_out") - lost)
-    return drop_chunks(events).select("product_id", "id", "day", "kind", "qty", "price", "cum_cost", "last_price", lo.alias("lo"), hi.alias("hi"))
-
+    spans = events.withColumns({"lo": lo, "hi": hi})
+    return spans.drop("cum_in", "cum_out", "lost", "lost_before")
 
-def _position_levels(pos: Column) -> list[Column]:
-    """Chunks of the axis; a chunk holds at most its width over the unit step rows."""
-    return [F.floor(pos / F.lit(POSITION_CHUNK * 1024)), F.floor(pos / F.lit(POSITION_CHUNK))]
 
-
-def fifo_cost(layers: DataFrame, issues: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fifo_cost(layers: DataFrame, issues: DataFrame) -> DataFrame:
     """Weighted unit cost of every issue.
 
     ``layers``: product_id, id, date, qty, price; ``issues``: product_id, id,
     date, qty. What stock cannot cover is priced at the newest layer received
     so far; an issue before any receipt costs 0.
     """
-    spans = _intervals(layers, issues, hot_rows)
+    spans = settle(drop_chunks(_intervals(layers, issues)))
     knot = F.struct(
         F.col("lo").alias("at"), (F.col("cum_cost") - F.col("qty") * F.col("price")).cast(MONEY).alias("cost"), F.col("price")
     )
     no_knot = F.lit(None).cast(KNOT)
     point = lambda pos, probe, at: F.struct(F.col(pos).alias("pos"), F.lit(probe).alias("probe"), at.alias("knot"))
-    # A layer is one knot, an issue two probes; an empty layer has no stretch.
-    rows = F.when(F.col("kind") == 1, F.array(point("lo", 1, no_knot), point("hi", 2, no_knot))).when(
-        F.col("qty") > 0, F.array(point("lo", 0, knot.cast(KNOT)))
+    # A layer is one knot, an issue two probes; what has no stretch has no point.
+    rows = F.when((F.col("kind") == 1) & (F.col("hi") > F.col("lo")), F.array(point("lo", 1, no_knot), point("hi", 2, no_knot))).when(
+        (F.col("kind") == 0) & (F.col("qty") > 0), F.array(point("lo", 0, knot.cast(KNOT)))
     )
     marks = spans.select(
         "product_id",
@@ -99,20 +91,22 @@ def fifo_cost(layers: DataFrame, issues: DataFrame, hot_rows: int = HOT_ROWS) ->
         marks,
         ["product_id"],
         ["pos", "probe", "id"],
-        _position_levels(F.col("pos")),
         [Running("at_knot", "last", F.col("knot"))],
-        hot_rows=hot_rows,
     )
     knot = F.col("at_knot")
     into = (F.col("pos") - knot["at"]).cast(QTY)
     total = (knot["cost"] + (into * knot["price"]).cast(MONEY)).cast(MONEY)
     signed = F.when(F.col("probe") == 2, total).otherwise(-total)
+    # Issues that found no stock never meet a layer.
+    empty = spans.filter((F.col("kind") == 1) & (F.col("hi") <= F.col("lo"))).select(
+        "product_id", "id", F.lit(0).cast(MONEY).alias("taken"), "qty", F.lit(0).cast("decimal(28,4)").alias("covered"), "last_price"
+    )
     per_issue = points.filter(F.col("probe") > 0).groupBy("product_id", "id").agg(
         F.coalesce(F.sum(signed), F.lit(0)).cast(MONEY).alias("taken"),
         F.first("qty").alias("qty"),
         F.first("covered").alias("covered"),
         F.first("last_price").alias("last_price"),
-    )
+    ).unionByName(empty)
     missing = (F.col("qty") - F.col("covered")).cast(QTY)
     cost = F.col("taken") + F.coalesce(missing * F.col("last_price"), F.lit(0).cast(MONEY))
     unit = F.try_divide(cost.cast("double"), F.col("qty").cast("double"))
@@ -121,18 +115,16 @@ def fifo_cost(layers: DataFrame, issues: DataFrame, hot_rows: int = HOT_ROWS) ->
     )
 
 
-def fifo_balance(layers: DataFrame, issues: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fifo_balance(layers: DataFrame, issues: DataFrame) -> DataFrame:
     """What is left of every layer, with running quantity and average price.
 
     ``qty_to_here`` and ``price_to_here`` describe the first n remaining layers.
     """
-    spans = _intervals(layers, issues, hot_rows)
+    spans = settle(_intervals(layers, issues))
     zero = F.lit(0).cast(QTY)
     # The end of the last issue: the ends never fall, so the greatest one.
     end = F.when(F.col("kind") == 1, F.col("hi"))
-    levels = _event_levels()
-    spans = mark_chunks(spans, ["product_id"], levels, hot_rows)
-    spans = scan_chunks(spans, ["product_id"], EVENT_ORDER, [Running("__later", "max", end)], reverse=True)
+    spans = scan_chunks(spans, ["product_id"], EVENT_ORDER, [Running("__later", "max", end)], reverse=True, again=True)
     spans = scan_chunks(spans, ["product_id"], EVENT_ORDER, [Running("__earlier", "max", end)])
     taken = F.coalesce(F.greatest("__later", "__earlier"), zero)
     left = drop_chunks(spans).filter("kind = 0")
@@ -142,9 +134,7 @@ def fifo_balance(layers: DataFrame, issues: DataFrame, hot_rows: int = HOT_ROWS)
         left,
         ["product_id"],
         ["day", "id"],
-        [F.unix_date("day"), F.floor(F.col("id") / F.lit(ID_CHUNK))],
         [Running("__q", "sum", F.col("remaining")), Running("__v", "sum", F.col("remaining") * F.col("price"))],
-        hot_rows=hot_rows,
     )
     average = F.coalesce(F.try_divide(F.col("__v").cast("double"), F.col("__q").cast("double")), F.lit(0.0))
     return out.select(
@@ -156,7 +146,7 @@ def fifo_balance(layers: DataFrame, issues: DataFrame, hot_rows: int = HOT_ROWS)
     )
 
 
-def allocate_procurements(po_line: DataFrame, procurement: DataFrame, step: float = 0.0001, hot_rows: int = HOT_ROWS) -> DataFrame:
+def allocate_procurements(po_line: DataFrame, procurement: DataFrame, step: float = 0.0001) -> DataFrame:
     """Greedy split of an ordered quantity over its procurements, plus the rest.
 
     ``po_line``: id, quantity; ``procurement``: id, po_line_id, seq (bigint),
@@ -170,9 +160,7 @@ def allocate_procurements(po_line: DataFrame, procurement: DataFrame, step: floa
         wanted,
         ["po_line_id"],
         ["seq", "procurement_id"],
-        [F.floor(F.col("seq") / F.lit(ID_CHUNK)), F.floor(F.col("seq") / F.lit(1 << 20))],
         [Running("ahead", "sum", F.col("want"), exclusive=True)],
-        hot_rows=hot_rows,
     )
     ahead = F.coalesce("ahead", F.lit(0).cast(QTY))
     total = po_line.select(F.col("id").alias("po_line_id"), F.col("quantity").cast(QTY).alias("total"))

@@ -8,19 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import MARGIN_UNKNOWN, cost_decreased, exchange, margin_ratio
-from ..functions.ordered import HOT_ROWS, Running, drop_chunks, mark_chunks, scan_chunks, top_k
+from ..functions.ordered import Running, drop_chunks, mark_chunks, scan_chunks, top_k
 from .costing import oldest_layer
 from .currency import with_current_rate
 
-SEQ_CHUNK = 1 << 40
 OBSOLETE, SELLABLE, OFFER = "obsolete", "sellable", "offer"
 
 
-def _day_levels(date: str = "date", seq: str = "seq") -> list[Column]:
-    return [F.unix_date(F.col(date)), F.floor(F.col(seq) / F.lit(SEQ_CHUNK))]
-
-
-def scd2_prices(current: DataFrame, feed: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def scd2_prices(current: DataFrame, feed: DataFrame) -> DataFrame:
     """Price history per vendor and product after a feed.
 
     ``current``: vendor_id, product_tmpl_id, price, date_start, date_end.
@@ -37,9 +32,9 @@ def scd2_prices(current: DataFrame, feed: DataFrame, hot_rows: int = HOT_ROWS) -
     news = feed.filter(~((F.col("price") == 0) & F.col("is_primary"))).select(
         *keys, "price", F.col("date").cast("date").alias("date"), F.col("seq").cast("bigint").alias("seq"), F.lit(True).alias("is_new")
     )
-    events = mark_chunks(opened.unionByName(news), keys, _day_levels(), hot_rows)
     order = ["date", "seq"]
-    seen = scan_chunks(events, keys, order, [Running("before", "last", F.col("price"), exclusive=True)])
+    events = mark_chunks(opened.unionByName(news), keys, order)
+    seen = scan_chunks(events, keys, order, [Running("before", "last", F.col("price"), exclusive=True)], again=True)
     kept = seen.filter(~F.col("is_new") | ~F.col("price").eqNullSafe(F.col("before")))
     dated = scan_chunks(kept, keys, order, [Running("following", "last", F.col("date"), exclusive=True)], reverse=True)
     out = drop_chunks(dated).select(
@@ -53,7 +48,7 @@ def scd2_prices(current: DataFrame, feed: DataFrame, hot_rows: int = HOT_ROWS) -
     return past.unionByName(out)
 
 
-def _prune(events: DataFrame, hot_rows: int) -> DataFrame:
+def _prune(events: DataFrame) -> DataFrame:
     """Only the events that can still matter for the final state of a product.
 
     Without stock each event overwrites the one before, so the last two decide.
@@ -73,7 +68,7 @@ def _prune(events: DataFrame, hot_rows: int) -> DataFrame:
             "__auto": effective & ~F.col("manual"),
         }
     )
-    marked = mark_chunks(marked, keys, _day_levels(), hot_rows)
+    marked = mark_chunks(marked, keys, order)
     one = lambda c: F.when(F.col(c), 1).otherwise(0).cast("bigint")
     marked = scan_chunks(
         marked,
@@ -86,6 +81,7 @@ def _prune(events: DataFrame, hot_rows: int) -> DataFrame:
             Running("__next_cost", "last", F.when(F.col("__auto"), F.col("cost")), exclusive=True),
         ],
         reverse=True,
+        again=True,
     )
     live = F.coalesce("__after_reset", F.lit(0)) == 0
     marked = scan_chunks(
@@ -112,7 +108,6 @@ def apply_prices(
     rates: DataFrame,
     tolerance: float = 0.05,
     as_of: str | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Product prices and state after a sequence of cost events.
 
@@ -126,7 +121,7 @@ def apply_prices(
     stocked = layers.filter(F.col("location_usage") == "internal").select(F.col("product_id").alias("tmpl_id")).distinct()
     flags = product.select("tmpl_id").join(stocked.withColumn("has_stock", F.lit(True)), "tmpl_id", "left")
     flags = flags.withColumn("has_stock", F.coalesce("has_stock", F.lit(False)))
-    pruned = _prune(events.join(flags, "tmpl_id"), hot_rows)
+    pruned = _prune(events.join(flags, "tmpl_id"))
     ordered = pruned.groupBy("tmpl_id").agg(
         F.array_sort(F.collect_list(F.struct("date", "seq", "cost", "price", "is_primary", "manual"))).alias("__events")
     )
@@ -163,11 +158,11 @@ def apply_prices(
     return out.select(*[F.col(f"__end.{c}").alias(c) if c in values else F.col(c) for c in product.columns])
 
 
-def price_drops(supplierinfo: DataFrame, product: DataFrame, item: DataFrame, vendor_id: int | None = None) -> DataFrame:
+def price_drops(supplierinfo: DataFrame, product: DataFrame, item: DataFrame, vendors: DataFrame | None = None) -> DataFrame:
     """Products whose last price fell while in stock: previous cost back, on offer.
 
-    The last two price rows count, an undated one first. ``vendor_id`` limits
-    the report to products that vendor has sold.
+    The last two price rows count, an undated one first. ``vendors``
+    (vendor_id) limits the report to products that any of them has sold.
     """
     last_two = top_k(supplierinfo, ["product_tmpl_id"], [F.col("date_start").desc_nulls_first(), F.col("id")], k=2, rank="__n")
     pair = last_two.groupBy("product_tmpl_id").agg(
@@ -175,8 +170,8 @@ def price_drops(supplierinfo: DataFrame, product: DataFrame, item: DataFrame, ve
         F.max(F.when(F.col("__n") == 2, F.col("price"))).alias("previous_price"),
     )
     fell = pair.filter(F.col("previous_price") > F.col("last_price")).withColumnRenamed("product_tmpl_id", "tmpl_id")
-    if vendor_id is not None:
-        sold = supplierinfo.filter(F.col("vendor_id") == vendor_id).select(F.col("product_tmpl_id").alias("tmpl_id"))
+    if vendors is not None:
+        sold = supplierinfo.join(vendors, "vendor_id", "left_semi").select(F.col("product_tmpl_id").alias("tmpl_id"))
         fell = fell.join(sold, "tmpl_id", "left_semi")
     margin = item.select(F.col("code").alias("item_code"), F.col("margin").alias("__m"))
     out = product.filter(F.col("virtual_available") != 0).join(fell, "tmpl_id").join(margin, "item_code", "left")

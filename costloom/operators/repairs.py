@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import exchange, margin_ratio, net_unit_price, purchase_net_price
-from ..functions.ordered import HOT_ROWS, Running, asof_by_day, ordered_scan, top_k
+from ..functions.ordered import Running, asof_by_day, ordered_scan, top_k
 from .costing import invoice_cost, oldest_layer
 from .currency import convert, convert_from_company
 
@@ -114,7 +114,7 @@ def sale_cost_caps(line: DataFrame, product: DataFrame, supplierinfo: DataFrame,
     return out.withColumn("product_margin", margin_ratio(F.col("price_unit"), F.col("cap"))).drop("__today", "__first")
 
 
-def cap_layer_cost(layers: DataFrame, caps: DataFrame, location: str = "Stock", hot_rows: int = HOT_ROWS) -> DataFrame:
+def cap_layer_cost(layers: DataFrame, caps: DataFrame, location: str = "Stock") -> DataFrame:
     """Layers of a location lowered to the least cap of the sales after their arrival.
 
     ``caps`` comes from ``sale_cost_caps``. Sales and layers share one time
@@ -127,10 +127,8 @@ def cap_layer_cost(layers: DataFrame, caps: DataFrame, location: str = "Stock",
         arrivals.unionByName(sales).filter(F.col("at").isNotNull()),
         ["product_id"],
         ["at", "kind", "id"],
-        [F.unix_date(F.col("at").cast("date")), F.unix_seconds("at") * F.lit(2) + F.col("kind")],
         [Running("__least", "max", -F.col("cap"))],
         reverse=True,
-        hot_rows=hot_rows,
     )
     least = line.filter("kind = 1").select("id", (-F.col("__least")).alias("__cap"))
     out = layers.join(least, "id", "left")

@@ -38,10 +38,6 @@ RECEIPT = """receipt AS (
     SELECT l.id, product_id, source_vendor_id AS partner_id FROM invoice_line l
     JOIN invoice i ON i.id = l.invoice_id WHERE i.type = 'in_invoice' AND line_no % 2 = 1)"""
 
-# Price rows of expensive purchases only, so that some products have none.
-DEAR = "price > 60000"
-
-
 def partner_tags(t: Tables):
     """Two tags per partner in key-dependent order; one segment is untagged."""
     return t.sql("""
@@ -72,7 +68,7 @@ def current_vendor(t: Tables):
 
 
 @query(f""", {RECEIPT}, dear AS (
-        SELECT product_tmpl_id, vendor_id FROM supplierinfo WHERE {DEAR}
+        SELECT product_tmpl_id, vendor_id FROM supplierinfo
         QUALIFY row_number() OVER (PARTITION BY product_tmpl_id ORDER BY date_start DESC NULLS FIRST, id) = 1),
     last_receipt AS (
         SELECT product_id, partner_id FROM receipt QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY id DESC) = 1)
@@ -81,18 +77,18 @@ def current_vendor(t: Tables):
     LEFT JOIN last_receipt r ON r.product_id = l.product_id LEFT JOIN vendor v ON v.id = r.partner_id""")
 def vendor_with_fallback(t: Tables):
     line = t.invoice_line.withColumn("vendor_id", F.lit(None).cast("bigint"))
-    out = costing.vendor_with_fallback(line, t.product, t.supplierinfo.filter(DEAR), receipts(t), t.vendor)
+    out = costing.vendor_with_fallback(line, t.product, t.supplierinfo, receipts(t), t.vendor)
     return out.select("id", "vendor_id")
 
 
 @query(f""", dear AS (
-        SELECT product_tmpl_id, vendor_id FROM supplierinfo WHERE {DEAR}
+        SELECT product_tmpl_id, vendor_id FROM supplierinfo
         QUALIFY row_number() OVER (PARTITION BY product_tmpl_id ORDER BY date_start DESC NULLS FIRST, id) = 1)
     SELECT l.id, coalesce(d.vendor_id, l.source_vendor_id) AS vendor_id
     FROM invoice_line l LEFT JOIN dear d ON d.product_tmpl_id = l.product_id""")
 def backfill_vendor(t: Tables):
     line = t.invoice_line.withColumn("vendor_id", F.col("source_vendor_id"))
-    return costing.backfill_vendor(line, t.product, t.supplierinfo.filter(DEAR)).select("id", "vendor_id")
+    return costing.backfill_vendor(line, t.product, t.supplierinfo).select("id", "vendor_id")
 
 
 @query(f""", {MODED} SELECT id, business_mode FROM moded""")

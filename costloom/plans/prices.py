@@ -93,10 +93,10 @@ def apply_prices(t: Tables):
            {r4("previous_price * (coalesce(i.margin, 0) + 1)")} AS list_price
     FROM product p JOIN pair ON pair.product_tmpl_id = p.tmpl_id LEFT JOIN item i ON i.code = p.item_code
     WHERE p.virtual_available <> 0
-      AND EXISTS (SELECT 1 FROM supplierinfo s WHERE s.product_tmpl_id = p.tmpl_id AND s.vendor_id = 16)""")
+      AND EXISTS (SELECT 1 FROM supplierinfo s JOIN vendor v ON v.id = s.vendor_id WHERE s.product_tmpl_id = p.tmpl_id AND v.is_primary)""")
 def price_drops(t: Tables):
     names = ["today_cost", "margin", "list_price"]
-    out = prices.price_drops(t.supplierinfo, t.product, t.item, vendor_id=16)
+    out = prices.price_drops(t.supplierinfo, t.product, t.item, t.vendor.filter("is_primary").select(F.col("id").alias("vendor_id")))
     return rounded(out.select("tmpl_id", "state", *names), *names)
 
 

@@ -42,4 +42,4 @@ def r4(expr: str) -> str:
 
 def xsum(expr: str) -> str:
     """SQL text of ``exact_sum``."""
-    return f"(CAST(SUM(CAST(floor(({expr}) * 10000 + 0.5) AS BIGINT)) AS DOUBLE) / 10000)"
+    return f"CAST(round(SUM(CAST({expr} AS DECIMAL(28,10))), 4) AS DOUBLE)"

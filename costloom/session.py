@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: str = "*", shuffle_partitions: int = 8, shared: str | None = None) -> SparkSession:
     """Session for tests and the local bench; a cluster job brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -33,6 +32,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -41,13 +42,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """A new folder all executors can reach: below ``spark.checkpoint.dir``.
 
-    A temporary folder of this machine is used only where that is unset, as in
-    tests.
+    Where that is unset it lies below the warehouse, which a cluster shares too.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/costloom-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="costloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    return f"{base.rstrip('/')}/costloom-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

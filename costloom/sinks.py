@@ -30,6 +30,7 @@ def write_daily(feed: DataFrame, path: str, mode: str = "append", period: int =
 
 
 def export_stock_csv(reconciliation: DataFrame, path: str) -> None:
+    """Quoted CSV parts below ``path``; every part begins with the header."""
     named = reconciliation.select(*[F.col(c).alias(h) for c, h in STOCK_HEADER.items()])
     named.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 

@@ -121,6 +121,7 @@ DEFINITIONS = {
                c_nationkey AS nation_id
         FROM {customer}""",
     # Price history: one row per purchase price seen for a product and vendor.
+    # Some products were never bought, so they have no price row.
     "supplierinfo": """
         SELECT {line_id} AS id,
                l_partkey AS product_tmpl_id,
@@ -132,7 +133,8 @@ DEFINITIONS = {
                CASE WHEN l_linenumber % 3 = 0 THEN NULL
                     WHEN l_linenumber = 4 THEN CAST(CAST(l_shipdate AS DATE) - INTERVAL 10 DAY AS DATE)
                     ELSE CAST(CAST(l_shipdate AS DATE) + INTERVAL 90 DAY AS DATE) END AS date_end
-        FROM {lineitem}""",
+        FROM {lineitem}
+        WHERE l_partkey % 12 <> 5""",
     # Stock layers: received purchase lines.
     "stock_layer": """
         SELECT {line_id} AS id,

@@ -9,8 +9,17 @@ from costloom.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    session = local_session("8", shuffle_partitions=4, shared=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(params=[1, 4, 16])
+def parts(request, spark):
+    """Scans cut keys into as many chunks as there are shuffle partitions."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", old)

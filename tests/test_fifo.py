@@ -37,8 +37,7 @@ def random_events(rng, product, n):
     return sorted(rows, key=lambda r: (r[4], r[0], r[1]))
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 10, 0])
-def test_fifo_matches_queue(spark, hot_rows):
+def test_fifo_matches_queue(spark, parts):
     rng = random.Random(7)
     layers, issues, want, left = [], [], {}, {}
     for product in range(12):
@@ -54,9 +53,9 @@ def test_fifo_matches_queue(spark, hot_rows):
                 issues.append((product, id_, date, float(qty)))
     l = spark.createDataFrame(layers, "product_id long, id long, date date, qty double, price double")
     i = spark.createDataFrame(issues, "product_id long, id long, date date, qty double")
-    got = {r.id: r.unit_cost for r in fifo_cost(l, i, hot_rows).collect()}
+    got = {r.id: r.unit_cost for r in fifo_cost(l, i).collect()}
     assert got == pytest.approx(want)
-    balance = {r.id: r.remaining for r in fifo_balance(l, i, hot_rows).collect()}
+    balance = {r.id: r.remaining for r in fifo_balance(l, i).collect()}
     assert balance == pytest.approx(left)
 
 
@@ -66,9 +65,16 @@ def test_sold_one_by_one_costs_5000_6000_6000(spark):
     assert [r.unit_cost for r in fifo_cost(l, i).orderBy("id").collect()] == [5000.0, 6000.0, 6000.0]
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 0])
-def test_procurements_take_in_order_and_leave_a_rest(spark, hot_rows):
+def test_procurements_take_in_order_and_leave_a_rest(spark, parts):
     po = spark.createDataFrame([(1, 10.0), (2, 3.0), (3, 4.0)], "id long, quantity double")
     pr = spark.createDataFrame([(11, 1, 1, 4.0), (12, 1, 2, 0.0), (13, 1, 3, 5.0), (21, 2, 1, 2.0), (22, 2, 2, 9.0), (23, 2, 3, 1.0)], "id long, po_line_id long, seq long, quantity double")
-    got = {(r.po_line_id, r.procurement_id): r.quantity for r in allocate_procurements(po, pr, hot_rows=hot_rows).collect()}
+    got = {(r.po_line_id, r.procurement_id): r.quantity for r in allocate_procurements(po, pr).collect()}
     assert got == {(1, 11): 4.0, (1, 13): 5.0, (1, None): 1.0, (2, 21): 2.0, (2, 22): 1.0, (3, None): 4.0}
+
+
+def test_one_product_without_receipts(spark, parts):
+    schema = "product_id long, id long, date date, qty double"
+    l = spark.createDataFrame([(2, 1, DAY, 4.0, 10.0)], f"{schema}, price double")
+    i = spark.createDataFrame([(1, n, DAY, 1.0) for n in range(400)] + [(2, 1000, DAY, 6.0)], schema)
+    got = {r.id: (r.covered, r.unit_cost) for r in fifo_cost(l, i).collect()}
+    assert len(got) == 401 and {got[n] for n in range(400)} == {(0.0, 0.0)} and got[1000] == (4.0, 10.0)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from costloom.functions.ordered import Running, asof_by_day, ordered_scan, top_k
+from costloom.functions.ordered import Running, asof_by_day, mark_chunks, ordered_scan, top_k
 
 
 def plain(rows, reverse):
@@ -26,21 +26,26 @@ def plain(rows, reverse):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 20, 0])
 @pytest.mark.parametrize("reverse", [False, True])
-def test_scan_matches_loop(spark, hot_rows, reverse):
-    rng = random.Random(hot_rows + reverse)
+def test_scan_matches_loop(spark, parts, reverse):
+    rng = random.Random(parts + reverse)
     # Key 0 holds a third of all rows.
     rows = [(0 if rng.random() < 0.33 else rng.randrange(1, 9), rng.randrange(6), i, None if rng.random() < 0.2 else rng.randrange(-50, 50)) for i in range(400)]
     df = spark.createDataFrame(rows, "k int, a int, b int, v long")
     v = F.col("v")
     running = [Running(f"{kind}{'_before' * x}", kind, v, bool(x)) for x in (0, 1) for kind in ("sum", "max", "last")]
-    got = ordered_scan(df, ["k"], ["a", "b"], [F.col("a"), F.floor(F.col("b") / 16)], running, reverse, hot_rows)
+    got = ordered_scan(df, ["k"], ["a", "b"], running, reverse)
     assert set(got.columns) == {"k", "a", "b", "v", *[r.name for r in running]}
     result = {(r.k, r.a, r.b): (r.sum, r.max, r.last, r.sum_before, r.max_before, r.last_before) for r in got.collect()}
     assert result == plain(rows, reverse)
 
 
+def test_a_key_is_spread_over_chunks(spark, parts):
+    df = spark.range(2000).select(F.when(F.col("id") % 20 == 0, F.col("id")).otherwise(-1).alias("k"), "id")
+    sizes = mark_chunks(df, ["k"], ["id"]).filter("k = -1").groupBy("__chunk").count().collect()
+    assert len(sizes) >= min(parts, 0.8 * parts) and max(r["count"] for r in sizes) <= 2.2 * 2000 / parts
+
+
 def test_top_k_is_limited_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     best = top_k(df, ["k"], [F.col("id").desc()], 2)

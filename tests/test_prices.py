@@ -19,7 +19,7 @@ def rates(spark):
     return spark.createDataFrame([("USD", DAY, 0.05)], RATE)
 
 
-def run(spark, products, events, layers=(), hot_rows=10**9):
+def run(spark, products, events, layers=()):
     items = spark.createDataFrame([("A", 0.5), ("B", 0.6)], ITEM)
     out = apply_prices(
         spark.createDataFrame(products, PRODUCT),
@@ -27,7 +27,6 @@ def run(spark, products, events, layers=(), hot_rows=10**9):
         items,
         spark.createDataFrame(list(layers), LAYER),
         rates(spark),
-        hot_rows=hot_rows,
     )
     return {r.tmpl_id: r for r in out.collect()}
 
@@ -79,8 +78,7 @@ def fold(p, events, stock):
     return cost, state, std, lst, margin
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 15, 0])
-def test_pruned_fold_equals_full_fold(spark, hot_rows):
+def test_pruned_fold_equals_full_fold(spark, parts):
     rng = random.Random(3)
     products, events, layers, want = [], [], [], {}
     for n in range(60):
@@ -94,7 +92,7 @@ def test_pruned_fold_equals_full_fold(spark, hot_rows):
         if stock:
             layers.append((n, n, "internal", dt.datetime(2020, 1, 1)))
         want[n] = fold(products[-1], mine, stock)
-    got = run(spark, products, events, layers, hot_rows)
+    got = run(spark, products, events, layers)
     for n, expected in want.items():
         r = got[n]
         assert (r.today_cost, r.state, r.standard_price, r.list_price, r.margin) == pytest.approx(expected), n
@@ -112,8 +110,7 @@ def history(rows):
     return sorted(map(tuple, out), key=str)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 10, 0])
-def test_history_matches_loop_and_does_not_overlap(spark, hot_rows):
+def test_history_matches_loop_and_does_not_overlap(spark, parts):
     rng = random.Random(5)
     feed, want = [], {}
     for n in range(30):
@@ -124,7 +121,7 @@ def test_history_matches_loop_and_does_not_overlap(spark, hot_rows):
     f = spark.createDataFrame(feed, "vendor_id long, product_tmpl_id long, price double, date date, seq long, is_primary boolean")
     empty = spark.createDataFrame([], "vendor_id long, product_tmpl_id long, price double, date_start date, date_end date")
     got = {}
-    for r in scd2_prices(empty, f, hot_rows).collect():
+    for r in scd2_prices(empty, f).collect():
         got.setdefault(r.product_tmpl_id, []).append((r.price, r.date_start, r.date_end))
     assert {k: sorted(v, key=str) for k, v in got.items()} == want
 
@@ -132,5 +129,5 @@ def test_history_matches_loop_and_does_not_overlap(spark, hot_rows):
 def test_price_drop_restores_previous(spark):
     info = spark.createDataFrame([(1, 1, 16, 8.0, DAY), (2, 1, 16, 6.0, DAY + dt.timedelta(1))], "id long, product_tmpl_id long, vendor_id long, price double, date_start date")
     p = spark.createDataFrame([(1, "A", 3.0, 6.0, "sellable", 0.0, 9.0)], "tmpl_id long, item_code string, virtual_available double, today_cost double, state string, margin double, list_price double")
-    row = price_drops(info, p, spark.createDataFrame([("A", 0.5)], ITEM), 16).collect()[0]
+    row = price_drops(info, p, spark.createDataFrame([("A", 0.5)], ITEM), spark.createDataFrame([(16,)], "vendor_id long")).collect()[0]
     assert (row.today_cost, row.state, row.list_price) == (8.0, "offer", 12.0)
