@@ -160,7 +160,7 @@ def upsert_products(
     """Catalogue after a feed, with the action per code.
 
     The last row of a code in the feed wins. Existing protected codes are left
-    alone. A touched product gets its category marked stale.
+    alone. A touched product's category is stale, and stays so until it is rebuilt.
     """
     newest = top_k(parsed, ["default_code"], [F.col(c).desc() for c in order])
     joined = current.alias("old").join(newest.alias("new"), F.col("old.default_code") == F.col("new.default_code"), "full_outer")
@@ -170,12 +170,13 @@ def upsert_products(
         F.when(~arrives, "kept").when(~exists, "created").when(guarded, "protected").otherwise("updated")
     )
     load = arrives & ~F.coalesce(guarded, F.lit(False))
+    stale = F.coalesce("old.category_stale", F.lit(False)) if "category_stale" in current.columns else F.lit(False)
     rest = [c for c in current.columns if c not in columns and c not in ("default_code", "category_stale")]
     return joined.select(
         F.coalesce("old.default_code", "new.default_code").alias("default_code"),
         *[F.when(load, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in columns],
         *[F.col(f"old.{c}").alias(c) for c in rest],
-        mark_category_stale(load).alias("category_stale"),
+        mark_category_stale(load | stale).alias("category_stale"),
         action.alias("action"),
     )
 
@@ -288,12 +289,13 @@ def tax_table(tax: DataFrame) -> DataFrame:
 
 def choose_tax(product: DataFrame, tax: DataFrame, rate: str = "iva") -> DataFrame:
     """Product with sale and purchase tax ids of its rate; ``tax_missing`` marks a failed lookup."""
-    table = tax_table(tax)
-    out = product
+    # Rates meet as decimals: equal doubles are no key.
+    table = tax_table(tax.withColumn("amount", F.col("amount").cast("decimal(9,4)")))
+    out = product.withColumn("__rate", F.col(rate).cast("decimal(9,4)"))
     for use in ("sale", "purchase"):
-        side = table.filter(F.col("use") == use).select(F.col("amount").alias(rate), F.col("tax_id").alias(f"{use}_tax_id"))
-        out = out.join(side, rate, "left")
-    return out.withColumn("tax_missing", F.col("sale_tax_id").isNull() | F.col("purchase_tax_id").isNull())
+        side = table.filter(F.col("use") == use).select(F.col("amount").alias("__rate"), F.col("tax_id").alias(f"{use}_tax_id"))
+        out = out.join(side, "__rate", "left")
+    return out.drop("__rate").withColumn("tax_missing", F.col("sale_tax_id").isNull() | F.col("purchase_tax_id").isNull())
 
 
 # -- codes and brands --------------------------------------------------------

@@ -20,31 +20,36 @@ def scd2_prices(current: DataFrame, feed: DataFrame) -> DataFrame:
 
     ``current``: vendor_id, product_tmpl_id, price, date_start, date_end.
     ``feed``: vendor_id, product_tmpl_id, price, date, seq, is_primary; it is
-    newer than ``current`` and ordered by (date, seq). A repeated price writes
-    nothing; a new one closes the open row a day before, or on its own start
-    day. A zero price of a primary vendor never reaches the history.
+    newer than ``current`` and ordered by (date, seq), ``seq`` of any ordered
+    type. A repeated price writes nothing; a new one closes the open row a day
+    before, or on its own start day. A zero price of a primary vendor never
+    reaches the history. Further columns of both, such as minimum quantity and
+    vendor code, are kept with their row.
     """
     keys = ["vendor_id", "product_tmpl_id"]
+    details = [c for c in current.columns if c in feed.columns and c not in (*keys, "price")]
     closed = current.filter(F.col("date_end").isNotNull())
+    none = F.lit(None).cast(feed.schema["seq"].dataType)
     opened = current.filter(F.col("date_end").isNull()).select(
-        *keys, "price", F.col("date_start").alias("date"), F.lit(-1).cast("bigint").alias("seq"), F.lit(False).alias("is_new")
+        *keys, *details, "price", F.col("date_start").alias("date"), none.alias("seq"), F.lit(False).alias("is_new")
     )
     news = feed.filter(~((F.col("price") == 0) & F.col("is_primary"))).select(
-        *keys, "price", F.col("date").cast("date").alias("date"), F.col("seq").cast("bigint").alias("seq"), F.lit(True).alias("is_new")
+        *keys, *details, "price", F.col("date").cast("date").alias("date"), "seq", F.lit(True).alias("is_new")
     )
-    order = ["date", "seq"]
+    order = ["date", "is_new", "seq"]
     events = mark_chunks(opened.unionByName(news), keys, order)
     seen = scan_chunks(events, keys, order, [Running("before", "last", F.col("price"), exclusive=True)], again=True)
     kept = seen.filter(~F.col("is_new") | ~F.col("price").eqNullSafe(F.col("before")))
     dated = scan_chunks(kept, keys, order, [Running("following", "last", F.col("date"), exclusive=True)], reverse=True)
     out = drop_chunks(dated).select(
         *keys,
+        *details,
         "price",
         F.col("date").alias("date_start"),
         F.when(F.col("following").isNotNull(), F.greatest(F.date_sub("following", 1), F.col("date"))).alias("date_end"),
         F.when(F.col("is_new"), "added").when(F.col("following").isNotNull(), "closed").otherwise("unchanged").alias("action"),
     )
-    past = closed.select(*keys, "price", "date_start", "date_end", F.lit("unchanged").alias("action"))
+    past = closed.select(*keys, *details, "price", "date_start", "date_end", F.lit("unchanged").alias("action"))
     return past.unionByName(out)
 
 

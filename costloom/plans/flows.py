@@ -17,7 +17,7 @@ from ..sources.tables import DEFINITIONS, Tables
 from ..streaming.feed import FeedJob, start_feed, stream_feed
 from . import audits as sheet_plans
 from .catalogue import CODES_SQL, CURRENT_SQL, FEED_SQL, HELD_SQL, PARSED, TAX_SQL, feed, flat, good_feed
-from .common import rounded
+from .common import TODAY, purchase_lines, rounded
 from .kpis import ACCOUNT_SQL, MONTH_END
 from .registry import CHECKS, query, r4
 from .stock import POSTED
@@ -35,7 +35,7 @@ def erp_tables(t: Tables):
 @query(f""", {PARSED} SELECT default_code, {r4("cost")} AS cost, upv, wholesaler_bulk, iva, item_code, write_date FROM good""")
 def feed_files(t: Tables):
     folder = shared_folder(t.spark)
-    sinks.write_daily(feed(t), folder, period=sinks.MONTH)
+    sinks.write_daily(feed(t), folder)
     read = files.read_product_feed(t.spark, folder).drop("day")
     out = catalogue.good_rows(catalogue.parse_feed(read))
     return rounded(out.select("default_code", "cost", "upv", "wholesaler_bulk", "iva", "item_code", "write_date"), "cost")
@@ -134,7 +134,7 @@ def run_stats(t: Tables):
 
 def feed_job(t: Tables, state: str) -> FeedJob:
     """The feed run over the given tables: the sellable half exists already."""
-    price = ["list_price", "standard_price", "standard_product_price", "today_cost"]
+    price = ["list_price", "standard_price", "standard_product_price", "today_cost", "invoice_cost"]
     catalogue_now = t.product.filter("state = 'sellable'").select(
         "id",
         "tmpl_id",
@@ -149,6 +149,10 @@ def feed_job(t: Tables, state: str) -> FeedJob:
         *[F.lit(0.0).alias(c) for c in ("weight", "volume", "warranty", "iva")],
         *[F.lit(0).cast("bigint").alias(c) for c in ("wholesaler_bulk", "retail_bulk")],
         "item_code",
+        F.lit(None).cast("timestamp").alias("write_date"),
+        *[F.lit(None).cast("string").alias(c) for c in ("invoice_policy", "purchase_method")],
+        F.lit(None).cast("string").alias("type"),
+        *[F.lit(None).cast("bigint").alias(c) for c in ("sale_tax_id", "purchase_tax_id")],
         F.lit(False).alias("category_stale"),
     )
     codes = t.sql(CODES_SQL)
@@ -157,27 +161,53 @@ def feed_job(t: Tables, state: str) -> FeedJob:
         "tax": t.sql(TAX_SQL.replace("'other'", "'vat'")),
         "rates": t.currency_rate,
         "layers": t.stock_layer,
+        "lines": purchase_lines(t),
         "barcodes": codes.join(catalogue.duplicate_barcodes(codes), "barcode", "left_anti"),
     }
-    history = t.spark.createDataFrame([], "vendor_id bigint, product_tmpl_id bigint, price double, date_start date, date_end date")
+    history = t.spark.createDataFrame([], "vendor_id bigint, product_tmpl_id bigint, min_qty bigint, vendor_code string, price double, date_start date, date_end date")
     initial = {
         "product": catalogue_now,
         "item": dims["items"].filter("code <> 'SMALL'"),
         "history": history,
         "barcode": t.sql(HELD_SQL),
     }
-    return FeedJob(state, 1, lambda spark: dims, initial)
-
-
-@query(f""", {PARSED}, touched AS (SELECT DISTINCT default_code FROM good g
-        WHERE NOT EXISTS (SELECT 1 FROM product p WHERE p.state = 'sellable' AND p.default_code = g.default_code AND p.default_code LIKE '996.%'))
-    SELECT coalesce(p.default_code, n.default_code) AS default_code, n.default_code IS NOT NULL AS category_stale
-    FROM (SELECT default_code FROM product WHERE state = 'sellable') p FULL JOIN touched n ON n.default_code = p.default_code""")
+    return FeedJob(state, 1, lambda spark: dims, initial, TODAY)
+
+
+# The feed arrives in three runs of daily files.
+RUNS = ["1994-06-01", "1996-06-01", "9999"]
+
+
+@query(f""", {PARSED}, run AS (
+        SELECT g.*, CASE WHEN write_date < TIMESTAMP '{RUNS[0]} 00:00:00' THEN 0 WHEN write_date < TIMESTAMP '{RUNS[1]} 00:00:00' THEN 1 ELSE 2 END AS n
+        FROM good g),
+    loaded AS (
+        SELECT * FROM run r WHERE default_code NOT LIKE '996.%' OR (
+            n = (SELECT MIN(n) FROM run f WHERE f.default_code = r.default_code)
+            AND NOT EXISTS (SELECT 1 FROM product p WHERE p.state = 'sellable' AND p.default_code = r.default_code))),
+    newest AS (
+        SELECT * FROM loaded QUALIFY row_number() OVER (PARTITION BY default_code ORDER BY CAST(write_date AS DATE) DESC, line_id DESC) = 1),
+    tax AS ({TAX_SQL.replace("'other'", "'vat'")}), pick AS (
+        SELECT amount, use, MIN(id) AS tax_id FROM tax WHERE tax_group = 'vat' AND (amount <> 0 OR group_code = 2) GROUP BY amount, use)
+    SELECT coalesce(p.default_code, n.default_code) AS default_code, n.default_code IS NOT NULL AS category_stale,
+           coalesce(n.name, p.name) AS name, CASE WHEN n.default_code IS NULL THEN 1 ELSE n.upv END AS upv,
+           CASE WHEN n.default_code IS NULL THEN 0 ELSE n.wholesaler_bulk END AS wholesaler_bulk, n.description_sale,
+           CAST(n.write_date AS VARCHAR) AS write_date, CASE WHEN n.default_code IS NOT NULL THEN 'product' END AS type,
+           CASE WHEN n.default_code IS NOT NULL THEN 'order' END AS invoice_policy, CASE WHEN n.default_code IS NOT NULL THEN 'purchase' END AS purchase_method,
+           CAST(s.tax_id AS BIGINT) AS sale_tax_id, CAST(b.tax_id AS BIGINT) AS purchase_tax_id
+    FROM (SELECT default_code, name FROM product WHERE state = 'sellable') p FULL JOIN newest n ON n.default_code = p.default_code
+    LEFT JOIN pick s ON s.use = 'sale' AND s.amount = n.iva LEFT JOIN pick b ON b.use = 'purchase' AND b.amount = n.iva""")
 def feed_stream(t: Tables):
-    """The whole feed as a stream: files, batches, state, then the final catalogue."""
+    """The whole feed as a stream: daily files, several runs, state, then the final catalogue."""
     folder = shared_folder(t.spark)
-    sinks.write_daily(feed(t), f"{folder}/feed", period=sinks.MONTH)
     job = feed_job(t, f"{folder}/state")
-    stream = stream_feed(t.spark, f"{folder}/feed", files_per_batch=100_000)
-    start_feed(stream, job, f"{folder}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{folder}/state/product/batch=0").select("default_code", "category_stale")
+    since = ""
+    for until in RUNS:
+        days = feed(t).filter((F.col("write_date") >= since) & (F.col("write_date") < until))
+        sinks.write_daily(days, f"{folder}/feed", order=["line_id"])
+        stream = stream_feed(t.spark, f"{folder}/feed", files_per_batch=100_000)
+        start_feed(stream, job, f"{folder}/checkpoint").awaitTermination()
+        since = until
+    last = t.spark.read.parquet(f"{folder}/state/product/batch={len(RUNS) - 1}")
+    columns = ["default_code", "category_stale", "name", "upv", "wholesaler_bulk", "description_sale", "type", "invoice_policy", "purchase_method", "sale_tax_id", "purchase_tax_id"]
+    return last.select(*columns, F.col("write_date").cast("string").alias("write_date"))

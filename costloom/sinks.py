@@ -20,12 +20,13 @@ STOCK_HEADER = {
 }
 
 
-DAY, MONTH = 10, 7  # characters of an ISO date
+def write_daily(feed: DataFrame, path: str, mode: str = "append", order: list[str] | None = None) -> None:
+    """One folder per write date, rows in the given order inside a file.
 
-
-def write_daily(feed: DataFrame, path: str, mode: str = "append", period: int = DAY) -> None:
-    """One folder per write date (or month). Rows stay spread: a busy day is not one task."""
-    out = feed.select(*FEED_COLUMNS).withColumn("day", F.substring("write_date", 1, period))
+    Rows are dealt by day, and a day too large for one task is split.
+    """
+    out = feed.withColumn("day", F.substring("write_date", 1, 10)).hint("rebalance", "day")
+    out = out.sortWithinPartitions("day", *(order or [])).select(*FEED_COLUMNS, "day")
     out.write.partitionBy("day").mode(mode).option("quoteAll", "false").option("escape", '"').csv(path)
 
 
@@ -72,6 +73,9 @@ def write_import_errors(errors: DataFrame, path: str) -> None:
     errors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upload_id").parquet(path)
 
 
+RUN_COUNTERS = ["processed", "created", "barcodes_created", "barcodes_changed"]
+
+
 def run_stats(products: DataFrame, barcodes: DataFrame) -> DataFrame:
     """Counters of one feed run from the action columns of its upserts.
 

@@ -8,6 +8,7 @@ overwrites its own output and never applies twice.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -15,18 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.ordered import top_k
 from ..operators.catalogue import choose_tax, good_rows, link_barcodes, parse_feed, protected_prefix, reject_rows, upsert_items, upsert_products
+from ..operators.costing import invoice_cost
 from ..operators.prices import apply_prices, scd2_prices
 from ..schemas import FEED
-from ..sinks import run_stats
+from ..sinks import RUN_COUNTERS, run_stats
 from ..sources.files import CSV
 
-PRODUCT_FIELDS = ["name", "description_sale", "upv", "weight", "volume", "wholesaler_bulk", "retail_bulk", "warranty", "item_code", "iva"]
+PRODUCT_FIELDS = [
+    "name", "description_sale", "upv", "weight", "volume", "wholesaler_bulk", "retail_bulk", "warranty", "item_code", "iva",
+    "write_date", "type", "invoice_policy", "purchase_method", "sale_tax_id", "purchase_tax_id",
+]
 
 
 def stream_feed(spark: SparkSession, path: str, files_per_batch: int = 1, archive: str | None = None) -> DataFrame:
-    """Daily feed files, oldest first; done files move to ``archive`` when given."""
+    """Daily feed files, oldest first; done files move to ``archive`` when given.
+
+    Each row keeps its file and block, the first part of its place in the feed.
+    """
     reader = (
         spark.readStream.schema(FEED)
         .options(**CSV)
@@ -36,28 +43,33 @@ def stream_feed(spark: SparkSession, path: str, files_per_batch: int = 1, archiv
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.csv(path)
+    return reader.csv(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def placed(batch: DataFrame) -> DataFrame:
+    """Rows with ``place``, their order in the feed: file, block, and number in the task that reads the block."""
+    place = F.struct("file", "block", F.monotonically_increasing_id().alias("line"))
+    return batch.withColumn("place", place).drop("file", "block")
 
 
 @dataclass
 class FeedJob:
     """State folder and side inputs of a feed stream.
 
-    ``dims(spark)`` returns the small inputs of a batch: items, barcodes, taxes,
-    rates and layers, read fresh each time.
+    ``dims(spark)`` returns the inputs of a batch: items, barcodes, taxes, rates,
+    layers and purchase lines, read fresh each time. ``fallback_date`` is where
+    the invoice cost of a product without stock looks for a line.
     """
 
     state: str
     primary_vendor_id: int
     dims: Callable[[SparkSession], dict[str, DataFrame]]
     initial: dict[str, DataFrame] = field(default_factory=dict)
+    fallback_date: str = "2018-01-01"
 
     def table(self, spark: SparkSession, name: str, before: int) -> DataFrame:
-        """A state table as the last batch below ``before`` left it."""
-        folder = f"{self.state}/{name}/batch={before - 1}"
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-        return spark.read.parquet(folder) if found else self.initial[name]
+        """A state table as the last batch below ``before`` left it; reading fails if that is missing."""
+        return self.initial[name] if before == 0 else spark.read.parquet(f"{self.state}/{name}/batch={before - 1}")
 
     def save(self, df: DataFrame, name: str, batch: int) -> DataFrame:
         """Write a table of a batch and read it back: later steps start from files."""
@@ -67,10 +79,35 @@ class FeedJob:
 
 
 def run_feed_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> None:
-    """One batch: items, products, taxes, barcodes, history, prices, log."""
+    """One batch, with a log row of how it went also if it fails."""
+    start = time.time()
+
+    def log(stats: DataFrame, state: str, message: str | None) -> None:
+        row = stats.withColumns(
+            {
+                "batch": F.lit(batch_id),
+                "started": F.timestamp_seconds(F.lit(start)),
+                "seconds": F.lit(time.time() - start),
+                "state": F.lit(state),
+                "message": F.lit(message).cast("string"),
+            }
+        )
+        job.save(row, "run_log", batch_id)
+
+    try:
+        stats = load_batch(job, batch, batch_id)
+        log(stats, "done", None)
+    except Exception as ex:
+        none = batch.sparkSession.range(1).select(*[F.lit(None).cast("bigint").alias(c) for c in RUN_COUNTERS])
+        log(none, "error", str(ex)[:2000])
+        raise
+
+
+def load_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> DataFrame:
+    """Items, products, taxes, barcodes, history, prices and costs of one batch; returns its counters."""
     spark = batch.sparkSession
     dims = job.dims(spark)
-    parsed = job.save(parse_feed(batch), "parsed", batch_id)
+    parsed = job.save(parse_feed(placed(batch)), "parsed", batch_id)
     job.save(reject_rows(parsed), "rejects", batch_id)
     items = job.save(upsert_items(job.table(spark, "item", batch_id), dims["items"]), "item_action", batch_id)
     items = job.save(items.drop("action"), "item", batch_id)
@@ -81,8 +118,8 @@ def run_feed_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> None:
     job.save(taxed.filter("tax_missing"), "tax_missing", batch_id)
     feed = job.save(taxed.filter(~F.col("tax_missing")), "feed", batch_id)
 
-    upserted = upsert_products(current, feed, PRODUCT_FIELDS, ["write_date", "cost"])
-    fresh = {"today_cost": 0.0, "standard_price": 0.0, "standard_product_price": 0.0, "list_price": 0.0, "margin": 0.0}
+    upserted = upsert_products(current, feed, PRODUCT_FIELDS, ["place"])
+    fresh = {"invoice_cost": 0.0, "today_cost": 0.0, "standard_price": 0.0, "standard_product_price": 0.0, "list_price": 0.0, "margin": 0.0}
     filled = upserted.withColumns(
         {
             "id": F.coalesce("id", F.xxhash64("default_code")),
@@ -94,36 +131,37 @@ def run_feed_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> None:
     )
     products = job.save(filled, "product_action", batch_id)
 
-    arrival = F.struct("write_date", "cost")
+    # Every row is an event, in the order of the feed.
     events = feed.join(products.select("default_code", "tmpl_id"), "default_code").select(
         F.lit(job.primary_vendor_id).cast("bigint").alias("vendor_id"),
         "tmpl_id",
         F.col("write_date").cast("date").alias("date"),
-        F.unix_seconds("write_date").alias("seq"),
-        F.round("cost", 4).alias("cost"),
+        F.col("place").alias("seq"),
+        "cost",
         F.lit(None).cast("double").alias("price"),
         F.lit(True).alias("is_primary"),
         F.lit(False).alias("manual"),
-        arrival.alias("arrival"),
+        F.col("wholesaler_bulk").alias("min_qty"),
+        F.col("default_code").alias("vendor_code"),
     )
-    # One event per product and second: the feed has no finer order.
-    events = top_k(events, ["tmpl_id", "date", "seq"], [F.col("arrival").desc()]).drop("arrival")
     # Only open rows go on; closed ones stay in the batch that closed them.
     history = scd2_prices(
         job.table(spark, "history", batch_id).filter("date_end IS NULL"),
-        events.select("vendor_id", F.col("tmpl_id").alias("product_tmpl_id"), F.col("cost").alias("price"), "date", "seq", "is_primary"),
+        events.select("vendor_id", F.col("tmpl_id").alias("product_tmpl_id"), F.col("cost").alias("price"), "date", "seq", "is_primary", "min_qty", "vendor_code"),
     )
     job.save(history.drop("action"), "history", batch_id)
-    priced = apply_prices(products.drop("action"), events, items, dims["layers"], dims["rates"])
-    job.save(priced.select(*current.columns), "product", batch_id)
+    priced = apply_prices(products, events.drop("min_qty", "vendor_code"), items, dims["layers"], dims["rates"])
+    loaded = F.col("action").isin("created", "updated")
+    costed = invoice_cost(priced.filter(loaded), dims["lines"], dims["layers"], dims["rates"], job.fallback_date)
+    after = priced.filter(~loaded).select(*current.columns).unionByName(costed.select(*current.columns))
+    job.save(after, "product", batch_id)
 
     held = job.table(spark, "barcode", batch_id)
     linked = job.save(link_barcodes(products, dims["barcodes"], held), "barcode_action", batch_id)
     kept = held.join(linked.select("barcode"), "barcode", "left_anti")
     job.save(kept.select("barcode", "product_id").unionByName(linked.select("barcode", "product_id")), "barcode", batch_id)
 
-    stats = run_stats(products, linked).withColumn("batch", F.lit(batch_id))
-    job.save(stats, "run_log", batch_id)
+    return run_stats(products, linked)
 
 
 def price_history(spark: SparkSession, job: FeedJob, last_batch: int) -> DataFrame:

@@ -3,14 +3,18 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from costloom.plans.catalogue import TAX_SQL
+from costloom.schemas import FEED
+from costloom.sources.files import CSV
 from costloom.streaming.feed import FeedJob, price_history, run_feed_batch, start_feed, stream_feed
 
 PRODUCT = (
     "id long, tmpl_id long, default_code string, currency string, state string, list_price double, standard_price double, "
     "standard_product_price double, today_cost double, margin double, name string, description_sale string, upv long, weight double, "
-    "volume double, warranty double, iva double, wholesaler_bulk long, retail_bulk long, item_code string, category_stale boolean"
+    "volume double, warranty double, iva double, wholesaler_bulk long, retail_bulk long, item_code string, category_stale boolean, "
+    "invoice_cost double, write_date timestamp, type string, invoice_policy string, purchase_method string, sale_tax_id long, purchase_tax_id long"
 )
 LINE = '{code},"{code} name",,{cost},100,1.0,.000,25,25,,0,21.00,102,{day} 10:00:00\n'
 
@@ -22,12 +26,16 @@ def job(spark, tmp_path):
         "tax": spark.sql(TAX_SQL),
         "rates": spark.createDataFrame([], "currency string, date date, rate double"),
         "layers": spark.createDataFrame([], "id long, product_id long, location_usage string, in_date timestamp"),
+        "lines": spark.createDataFrame(
+            [(1, 0, 50.0, 10.0, 0.0, False, "ARS", None, True)],
+            "id long, product_id long, price_unit double, discount double, invoice_discount double, is_primary boolean, currency string, date_invoice date, discount_processed boolean",
+        ),
         "barcodes": spark.createDataFrame([("102.AF", "779")], "product_code string, barcode string"),
     }
     initial = {
         "product": spark.createDataFrame([], PRODUCT),
         "item": dims["items"].limit(0),
-        "history": spark.createDataFrame([], "vendor_id long, product_tmpl_id long, price double, date_start date, date_end date"),
+        "history": spark.createDataFrame([], "vendor_id long, product_tmpl_id long, min_qty long, vendor_code string, price double, date_start date, date_end date"),
         "barcode": spark.createDataFrame([], "barcode string, product_id long"),
     }
     return FeedJob(str(tmp_path / "state"), 1, lambda s: dims, initial)
@@ -54,12 +62,40 @@ def test_price_falls_and_recovers_over_three_days(spark, job, tmp_path):
     states = [table("product", n).filter("default_code = '102.AF'").collect()[0] for n in range(3)]
     assert [(r.state, round(r.today_cost, 4)) for r in states] == [("sellable", 7.7832), ("offer", 7.0), ("sellable", 7.7832)]
     assert states[2].list_price == pytest.approx(7.7832 * 1.5)
-    history = [(r.price, str(r.date_start), r.date_end and str(r.date_end)) for r in price_history(spark, job, 2).orderBy("date_start", "price").collect()]
+    history = [(round(r.price, 6), str(r.date_start), r.date_end and str(r.date_end)) for r in price_history(spark, job, 2).orderBy("date_start", "price").collect()]
     assert history == [(2.0983, "2018-01-26", None), (7.7832, "2018-01-26", "2018-08-29"), (7.0, "2018-08-30", "2018-09-29"), (7.7832, "2018-09-30", None)]
     logs = [table("run_log", n).collect()[0] for n in range(3)]
     assert [(r.created, r.processed, r.barcodes_created) for r in logs] == [(2, 0, 1), (0, 1, 0), (0, 1, 0)]
+    assert all(r.state == "done" and r.seconds > 0 and r.message is None for r in logs)
+    assert (states[0].type, states[0].invoice_policy, states[0].purchase_method, str(states[2].write_date)) == ("product", "order", "purchase", "2018-09-30 10:00:00")
+    assert states[0].sale_tax_id is not None and states[0].purchase_tax_id is not None
+    assert {(r.min_qty, r.vendor_code) for r in price_history(spark, job, 2).collect()} == {(25, "102.AF"), (25, "102.B")}
     assert table("rejects", 1).count() == 1
 
     before = sorted(table("product", 2).collect(), key=str)
-    run_feed_batch(job, spark.read.schema(stream_feed(spark, str(feed)).schema).csv(str(feed / "2018-09-30-data.csv")), 2)
+    run_feed_batch(job, read(spark, feed / "2018-09-30-data.csv"), 2)
     assert sorted(table("product", 2).collect(), key=str) == before
+
+
+def read(spark, path):
+    return spark.read.schema(FEED).options(**CSV).csv(str(path)).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def test_rows_of_one_second_apply_in_file_order(spark, job, tmp_path):
+    path = tmp_path / "2018-01-26-data.csv"
+    path.write_text("".join(LINE.format(code="102.AF", cost=c, day="2018-01-26") for c in ("500.00", "900.00", "700.00")))
+    run_feed_batch(job, read(spark, path), 0)
+    row = spark.read.parquet(f"{job.state}/product/batch=0").collect()[0]
+    # 5.0, up to 9.0, then down to 7.0: without stock the fall is taken and puts it on offer.
+    assert (row.today_cost, row.state) == (7.0, "offer")
+    history = spark.read.parquet(f"{job.state}/history/batch=0").collect()
+    assert sorted(r.price for r in history) == [5.0, 7.0, 9.0] and [r.price for r in history if r.date_end is None] == [7.0]
+
+
+def test_a_failed_batch_is_logged_and_lost_state_is_no_new_start(spark, job, tmp_path):
+    path = tmp_path / "2018-01-26-data.csv"
+    path.write_text(LINE.format(code="102.AF", cost="500.00", day="2018-01-26"))
+    with pytest.raises(Exception, match="batch=2"):
+        run_feed_batch(job, read(spark, path), 3)
+    log = spark.read.parquet(f"{job.state}/run_log/batch=3").collect()[0]
+    assert log.state == "error" and "batch=2" in log.message and log.created is None
