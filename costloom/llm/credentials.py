@@ -173,6 +173,11 @@ def find_secrets(docs: DataFrame, text: str = "text", spans: str = "spans", clea
     return out.withColumn(spans, F.col("__found.spans")).drop("__found")
 
 
+def n_of(spans, kind: str):
+    """Number of spans of one kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def joined(spans, kinds=KINDS):
     """Spans of the given kinds as kind:start:end, comma-joined."""
     own = F.filter(spans, lambda s: s["kind"].isin(*kinds))
@@ -183,5 +188,5 @@ def digest(docs: DataFrame) -> DataFrame:
     """Per document the counts of the plain patterns, their digest, and all spans."""
     found = find_secrets(docs.select("doc_id", "text"))
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [n_of(spans, k).alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts[:3], F.sha2(joined(spans, KINDS[:3]), 256).alias("base_sha256"), joined(spans).alias("spans"), counts[3])
