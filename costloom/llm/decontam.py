@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from .common import kept
 
-# 1: the token counts, 0: it is ignored.
-MASKS = ("11101011", "1101100111", "110010110101")
+# 1: the token counts, 0: it is ignored. However two of 13 tokens are substituted,
+# one of these fits somewhere beside them, so no window of WINDOW tokens is missed.
+MASKS = ("11101011", "11001111")
 WINDOW = 13  # aligned tokens that are compared, or the whole item if shorter
 EQUAL = 0.8  # least share of them that must be equal
 LEAST = 5  # an item of fewer tokens is too short to tell and matches nothing
@@ -71,7 +72,9 @@ def short_masks(items: DataFrame) -> list[str]:
 def contaminations(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, equal: float = EQUAL) -> DataFrame:
     """Pairs (doc_id, item_id) with the matched words of the document and their best share of equal ones.
 
-    ``docs`` has doc_id and text, ``benchmark`` item_id and text. Items of the same
+    ``docs`` has doc_id and text, ``benchmark`` item_id and text. Items shorter
+    than ``window`` are compared whole and found if a mask fits beside the
+    substitutions; those shorter than every mask are found word for word. Items of the same
     tokens are one item with the smallest id. NULL and empty texts match nothing;
     rows without an id are left out, as they cannot be named. Rows of one id count
     as one document.
