@@ -23,6 +23,7 @@ ORDERS = (3, 4, 5)
 BITS = 22  # buckets, as a power of two
 BLOCK = 250_000  # characters hashed at once
 SMOOTH = 1.0
+PARTS = 256  # of a class, ranked apart
 
 
 def char_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +84,7 @@ class Model:
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights of L2-regularised logistic regression by Nesterov's accelerated gradient."""
-    x = x.astype(np.float32)
+    x = x.astype(np.float32, copy=False)
     n = max(1, len(y))
     v = np.ones(x.shape[1], np.float32)
     for _ in range(20):  # largest curvature, by power iteration
@@ -115,8 +116,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, features: int
     """
     marked = labels.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marked = marked.join(docs.filter("text is not null").select("doc_id"), "doc_id", "left_semi")
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), F.col("doc_id")))
-    picked = marked.withColumn("n", rank).filter(F.col("n") <= per_class).select("doc_id", "toxic")
+    # Ranked in parts first: no task holds a whole class, and the last rank sees at most PARTS * per_class rows of one.
+    picked = marked.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS)))
+    for within in (["toxic", "part"], ["toxic"]):
+        rank = F.row_number().over(Window.partitionBy(*within).orderBy(F.xxhash64("doc_id"), F.col("doc_id")))
+        picked = picked.withColumn("n", rank).filter(F.col("n") <= per_class).drop("n")
+    picked = picked.select("doc_id", "toxic")
     # At most 2 * per_class rows of two numbers, so a broadcast is safe.
     sample = docs.filter("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     sample = kept(sample.dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"), "toxicity-sample")
@@ -153,10 +158,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, features: int
 
     # Per sampled document one bit a feature: its size does not depend on its text.
     rows = sample.mapInPandas(present, "doc_id long, toxic int, bits binary").orderBy("doc_id").collect()
-    x = np.unpackbits(np.array([np.frombuffer(r["bits"], np.uint8) for r in rows]), axis=1, count=len(chosen)) if len(chosen) else np.zeros((len(rows), 0), np.uint8)
     y = np.array([r["toxic"] for r in rows], np.float32)
-    scaled = x * ratios.astype(np.float32)
-    weight, bias = logistic(scaled, y, ridge)
+    x = np.zeros((len(rows), len(chosen)), np.float32)  # the one large array: 4 bytes a feature and sampled row
+    for i, r in enumerate(rows):
+        x[i] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=len(chosen))
+    x *= ratios.astype(np.float32)
+    weight, bias = logistic(x, y, ridge)
     return Model(chosen, weight * ratios, bias)
 
 
