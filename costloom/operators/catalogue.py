@@ -350,28 +350,44 @@ def _literal_head(mask: Column) -> Column:
     return F.regexp_extract(mask, r"^[^%_\\]*", 0)
 
 
-def assign_brands(product: DataFrame, brand: DataFrame, salts: int = 16) -> DataFrame:
+FREE_MASKS = 10_000  # masks starting with a wildcard that may be broadcast
+
+
+def assign_brands(product: DataFrame, brand: DataFrame, salts: int = 16, free_masks: int = FREE_MASKS) -> DataFrame:
     """Product with the brand whose mask its code matches, the last checked one.
 
     ``brand``: id, mask, checked_order. The text before a mask's first wildcard
     is an equality key, so a code meets only masks that can match it; masks
-    sharing a short head are spread over ``salts`` copies. Products that match
-    no mask lose their brand.
+    sharing a short head are spread over ``salts`` copies. Masks that start with
+    a wildcard can match any code: they are broadcast, after their number has
+    been checked, or else dealt to every partition of the products. Products
+    that match no mask lose their brand.
     """
     masks = brand.select("id", "mask", "checked_order", _literal_head(F.col("mask")).alias("__head"))
-    lengths = masks.agg(F.collect_set(F.length("__head"))).scalar()  # at most the length of a code
-    masks = masks.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    coded = product.filter(F.col("default_code").isNotNull()).select("id", "default_code")
+    coded = product.filter(F.col("default_code").isNotNull()).select(F.col("id").alias("product_id"), "default_code")
+    headed = masks.filter(F.col("__head") != "")
+    lengths = headed.agg(F.collect_set(F.length("__head"))).scalar()  # at most the length of a code
+    headed = headed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     heads = coded.withColumn("__lengths", lengths)
     heads = heads.withColumn("__lengths", F.filter("__lengths", lambda n: n <= F.length("default_code")))
     heads = heads.select(
-        F.col("id").alias("product_id"),
+        "product_id",
         "default_code",
-        F.pmod(F.hash("id"), F.lit(salts)).alias("__salt"),
+        F.pmod(F.hash("product_id"), F.lit(salts)).alias("__salt"),
         F.explode(F.transform("__lengths", lambda n: F.substring(F.col("default_code"), F.lit(1), n))).alias("__head"),
     )
-    hits = heads.join(masks, ["__head", "__salt"]).filter(F.expr("default_code LIKE mask"))
-    best = hits.groupBy("product_id").agg(F.max(F.struct("checked_order", "id")).alias("__best"))
+    like = F.expr("default_code LIKE mask")
+    found = ["product_id", "checked_order", "id"]
+    hits = heads.join(headed, ["__head", "__salt"]).filter(like).select(*found)
+
+    free = masks.filter(F.col("__head") == "").select("id", "mask", "checked_order")
+    if free.limit(free_masks + 1).count() <= free_masks:
+        meets = coded.join(F.broadcast(free), like)
+    else:
+        parts = int(product.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = free.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        meets = coded.withColumn("__part", F.pmod(F.hash("product_id"), F.lit(parts))).join(spread, "__part").filter(like)
+    best = hits.unionByName(meets.select(*found)).groupBy("product_id").agg(F.max(F.struct("checked_order", "id")).alias("__best"))
     side = best.select(F.col("product_id").alias("id"), F.col("__best.id").alias("brand_id"))
     return product.drop("brand_id").join(side, "id", "left")
 

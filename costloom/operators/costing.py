@@ -36,6 +36,20 @@ def current_vendor(product: DataFrame, supplierinfo: DataFrame) -> DataFrame:
     return product.join(vendor, "tmpl_id", "left")
 
 
+def mode_and_vendor(product: DataFrame, supplierinfo: DataFrame, vendor: DataFrame) -> DataFrame:
+    """``business_mode`` and ``current_vendor`` in one pass over the price rows."""
+    undated, newest = F.col("date_start").isNull(), -F.unix_date("date_start")
+    best = supplierinfo.groupBy(F.col("product_tmpl_id").alias("tmpl_id")).agg(
+        F.min(F.struct(~undated, newest, F.col("id"), F.col("vendor_id")))["vendor_id"].alias("vendor_id"),
+        F.min(F.struct(undated, newest, F.col("id"), F.col("vendor_id")))["vendor_id"].alias("__recent"),
+        F.lit(True).alias("__known"),
+    )
+    modes = vendor.select(F.col("id").alias("__recent"), F.col("business_mode").alias("__mode"))
+    side = best.join(modes, "__recent", "left").drop("__recent")
+    out = product.drop("business_mode", "vendor_id").join(side, "tmpl_id", "left")
+    return out.withColumn("business_mode", F.when(F.col("__known"), F.col("__mode")).otherwise(F.lit("undefined"))).drop("__mode", "__known")
+
+
 def vendor_with_fallback(
     line: DataFrame,
     product: DataFrame,

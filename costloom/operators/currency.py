@@ -1,9 +1,9 @@
 """Currency conversion, current and dated.
 
 Rates are units of a currency per unit of company currency; a currency without
-a rate counts 1. Rate tables are broadcast: after reduction they hold one row
-per currency (current) or per currency and day (dated), so their size is fixed
-by the calendar and does not grow with the data that is converted.
+a rate counts 1. Reduced rates are written once per use and serve both legs of a
+conversion: one row per currency (current) or per currency and month a rate
+covers (dated). The planner sees their true size and chooses the join by it.
 """
 
 from __future__ import annotations
@@ -12,6 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import exchange
+from ..session import shared_folder
+
+
+def _written(side: DataFrame) -> DataFrame:
+    """A small table in the shared folder: computed once, and of known size."""
+    folder = shared_folder(side.sparkSession)
+    side.write.parquet(folder)
+    return side.sparkSession.read.schema(side.schema).parquet(folder)
 
 
 def current_rates(rates: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -22,43 +30,48 @@ def current_rates(rates: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def with_current_rate(df: DataFrame, rates: DataFrame, currency: str, out: str, as_of: str | None = None) -> DataFrame:
-    side = current_rates(rates, as_of).select(F.col("currency").alias(currency), F.col("rate").alias(out))
-    return df.join(F.broadcast(side), currency, "left")
+    return _rated(df, _written(current_rates(rates, as_of)), currency, out)
+
+
+def _rated(df: DataFrame, latest: DataFrame, currency: str, out: str) -> DataFrame:
+    return df.join(latest.select(F.col("currency").alias(currency), F.col("rate").alias(out)), currency, "left")
 
 
 def _month(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
+def rate_months(rates: DataFrame) -> DataFrame:
+    """Rates as [since, until) intervals under every month they cover, written once."""
+    daily = rates.groupBy("currency", "date").agg(F.max("rate").alias("rate"))
+    # Few rows per currency by construction: one per day at most.
+    intervals = daily.selectExpr("currency", "date AS since", "lead(date) OVER (PARTITION BY currency ORDER BY date) AS until", "rate")
+    last = daily.agg(F.max(_month(F.col("date")))).scalar()
+    months = F.sequence(_month(F.col("since")), F.coalesce(_month(F.col("until")), last))
+    return _written(intervals.select("currency", F.explode(months).alias("month"), "since", "until", "rate", last.alias("last_month")))
+
+
 def fx_asof(df: DataFrame, rates: DataFrame, currency: str, date_col: str, out: str = "rate") -> DataFrame:
     """As-of join: latest rate on or before ``date_col``, NULL before the first.
 
-    Rates become [date, next date) intervals listed under every month they
-    cover, so the join is on (currency, month) and a row meets only the few
-    rates of its own month. Later dates use the last month.
+    The join is on (currency, month), so a row meets only the few rates of its
+    own month. Later dates use the last month.
     """
-    daily = rates.groupBy("currency", "date").agg(F.max("rate").alias("rate"))
-    # Few rows per currency by construction: one per day at most.
-    intervals = daily.selectExpr(
-        "currency",
-        "date AS __fx_from",
-        "lead(date) OVER (PARTITION BY currency ORDER BY date) AS __fx_until",
-        "rate",
-    )
-    last_month = daily.agg(F.max(_month(F.col("date")))).scalar()
-    until = F.coalesce(_month(F.col("__fx_until")), last_month)
-    listed = intervals.withColumn("__fx_month", F.explode(F.sequence(_month(F.col("__fx_from")), until)))
-    side = listed.select(F.col("currency").alias("__fx_currency"), "__fx_month", "__fx_from", "__fx_until", F.col("rate").alias(out))
-    day = F.col(date_col).cast("date")
-    left = df.withColumn("__fx_day", day)
-    bucket = F.least(_month(F.col("__fx_day")), last_month)
+    return _dated(df, rate_months(rates), currency, date_col, out)
+
+
+def _dated(df: DataFrame, months: DataFrame, currency: str, date_col: str, out: str) -> DataFrame:
+    side = months.select(*[F.col(c).alias(f"__fx_{c}") for c in ("currency", "month", "since", "until")], F.col("rate").alias(out))
+    last = months.agg(F.max("last_month")).first()[0]
+    left = df.withColumn("__fx_day", F.col(date_col).cast("date"))
+    bucket = _month(F.col("__fx_day"))
     match = (
         (F.col(currency) == F.col("__fx_currency"))
-        & (bucket == F.col("__fx_month"))
-        & (F.col("__fx_from") <= F.col("__fx_day"))
+        & ((bucket if last is None else F.least(bucket, F.lit(last))) == F.col("__fx_month"))
+        & (F.col("__fx_since") <= F.col("__fx_day"))
         & (F.col("__fx_until").isNull() | (F.col("__fx_day") < F.col("__fx_until")))
     )
-    return left.join(F.broadcast(side), match, "left").drop("__fx_day", "__fx_currency", "__fx_month", "__fx_from", "__fx_until")
+    return left.join(side, match, "left").drop("__fx_day", *[f"__fx_{c}" for c in ("currency", "month", "since", "until")])
 
 
 def convert(
@@ -74,14 +87,14 @@ def convert(
 ) -> DataFrame:
     """Amount in another currency; ``to_currency`` None means company currency."""
     one = F.lit(1.0)
-    if date_col is None:
-        step = with_current_rate(df, rates, from_currency, "__rate_from", as_of)
-        if to_currency is not None:
-            step = with_current_rate(step, rates, to_currency, "__rate_to", as_of)
-    else:
-        step = fx_asof(df, rates, from_currency, date_col, "__rate_from")
-        if to_currency is not None:
-            step = fx_asof(step, rates, to_currency, date_col, "__rate_to")
+    side = _written(current_rates(rates, as_of)) if date_col is None else rate_months(rates)
+
+    def leg(rows: DataFrame, currency: str, name: str) -> DataFrame:
+        return _rated(rows, side, currency, name) if date_col is None else _dated(rows, side, currency, date_col, name)
+
+    step = leg(df, from_currency, "__rate_from")
+    if to_currency is not None:
+        step = leg(step, to_currency, "__rate_to")
     target = F.col("__rate_to") if to_currency is not None else one
     return step.withColumn(out, exchange(F.col(amount), F.col("__rate_from"), target, decimals)).drop(
         "__rate_from", "__rate_to"

@@ -50,7 +50,7 @@ def categorised_product(t: Tables) -> DataFrame:
 
 
 def fact(t: Tables) -> DataFrame:
-    product = costing.current_vendor(costing.business_mode(categorised_product(t), t.supplierinfo, t.vendor), t.supplierinfo)
+    product = costing.mode_and_vendor(categorised_product(t), t.supplierinfo, t.vendor)
     return sales.margin_fact(t.invoice_line, t.invoice, product, t.partner, t.currency_rate)
 
 

@@ -93,7 +93,7 @@ def supplier_sheet_files(t: Tables):
 @query(f""", {POSTED}, first_supplier AS (SELECT product_tmpl_id, arg_min(vendor_id, id) AS vendor_id FROM supplierinfo GROUP BY 1)
     SELECT p.default_code AS "Codigo", p.name AS "Descripcion", v.ref AS "Proveedor", p.qty_available AS "En Mano", p.virtual_available AS "Previsto",
            coalesce(CAST(CAST(q.qty AS DECIMAL(18,2)) AS VARCHAR), 'S/Fact') AS "Factura", {r4("p.today_cost")} AS "Costo Hoy", {r4("p.standard_product_price")} AS "Costo Compra"
-    FROM product p JOIN first_supplier f ON f.product_tmpl_id = p.tmpl_id JOIN vendor v ON v.id = f.vendor_id
+    FROM product p LEFT JOIN first_supplier f ON f.product_tmpl_id = p.tmpl_id LEFT JOIN vendor v ON v.id = f.vendor_id
     LEFT JOIN posted q ON q.default_code = p.default_code WHERE p.virtual_available <> 0 AND p.type = 'product'""")
 def stock_export(t: Tables):
     folder = shared_folder(t.spark)
@@ -175,7 +175,7 @@ def feed_job(t: Tables, state: str) -> FeedJob:
 
 
 # The feed arrives in three runs of daily files.
-RUNS = ["1994-06-01", "1996-06-01", "9999"]
+RUNS = ["1997-06-01", "1999-06-01", "9999"]
 
 
 @query(f""", {PARSED}, run AS (

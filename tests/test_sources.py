@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from costloom import sinks
@@ -89,10 +91,11 @@ def test_protected_codes_are_created_but_never_updated(spark):
     assert out["996.1"].name == "old" and out["A"].name == "y"
 
 
-def test_brand_masks(spark):
+@pytest.mark.parametrize("free_masks", [10, 0])
+def test_brand_masks(spark, free_masks):
     product = spark.createDataFrame([(1, "AB-10"), (2, "AB-2"), (3, "X_1"), (4, "Q"), (5, None)], "id long, default_code string")
     brand = spark.createDataFrame([(1, "AB-%", 1), (2, "%-1_", 2), (3, "X\\_%", 1), (4, "AB-2", 0)], "id long, mask string, checked_order int")
-    got = {r.id: r.brand_id for r in catalogue.assign_brands(product, brand).collect()}
+    got = {r.id: r.brand_id for r in catalogue.assign_brands(product, brand, free_masks=free_masks).collect()}
     assert got == {1: 2, 2: 1, 3: 3, 4: None, 5: None}
 
 
