@@ -152,6 +152,21 @@ def test_windows_score_each_token_once():
         assert abs(total / math.log(10) - score) < 1e-3 * max(1, n)
 
 
+def test_training_windows_hold_each_subword_once(spark):
+    ranks = lm.vocabulary(spark, lm.VOCABULARY)
+    subwords = lm.Subwords(ranks)
+    group = (np.arange(subwords.size + 1) % lm.CLASSES).astype(np.int16)
+    texts = ["", "one", "the end of " * 9 + "it", " ".join(f"word{i}" for i in range(700)), None]
+    rows = lm.training_windows(spark.createDataFrame([(x,) for x in texts], "text string").coalesce(1), ranks, group).collect()
+    windows = np.array([np.frombuffer(r["w"], np.int16) for r in rows])
+    want: list = []
+    for x in texts:
+        ids, _ = subwords.encode(lm.words_of(x or ""))
+        want += group[np.append(ids, subwords.end)].tolist()
+    assert sorted(windows[:, 1:][lm.trained(windows)].tolist()) == sorted(want)
+    assert (windows[:, 0] == lm.START).sum() >= len(texts)
+
+
 def test_lm_scores(spark, docs):
     rows = lm.scores(docs).collect()
     texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
