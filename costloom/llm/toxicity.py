@@ -82,13 +82,14 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(out, -500, 500)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights of L2-regularised logistic regression by Nesterov's accelerated gradient."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 400, counts: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights of L2-regularised logistic regression by Nesterov's accelerated gradient; a row counts ``counts`` times, else once."""
     x = x.astype(np.float32, copy=False)
     n = max(1, len(y))
+    own = np.ones(len(y), np.float32) if counts is None else (counts * (n / counts.sum())).astype(np.float32)
     v = np.ones(x.shape[1], np.float32)
     for _ in range(20):  # largest curvature, by power iteration
-        v = x.T @ (x @ v)
+        v = x.T @ (own * (x @ v))
         size = float(np.linalg.norm(v))
         if not size:
             break
@@ -98,7 +99,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 400) -> tu
     aw, ab = w, b
     for t in range(steps):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ aw + ab, -60, 60)))
-        g = (p - y).astype(np.float32)
+        g = (own * (p - y)).astype(np.float32)
         nw, nb = aw - step * (x.T @ g / n + ridge * aw), ab - step * float(g.mean())
         m = t / (t + 3)
         aw, ab = nw + m * (nw - w), nb + m * (nb - b)
@@ -110,12 +111,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, features: int
     """Classifier of ``docs`` (doc_id, text) labelled by ``labels`` (doc_id, toxic).
 
     The sample is bounded: ``per_class`` labelled documents of each class in the
-    order of a hash of the id. Labels other than 0 and 1 are left out; a document
-    labelled twice is toxic if any label says so. Without both classes there are
+    order of a hash of the id, each standing for as many as its class has for one
+    sampled, so the fit sees the true class shares whether the bound cuts or not.
+    Labels other than 0 and 1 are left out; a document labelled twice is toxic if
+    any label says so. Without both classes there are
     no features, and the score is the share of toxic documents, or 0.
     """
     marked = labels.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marked = marked.join(docs.filter("text is not null").select("doc_id"), "doc_id", "left_semi")
+    marked = kept(marked, "toxicity-labels")
+    # All documents of each class that can be learned from, before the bound.
+    every = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     # Ranked in parts first: no task holds a whole class, and the last rank sees at most PARTS * per_class rows of one.
     picked = marked.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS)))
     for within in (["toxic", "part"], ["toxic"]):
@@ -163,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, features: int
     for i, r in enumerate(rows):
         x[i] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=len(chosen))
     x *= ratios.astype(np.float32)
-    weight, bias = logistic(x, y, ridge)
+    weight, bias = logistic(x, y, ridge, counts=np.where(y > 0, every[1] / n1, every[0] / n0))
     return Model(chosen, weight * ratios, bias)
 
 

@@ -98,6 +98,15 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.predict_held_out(docs.filter("false"), labels).collect() == []
 
 
+@pytest.mark.parametrize("clean, nasty", [("plain words", "plain words"), ("fine words", "nasty insult")])
+def test_toxicity_sample_keeps_the_class_shares(spark, clean, nasty):
+    rows = [(i, f"{clean} number {i % 7}") for i in range(300)] + [(1000 + i, f"{nasty} number {i % 7}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows], "doc_id long, toxic int")
+    whole, cut = (toxicity.fit(docs, labels, per_class=n).score(["number"])[0] for n in (1000, 40))
+    assert abs(np.log(whole / (1 - whole)) - np.log(cut / (1 - cut))) < 0.7
+
+
 def test_present_features_are_those_of_a_plain_scan():
     texts = ["Abc abd", "", "  xyz", "abcabcabc" * 50]
     slot = np.full(1 << toxicity.BITS, -1, np.int32)
