@@ -176,6 +176,23 @@ def test_training_windows_hold_each_subword_once(spark):
     assert (windows[:, 0] == lm.START).sum() >= len(texts)
 
 
+def test_every_round_is_one_pass_at_every_size(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    plain = lm.Adam.step
+
+    def counted(self, windows):
+        seen.add(len(windows))
+        return plain(self, windows)
+
+    monkeypatch.setattr(lm.Adam, "step", counted)
+    rng = np.random.default_rng(0)
+    for n in (1, 70, 1100):
+        rows = rng.integers(0, lm.CLASSES, (n, lm.WINDOW + 1)).astype(np.int16)
+        before = seen.value
+        lm.train_model(spark.createDataFrame([(bytearray(x.tobytes()),) for x in rows], "w binary"), lm.first_parameters(np.ones(lm.CLASSES)), rounds=2)
+        assert seen.value - before == 2 * n
+
+
 def test_lm_scores(spark, docs):
     rows = lm.scores(docs).collect()
     texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
