@@ -12,14 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import exchange
-from ..session import shared_folder
-
-
-def _written(side: DataFrame) -> DataFrame:
-    """A small table in the shared folder: computed once, and of known size."""
-    folder = shared_folder(side.sparkSession)
-    side.write.parquet(folder)
-    return side.sparkSession.read.schema(side.schema).parquet(folder)
+from ..session import written
 
 
 def current_rates(rates: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -30,7 +23,7 @@ def current_rates(rates: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def with_current_rate(df: DataFrame, rates: DataFrame, currency: str, out: str, as_of: str | None = None) -> DataFrame:
-    return _rated(df, _written(current_rates(rates, as_of)), currency, out)
+    return _rated(df, written(current_rates(rates, as_of)), currency, out)
 
 
 def _rated(df: DataFrame, latest: DataFrame, currency: str, out: str) -> DataFrame:
@@ -48,7 +41,7 @@ def rate_months(rates: DataFrame) -> DataFrame:
     intervals = daily.selectExpr("currency", "date AS since", "lead(date) OVER (PARTITION BY currency ORDER BY date) AS until", "rate")
     last = daily.agg(F.max(_month(F.col("date")))).scalar()
     months = F.sequence(_month(F.col("since")), F.coalesce(_month(F.col("until")), last))
-    return _written(intervals.select("currency", F.explode(months).alias("month"), "since", "until", "rate", last.alias("last_month")))
+    return written(intervals.select("currency", F.explode(months).alias("month"), "since", "until", "rate", last.alias("last_month")))
 
 
 def fx_asof(df: DataFrame, rates: DataFrame, currency: str, date_col: str, out: str = "rate") -> DataFrame:
@@ -87,7 +80,7 @@ def convert(
 ) -> DataFrame:
     """Amount in another currency; ``to_currency`` None means company currency."""
     one = F.lit(1.0)
-    side = _written(current_rates(rates, as_of)) if date_col is None else rate_months(rates)
+    side = written(current_rates(rates, as_of)) if date_col is None else rate_months(rates)
 
     def leg(rows: DataFrame, currency: str, name: str) -> DataFrame:
         return _rated(rows, side, currency, name) if date_col is None else _dated(rows, side, currency, date_col, name)

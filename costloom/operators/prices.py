@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import MARGIN_UNKNOWN, cost_decreased, exchange, margin_ratio
-from ..functions.ordered import Running, drop_chunks, mark_chunks, scan_chunks, top_k
+from ..functions.ordered import CHUNK, Running, in_chunks, top_k
+from ..session import written
 from .costing import oldest_layer
 from .currency import with_current_rate
+from .transitions import OUTCOME, RECORD, composed, followed
 
 OBSOLETE, SELLABLE, OFFER = "obsolete", "sellable", "offer"
 
@@ -37,11 +39,11 @@ def scd2_prices(current: DataFrame, feed: DataFrame) -> DataFrame:
         *keys, *details, "price", F.col("date").cast("date").alias("date"), "seq", F.lit(True).alias("is_new")
     )
     order = ["date", "is_new", "seq"]
-    events = mark_chunks(opened.unionByName(news), keys, order)
-    seen = scan_chunks(events, keys, order, [Running("before", "last", F.col("price"), exclusive=True)], again=True)
-    kept = seen.filter(~F.col("is_new") | ~F.col("price").eqNullSafe(F.col("before")))
-    dated = scan_chunks(kept, keys, order, [Running("following", "last", F.col("date"), exclusive=True)], reverse=True)
-    out = drop_chunks(dated).select(
+    # Both scans start from the same written chunks.
+    seen = in_chunks(opened.unionByName(news), keys, order).scan([Running("before", "last", F.col("price"), exclusive=True)])
+    changed = seen.map(lambda df: df.filter(~F.col("is_new") | ~F.col("price").eqNullSafe(F.col("before"))))
+    dated = changed.scan([Running("following", "last", F.col("date"), exclusive=True)], reverse=True)
+    out = dated.rows().select(
         *keys,
         *details,
         "price",
@@ -53,56 +55,29 @@ def scd2_prices(current: DataFrame, feed: DataFrame) -> DataFrame:
     return past.unionByName(out)
 
 
-def _prune(events: DataFrame) -> DataFrame:
-    """Only the events that can still matter for the final state of a product.
+def _event(*more: str) -> Column:
+    return F.struct("date", "seq", "cost", "price", "is_primary", "manual", *more)
 
-    Without stock each event overwrites the one before, so the last two decide.
-    With stock a manual event resets everything before it, and after it an
-    automatic cost is only taken when it is above every earlier one: if c was
-    refused or taken, the current cost is above c - tolerance, so a later cost
-    must exceed c to be taken. What is left per product is bounded by the
-    number of distinct rising costs, not by the number of events.
+
+def _accepted_with_stock(events: DataFrame, tolerance: float) -> DataFrame:
+    """tmpl_id, cost, price, is_primary and is_last of the last automatic cost that was taken over.
+
+    ``events``: automatic costs that follow the start of their product, with its
+    ``start`` cost. Once a cost was taken or refused, the current cost is above
+    it less the tolerance, so only a cost above all earlier ones can be taken:
+    the others are dropped by a running peak. A chunk of what is left becomes
+    one record, which tells the outcome for any cost it can be entered with
+    (see ``transitions``), and a product's records are followed one after the other.
     """
-    order = ["date", "seq"]
-    keys = ["tmpl_id"]
-    effective = ~((F.col("cost") == 0) & F.col("is_primary"))
-    marked = events.withColumns(
-        {
-            "__effective": effective,
-            "__reset": effective & F.col("manual") & F.col("has_stock"),
-            "__auto": effective & ~F.col("manual"),
-        }
-    )
-    marked = mark_chunks(marked, keys, order)
-    one = lambda c: F.when(F.col(c), 1).otherwise(0).cast("bigint")
-    marked = scan_chunks(
-        marked,
-        keys,
-        order,
-        [
-            Running("__after", "sum", F.lit(1).cast("bigint"), exclusive=True),
-            Running("__after_effective", "sum", one("__effective"), exclusive=True),
-            Running("__after_reset", "sum", one("__reset"), exclusive=True),
-            Running("__next_cost", "last", F.when(F.col("__auto"), F.col("cost")), exclusive=True),
-        ],
-        reverse=True,
-        again=True,
-    )
-    live = F.coalesce("__after_reset", F.lit(0)) == 0
-    marked = scan_chunks(
-        marked,
-        keys,
-        order,
-        [Running("__peak", "max", F.when(live & F.col("__auto"), F.col("cost")), exclusive=True)],
-    )
-    peak = F.col("__peak")
-    rising = peak.isNull() | (F.col("cost") > peak) | ((peak <= 0) & (F.coalesce("__next_cost", F.lit(1.0)) > 0))
-    keep = (
-        (F.coalesce("__after", F.lit(0)) == 0)
-        | (~F.col("has_stock") & F.col("__effective") & (F.coalesce("__after_effective", F.lit(0)) < 2))
-        | (F.col("has_stock") & live & (F.col("__reset") | (F.col("__auto") & rising)))
-    )
-    return marked.filter(keep).select(*keys, *order, "cost", "price", "is_primary", "manual")
+    chunks = in_chunks(events, ["tmpl_id"], ["date", "seq"]).scan([Running("peak", "max", F.col("cost"), exclusive=True)])
+    above = F.greatest("start", F.coalesce("peak", F.col("start")))
+    rising = chunks.df.withColumn("above", above).filter(F.col("cost") > F.col("above"))
+    # Rising costs are in order by themselves.
+    rising = rising.select("tmpl_id", F.col(CHUNK).alias("chunk"), "start", "above", "cost", "price", "is_primary", "is_last")
+    rising = rising.repartition("tmpl_id", "chunk").sortWithinPartitions("tmpl_id", "chunk", "cost")
+    records = rising.mapInPandas(composed(tolerance), RECORD)
+    in_turn = records.repartition("tmpl_id").sortWithinPartitions("tmpl_id", "chunk")
+    return in_turn.mapInPandas(followed(tolerance), OUTCOME)
 
 
 def apply_prices(
@@ -117,50 +92,70 @@ def apply_prices(
     """Product prices and state after a sequence of cost events.
 
     ``events``: tmpl_id, date, seq, cost, price, is_primary, manual; costs are
-    not negative. A primary vendor's zero cost makes a product obsolete. A lower
-    automatic cost puts it on offer, and is not taken over while there is
-    stock. Otherwise cost, list price and margin follow the event, and the
-    standard price too when there is no stock. The first matching price row of
-    an event is written by ``scd2_prices``.
+    not negative, and events without a cost are left out. A primary vendor's
+    zero cost makes a product obsolete. A lower automatic cost puts it on offer,
+    and is not taken over while there is stock. Otherwise cost, list price and
+    margin follow the event, and the standard price too when there is no stock.
+    The first matching price row of an event is written by ``scd2_prices``.
+
+    No group holds a product's events. Without stock every event overwrites the
+    one before, so the last two decide. With stock a manual event resets what
+    came before it, and the automatic ones after it compose.
     """
     stocked = layers.filter(F.col("location_usage") == "internal").select(F.col("product_id").alias("tmpl_id")).distinct()
-    flags = product.select("tmpl_id").join(stocked.withColumn("has_stock", F.lit(True)), "tmpl_id", "left")
-    flags = flags.withColumn("has_stock", F.coalesce("has_stock", F.lit(False)))
-    pruned = _prune(events.join(flags, "tmpl_id"))
-    ordered = pruned.groupBy("tmpl_id").agg(
-        F.array_sort(F.collect_list(F.struct("date", "seq", "cost", "price", "is_primary", "manual"))).alias("__events")
+    flags = product.select("tmpl_id", "today_cost").join(stocked.withColumn("has_stock", F.lit(True)), "tmpl_id", "left")
+    flags = flags.select("tmpl_id", F.coalesce("today_cost", F.lit(0.0)).alias("__cost"), F.coalesce("has_stock", F.lit(False)).alias("has_stock"))
+    # A primary vendor's zero cost only marks the product.
+    events = events.filter(F.col("cost").isNotNull()).withColumn("counts", ~((F.col("cost") == 0) & F.col("is_primary")))
+    at = F.struct("date", "seq")
+    counted, reset = F.when(F.col("counts"), at), F.when(F.col("counts") & F.col("manual"), at)
+    ends = events.groupBy("tmpl_id").agg(
+        F.max_by(_event(), at).alias("__last"), F.max_by(_event(), counted).alias("__taken"), F.max_by(_event(), reset).alias("__reset")
     )
+    known = written(flags.join(ends, "tmpl_id"))  # one row a product, read four times
+
+    two = top_k(events.filter("counts").join(known.filter("not has_stock").select("tmpl_id"), "tmpl_id", "left_semi"), ["tmpl_id"], [F.col("date").desc(), F.col("seq").desc()], 2, rank="__n")
+    before = two.filter("__n = 2").select("tmpl_id", F.col("cost").alias("__before"))
+
+    starts = known.filter("has_stock").select(
+        "tmpl_id",
+        F.coalesce("__reset.cost", "__cost").alias("start"),
+        F.when(F.col("__reset").isNotNull(), F.struct("__reset.date", "__reset.seq")).alias("__since"),
+        F.struct("__last.date", "__last.seq").alias("__end"),
+    )
+    after = events.filter(F.col("counts") & ~F.col("manual")).join(starts, "tmpl_id")
+    after = after.filter((F.col("__since").isNull() | (at > F.col("__since"))) & ~cost_decreased(F.col("start"), F.col("cost"), tolerance))
+    after = after.select("tmpl_id", "date", "seq", "cost", "price", "is_primary", "start", (at == F.col("__end")).alias("is_last"))
+    risen = _accepted_with_stock(after, tolerance)
+    risen = risen.select("tmpl_id", F.struct("cost", "price", "is_primary", F.lit(False).alias("manual"), "is_last").alias("__risen"))
+
     margin = item.select(F.col("code").alias("item_code"), F.col("margin").alias("__item_margin"))
     base = with_current_rate(product, rates, "currency", "__rate", as_of).join(margin, "item_code", "left")
-    base = base.join(flags, "tmpl_id").join(ordered, "tmpl_id", "left")
-
-    stock = F.col("has_stock")
+    base = base.join(known, "tmpl_id", "left").join(before, "tmpl_id", "left").join(risen, "tmpl_id", "left")
+
+    stock, last = F.col("has_stock"), F.col("__last")
+    plain = lambda c: F.when(c.isNotNull(), F.struct(c["cost"].alias("cost"), c["price"].alias("price"), c["is_primary"].alias("is_primary"), c["manual"].alias("manual"), (F.struct(c["date"], c["seq"]) == F.struct(last["date"], last["seq"])).alias("is_last")))
+    # From a cost of zero any cost is taken, another zero too.
+    from_zero = F.coalesce("__reset.cost", "__cost") == 0
+    taken = F.when(stock, F.coalesce(F.col("__risen"), F.when(from_zero, plain(F.col("__taken"))), plain(F.col("__reset")))).otherwise(plain(F.col("__taken")))
+    base = base.withColumn("__e", taken)
+    e, rate = F.col("__e"), F.col("__rate")
+    dead = (last["cost"] == 0) & last["is_primary"]
+    lower = F.when(stock, ~F.coalesce(e["is_last"], F.lit(False))).otherwise(cost_decreased(F.coalesce("__before", "__cost"), e["cost"], tolerance) & ~e["manual"])
     item_margin = F.coalesce("__item_margin", F.lit(0.0))
-    rate = F.col("__rate")
-    values = ["today_cost", "state", "standard_price", "standard_product_price", "list_price", "margin"]
-
-    def step(acc: Column, e: Column) -> Column:
-        lower = cost_decreased(acc["today_cost"], e["cost"], tolerance) & ~e["manual"]
-        dead = (e["cost"] == 0) & e["is_primary"]
-        refused = dead | (stock & lower)
-        by_margin = e["is_primary"] & ~e["manual"]
-        new = {
-            "today_cost": e["cost"],
-            "state": F.when(dead, OBSOLETE).when(lower, OFFER).otherwise(SELLABLE),
-            "standard_price": F.when(stock, acc["standard_price"]).otherwise(exchange(e["cost"], rate, F.lit(1.0))),
-            "standard_product_price": F.when(stock, acc["standard_product_price"]).otherwise(e["cost"]),
-            "list_price": F.when(by_margin, e["cost"] * (F.lit(1.0) + item_margin)).otherwise(e["price"]),
-            "margin": F.when(by_margin, F.lit(100.0) * item_margin)
-            .when(e["cost"] == 0, F.lit(MARGIN_UNKNOWN))
-            .otherwise(F.lit(100.0) * (F.try_divide(e["price"], e["cost"]) - F.lit(1.0))),
-        }
-        return F.struct(
-            *[(new[v] if v == "state" else F.when(refused, acc[v]).otherwise(new[v])).alias(v) for v in values]
-        )
-
-    start = F.struct(*[F.col(v).alias(v) for v in values])
-    out = base.withColumn("__end", F.when(F.col("__events").isNull(), start).otherwise(F.aggregate("__events", start, step)))
-    return out.select(*[F.col(f"__end.{c}").alias(c) if c in values else F.col(c) for c in product.columns])
+    by_margin = e["is_primary"] & ~e["manual"]
+    new = {
+        "today_cost": e["cost"],
+        "standard_price": F.when(stock, F.col("standard_price")).otherwise(exchange(e["cost"], rate, F.lit(1.0))),
+        "standard_product_price": F.when(stock, F.col("standard_product_price")).otherwise(e["cost"]),
+        "list_price": F.when(by_margin, e["cost"] * (F.lit(1.0) + item_margin)).otherwise(e["price"]),
+        "margin": F.when(by_margin, F.lit(100.0) * item_margin)
+        .when(e["cost"] == 0, F.lit(MARGIN_UNKNOWN))
+        .otherwise(F.lit(100.0) * (F.try_divide(e["price"], e["cost"]) - F.lit(1.0))),
+    }
+    out = {c: F.when(e.isNull(), F.col(c)).otherwise(v) for c, v in new.items()}
+    out["state"] = F.when(last.isNull(), F.col("state")).when(dead, OBSOLETE).when(lower, OFFER).otherwise(SELLABLE)
+    return base.select(*[out.get(c, F.col(c)).alias(c) for c in product.columns])
 
 
 def price_drops(supplierinfo: DataFrame, product: DataFrame, item: DataFrame, vendors: DataFrame | None = None) -> DataFrame:

@@ -39,22 +39,38 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, shared: str | N
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder all executors can reach: below ``spark.checkpoint.dir``.
+def _base(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables.
 
-    Where that is unset it lies below the warehouse, which a cluster shares too.
+    It lies below ``spark.checkpoint.dir``. A local session may leave that unset
+    and uses its warehouse; on a cluster a folder that all machines share must be named.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
-    return f"{base.rstrip('/')}/costloom-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    return f"{base.rstrip('/')}/costloom-{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder all executors can reach; ``clean_up`` removes it."""
+    return f"{_base(spark)}/{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint: cut the lineage and keep the rows in the shared folder.
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read from there.
 
-    The rows outlive a lost executor. A checkpoint folder that is already set
-    is kept.
+    The rows outlive a lost executor, are computed once whoever reads them, and
+    the planner knows their size and may prune their columns.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    folder = shared_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; results that still read them must be done."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_base(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

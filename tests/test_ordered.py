@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from costloom.functions.ordered import Running, asof_by_day, mark_chunks, ordered_scan, top_k
+from costloom.functions.ordered import Running, asof_by_day, in_chunks, ordered_scan, top_k
 
 
 def plain(rows, reverse):
@@ -42,10 +42,27 @@ def test_scan_matches_loop(spark, parts, reverse):
 
 def test_a_key_is_spread_over_chunks(spark, parts):
     df = spark.range(2000).select(F.when(F.col("id") % 20 == 0, F.col("id")).otherwise(-1).alias("k"), "id")
-    sizes = mark_chunks(df, ["k"], ["id"]).filter("k = -1").groupBy("__chunk").count().collect()
+    sizes = in_chunks(df, ["k"], ["id"]).df.filter("k = -1").groupBy("__chunk").count().collect()
     assert len(sizes) >= min(parts, 0.8 * parts) and max(r["count"] for r in sizes) <= 2.2 * 2000 / parts
 
 
+def test_peaks_and_whole_values(spark, parts):
+    rng = random.Random(parts)
+    rows = [(None if rng.random() < 0.4 else rng.randrange(1, 9), i, rng.randrange(0, 9), rng.randrange(0, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, i int, a long, b long")
+    short = F.col("sb") - F.col("sa")
+    running = [Running("sa", "sum", F.col("a"), whole="all_a"), Running("sb", "sum", F.col("b")), Running("p", "peak", short, whole="all_p"), Running("q", "peak", short, exclusive=True)]
+    got = {r.i: (r.sa, r.sb, r.p, r.q, r.all_a, r.all_p) for r in ordered_scan(df, ["k"], ["i"], running).collect()}
+    for key in {r[0] for r in rows}:
+        mine, sa, sb, peak = [r for r in rows if r[0] == key], 0, 0, None
+        want = {}
+        for _, i, a, b in mine:
+            sa, sb, before = sa + a, sb + b, peak
+            peak = sb - sa if peak is None else max(peak, sb - sa)
+            want[i] = (sa, sb, peak, before)
+        assert {i: got[i] for i in want} == {i: (*v, sa, peak) for i, v in want.items()}
+
+
 def test_top_k_is_limited_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     best = top_k(df, ["k"], [F.col("id").desc()], 2)

@@ -4,8 +4,10 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from costloom.operators.prices import apply_prices, price_drops, scd2_prices
+from costloom.operators.transitions import Chunk
 
 DAY = dt.date(2020, 1, 1)
 PRODUCT = "id long, tmpl_id long, item_code string, currency string, today_cost double, state string, standard_price double, standard_product_price double, list_price double, margin double"
@@ -98,6 +100,49 @@ def test_pruned_fold_equals_full_fold(spark, parts):
         assert (r.today_cost, r.state, r.standard_price, r.list_price, r.margin) == pytest.approx(expected), n
 
 
+def test_a_million_rising_costs_of_one_product(spark):
+    n, step = 1_000_000, 0.0001
+    events = spark.range(n).select(
+        F.lit(1).cast("long").alias("tmpl_id"),
+        F.lit(DAY).alias("date"),
+        F.col("id").alias("seq"),
+        (F.lit(1.0) + F.col("id") * step).alias("cost"),
+        F.lit(9.0).alias("price"),
+        F.lit(True).alias("is_primary"),
+        F.lit(False).alias("manual"),
+    )
+    layers = spark.createDataFrame([(1, 1, "internal", dt.datetime(2020, 1, 1))], LAYER)
+    out = apply_prices(spark.createDataFrame([product(1, 0.97)], PRODUCT), events, spark.createDataFrame([("A", 0.5)], ITEM), layers, rates(spark))
+    cost, taken = 0.97, None
+    for i in range(n):
+        c = 1.0 + i * step
+        if not cost + 0.05 > c:
+            cost, taken = c, i
+    row = out.collect()[0]
+    assert (row.today_cost, row.list_price, row.state) == (cost, cost * 1.5, "sellable" if taken == n - 1 else "offer")
+    plan = out._jdf.queryExecution().toString()
+    assert "collect_list" not in plan
+
+
+def test_records_tell_the_outcome_of_every_entry():
+    rng = random.Random(8)
+    for _ in range(300):
+        above = rng.choice([1.0, 2.5])
+        costs = sorted({round(above + rng.random() * rng.choice([0.02, 0.2, 2.0]), 4) for _ in range(rng.randrange(1, 60))} - {above})
+        chunk = Chunk(0.5, above, 0.05)
+        for n, c in enumerate(costs):
+            chunk.add((c, 0.0, True, n == len(costs) - 1))
+        bounds, ways, taken = chunk.record()
+        assert len(bounds) <= sum(not c >= above + 0.05 for c in costs) + 1
+        for _ in range(20):
+            x = cost = above - rng.random() * 0.049
+            for c in costs:
+                if not cost + 0.05 > c:
+                    cost = c
+            at = next((i for i, b in enumerate(bounds) if not x + 0.05 > b), None)
+            assert cost == (x if at is None else taken[ways[at]]["cost"])
+
+
 def history(rows):
     """One feed row at a time, as (price, start, end) lists."""
     out = []
