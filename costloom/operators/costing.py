@@ -321,24 +321,35 @@ def closest_invoice_line(product: DataFrame, lines: DataFrame, layers: DataFrame
     ).drop("__since")
 
 
-def invoice_cost(
-    product: DataFrame, lines: DataFrame, layers: DataFrame, rates: DataFrame, fallback_date: str
-) -> DataFrame:
-    """Product with ``invoice_cost`` from its nearest purchase line, in product currency.
+def purchase_nets(product: DataFrame, lines: DataFrame, layers: DataFrame, fallback_date: str) -> DataFrame:
+    """Net price, currency and date of the purchase line nearest to each product's oldest layer.
 
-    ``lines`` also has price_unit, discount, invoice_discount, is_primary and
-    currency. The conversion uses the rates of the invoice date; 0 without line.
+    ``product``: id. ``lines`` also has price_unit, discount, invoice_discount, is_primary and currency.
     """
     near = closest_invoice_line(product, lines, layers, fallback_date)
     net = purchase_net_price(F.col("price_unit"), F.col("discount"), F.col("invoice_discount"), F.col("is_primary"))
-    near = near.select("product_id", F.when(F.col("price_unit") != 0, net).alias("__net"), F.col("currency").alias("__from"), "date_invoice")
-    priced = near.join(product.select(F.col("id").alias("product_id"), F.col("currency").alias("__to")), "product_id")
-    priced = convert(priced, rates, "__net", "__from", "__to", "__cost", date_col="date_invoice")
+    return near.select("product_id", F.when(F.col("price_unit") != 0, net).alias("net"), F.col("currency").alias("net_currency"), "date_invoice")
+
+
+def with_invoice_cost(product: DataFrame, nets: DataFrame, rates: DataFrame) -> DataFrame:
+    """Product with ``invoice_cost`` from ``purchase_nets``, in product currency at the invoice date; 0 without line."""
+    priced = nets.join(product.select(F.col("id").alias("product_id"), F.col("currency").alias("__to")), "product_id")
+    priced = convert(priced, rates, "net", "net_currency", "__to", "__cost", date_col="date_invoice")
     priced = priced.select(F.col("product_id").alias("id"), "__cost")
     out = product.drop("invoice_cost").join(priced, "id", "left")
     return out.withColumn("invoice_cost", F.coalesce("__cost", F.lit(0.0))).drop("__cost")
 
 
+def invoice_cost(
+    product: DataFrame, lines: DataFrame, layers: DataFrame, rates: DataFrame, fallback_date: str
+) -> DataFrame:
+    """Product with ``invoice_cost`` from its nearest purchase line, in product currency.
+
+    The conversion uses the rates of the invoice date; 0 without line.
+    """
+    return with_invoice_cost(product, purchase_nets(product, lines, layers, fallback_date), rates)
+
+
 def move_unit_price(po_line: DataFrame, rates: DataFrame, as_of: str | None = None) -> DataFrame:
     """Unit price of an incoming move in company and in product currency.
 

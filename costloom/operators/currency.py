@@ -23,7 +23,9 @@ def current_rates(rates: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def with_current_rate(df: DataFrame, rates: DataFrame, currency: str, out: str, as_of: str | None = None) -> DataFrame:
-    return _rated(df, written(current_rates(rates, as_of)), currency, out)
+    """``rates`` may also be the result of ``current_rates``, written by the caller."""
+    reduced = rates if "date" not in rates.columns else written(current_rates(rates, as_of))
+    return _rated(df, reduced, currency, out)
 
 
 def _rated(df: DataFrame, latest: DataFrame, currency: str, out: str) -> DataFrame:
@@ -78,9 +80,15 @@ def convert(
     as_of: str | None = None,
     decimals: int | None = None,
 ) -> DataFrame:
-    """Amount in another currency; ``to_currency`` None means company currency."""
+    """Amount in another currency; ``to_currency`` None means company currency.
+
+    With ``date_col``, ``rates`` may also be the result of ``rate_months``.
+    """
     one = F.lit(1.0)
-    side = written(current_rates(rates, as_of)) if date_col is None else rate_months(rates)
+    if date_col is None:
+        side = written(current_rates(rates, as_of))
+    else:
+        side = rates if "last_month" in rates.columns else rate_months(rates)
 
     def leg(rows: DataFrame, currency: str, name: str) -> DataFrame:
         return _rated(rows, side, currency, name) if date_col is None else _dated(rows, side, currency, date_col, name)

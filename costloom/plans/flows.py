@@ -17,7 +17,7 @@ from ..sources.tables import DEFINITIONS, Tables
 from ..streaming.feed import FeedJob, start_feed, stream_feed
 from . import audits as sheet_plans
 from .catalogue import CODES_SQL, CURRENT_SQL, FEED_SQL, HELD_SQL, PARSED, TAX_SQL, feed, flat, good_feed
-from .common import TODAY, purchase_lines, rounded
+from .common import CUR_RATE, TODAY, purchase_lines, rounded
 from .kpis import ACCOUNT_SQL, MONTH_END
 from .registry import CHECKS, query, r4
 from .stock import POSTED
@@ -171,43 +171,74 @@ def feed_job(t: Tables, state: str) -> FeedJob:
         "history": history,
         "barcode": t.sql(HELD_SQL),
     }
-    return FeedJob(state, 1, lambda spark: dims, initial, TODAY)
+    return FeedJob(state, 1, lambda spark: dims, initial, TODAY, buckets=8, compact_every=4)
 
 
-# The feed arrives in three runs of daily files.
-RUNS = ["1997-06-01", "1999-06-01", "9999"]
+# The feed arrives in runs of daily files, and a run takes so many files at a time.
+RUNS = ["9999"]
+FILES = 1250
+PRICES = ["today_cost", "standard_price", "standard_product_price", "list_price", "margin"]
 
 
-@query(f""", {PARSED}, run AS (
-        SELECT g.*, CASE WHEN write_date < TIMESTAMP '{RUNS[0]} 00:00:00' THEN 0 WHEN write_date < TIMESTAMP '{RUNS[1]} 00:00:00' THEN 1 ELSE 2 END AS n
-        FROM good g),
+@query(f""", {PARSED}, {CUR_RATE}, day AS (
+        SELECT DISTINCT substr(write_date, 1, 10) AS day, CASE WHEN write_date < '{RUNS[0]}' THEN 0 ELSE 1 END AS run FROM feed_raw),
+    batch AS (SELECT day, dense_rank() OVER (ORDER BY run, (place - 1) // {FILES}) AS n FROM (
+        SELECT *, row_number() OVER (PARTITION BY run ORDER BY day) AS place FROM day)),
+    run AS (SELECT g.*, b.n FROM good g JOIN batch b ON b.day = CAST(CAST(g.write_date AS DATE) AS VARCHAR)),
+    known AS (SELECT * FROM product WHERE state = 'sellable'),
     loaded AS (
         SELECT * FROM run r WHERE default_code NOT LIKE '996.%' OR (
             n = (SELECT MIN(n) FROM run f WHERE f.default_code = r.default_code)
-            AND NOT EXISTS (SELECT 1 FROM product p WHERE p.state = 'sellable' AND p.default_code = r.default_code))),
+            AND NOT EXISTS (SELECT 1 FROM known p WHERE p.default_code = r.default_code))),
     newest AS (
         SELECT * FROM loaded QUALIFY row_number() OVER (PARTITION BY default_code ORDER BY CAST(write_date AS DATE) DESC, line_id DESC) = 1),
+    numbered AS (
+        SELECT default_code, cost, row_number() OVER (PARTITION BY default_code ORDER BY CAST(write_date AS DATE), line_id) AS n FROM loaded),
+    side AS (
+        SELECT coalesce(p.default_code, w.default_code) AS default_code, coalesce(p.today_cost, 0) AS today_cost, coalesce(p.standard_price, 0) AS standard_price,
+               coalesce(p.standard_product_price, 0) AS standard_product_price, coalesce(p.list_price, 0) AS list_price,
+               coalesce(i.margin, 0) AS m, coalesce(r.rate, 1) AS rate,
+               EXISTS (SELECT 1 FROM stock_layer s WHERE s.product_id = p.id AND s.location_usage = 'internal') AS stock
+        FROM known p FULL JOIN newest w ON w.default_code = p.default_code
+        LEFT JOIN item i ON i.code = coalesce(w.item_code, p.item_code) LEFT JOIN cur_rate r ON r.currency = coalesce(p.currency, 'ARS')),
+    fold AS (
+        SELECT default_code, CAST(0 AS BIGINT) AS n, today_cost, 'sellable' AS state, standard_price, standard_product_price, list_price, CAST(0 AS DOUBLE) AS margin FROM side
+        UNION ALL
+        SELECT f.default_code, e.n,
+               CASE WHEN e.cost = 0 OR (stock AND lower) THEN f.today_cost ELSE e.cost END,
+               CASE WHEN e.cost = 0 THEN 'obsolete' WHEN lower THEN 'offer' ELSE 'sellable' END,
+               CASE WHEN e.cost = 0 OR stock THEN f.standard_price ELSE e.cost / s.rate END,
+               CASE WHEN e.cost = 0 OR stock THEN f.standard_product_price ELSE e.cost END,
+               CASE WHEN e.cost = 0 OR (stock AND lower) THEN f.list_price ELSE e.cost * (1 + s.m) END,
+               CASE WHEN e.cost = 0 OR (stock AND lower) THEN f.margin ELSE 100 * s.m END
+        FROM fold f JOIN numbered e ON e.default_code = f.default_code AND e.n = f.n + 1 JOIN side s ON s.default_code = f.default_code,
+        LATERAL (SELECT f.today_cost <> 0 AND f.today_cost + 0.05e0 > e.cost AS lower) x),
+    priced AS (SELECT * FROM fold QUALIFY row_number() OVER (PARTITION BY default_code ORDER BY n DESC) = 1),
     tax AS ({TAX_SQL.replace("'other'", "'vat'")}), pick AS (
         SELECT amount, use, MIN(id) AS tax_id FROM tax WHERE tax_group = 'vat' AND (amount <> 0 OR group_code = 2) GROUP BY amount, use)
-    SELECT coalesce(p.default_code, n.default_code) AS default_code, n.default_code IS NOT NULL AS category_stale,
+    SELECT f.default_code, n.default_code IS NOT NULL AS category_stale,
            coalesce(n.name, p.name) AS name, CASE WHEN n.default_code IS NULL THEN 1 ELSE n.upv END AS upv,
            CASE WHEN n.default_code IS NULL THEN 0 ELSE n.wholesaler_bulk END AS wholesaler_bulk, n.description_sale,
            CAST(n.write_date AS VARCHAR) AS write_date, CASE WHEN n.default_code IS NOT NULL THEN 'product' END AS type,
            CASE WHEN n.default_code IS NOT NULL THEN 'order' END AS invoice_policy, CASE WHEN n.default_code IS NOT NULL THEN 'purchase' END AS purchase_method,
-           CAST(s.tax_id AS BIGINT) AS sale_tax_id, CAST(b.tax_id AS BIGINT) AS purchase_tax_id
-    FROM (SELECT default_code, name FROM product WHERE state = 'sellable') p FULL JOIN newest n ON n.default_code = p.default_code
+           CAST(s.tax_id AS BIGINT) AS sale_tax_id, CAST(b.tax_id AS BIGINT) AS purchase_tax_id, f.state,
+           {", ".join(f"{r4(f'f.{c}')} AS {c}" for c in PRICES)}
+    FROM priced f LEFT JOIN known p ON p.default_code = f.default_code LEFT JOIN newest n ON n.default_code = f.default_code
     LEFT JOIN pick s ON s.use = 'sale' AND s.amount = n.iva LEFT JOIN pick b ON b.use = 'purchase' AND b.amount = n.iva""")
 def feed_stream(t: Tables):
-    """The whole feed as a stream: daily files, several runs, state, then the final catalogue."""
+    """The whole feed as a stream: daily files, several batches a run, finished files archived, then the final catalogue with its prices."""
     folder = shared_folder(t.spark)
     job = feed_job(t, f"{folder}/state")
+    rows = feed(t)
     since = ""
     for until in RUNS:
-        days = feed(t).filter((F.col("write_date") >= since) & (F.col("write_date") < until))
-        sinks.write_daily(days, f"{folder}/feed", order=["line_id"])
-        stream = stream_feed(t.spark, f"{folder}/feed", files_per_batch=100_000)
-        start_feed(stream, job, f"{folder}/checkpoint").awaitTermination()
+        sinks.write_daily(rows.filter((F.col("write_date") >= since) & (F.col("write_date") < until)), f"{folder}/feed", order=["line_id"])
+        stream = stream_feed(t.spark, f"{folder}/feed", FILES, f"{folder}/done")
+        query = start_feed(stream, job, f"{folder}/checkpoint")
+        query.awaitTermination()
+        sinks.drop_empty_days(t.spark, f"{folder}/feed")
         since = until
-    last = t.spark.read.parquet(f"{folder}/state/product/batch={len(RUNS) - 1}")
-    columns = ["default_code", "category_stale", "name", "upv", "wholesaler_bulk", "description_sale", "type", "invoice_policy", "purchase_method", "sale_tax_id", "purchase_tax_id"]
-    return last.select(*columns, F.col("write_date").cast("string").alias("write_date"))
+    batches = query.lastProgress["batchId"] + 1
+    columns = ["default_code", "category_stale", "name", "upv", "wholesaler_bulk", "description_sale", "type", "invoice_policy", "purchase_method", "sale_tax_id", "purchase_tax_id", "state"]
+    last = job.table("product").read(t.spark, batches)
+    return rounded(last.select(*columns, *PRICES, F.col("write_date").cast("string").alias("write_date")), *PRICES)

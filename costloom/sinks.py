@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import FEED_COLUMNS
@@ -23,11 +25,43 @@ STOCK_HEADER = {
 def write_daily(feed: DataFrame, path: str, mode: str = "append", order: list[str] | None = None) -> None:
     """One folder per write date, rows in the given order inside a file.
 
-    Rows are dealt by day, and a day too large for one task is split.
+    Rows are dealt by day, and a day too large for one task is split. A file's
+    time is its day, so a stream that takes the oldest files first takes the
+    days in order whichever task wrote them; a day that is no date keeps the
+    time it was written. Files go to their place when their task ends, not one by
+    one at the end of the job: there are as many as days. A repeated task writes
+    the same names; start a stream after the write.
     """
     out = feed.withColumn("day", F.substring("write_date", 1, 10)).hint("rebalance", "day")
     out = out.sortWithinPartitions("day", *(order or [])).select(*FEED_COLUMNS, "day")
-    out.write.partitionBy("day").mode(mode).option("quoteAll", "false").option("escape", '"').csv(path)
+    writer = out.write.partitionBy("day").mode(mode).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.option("quoteAll", "false").option("escape", '"').csv(path)
+    fs, found = _day_files(feed.sparkSession, path)
+    for file in found:
+        try:
+            day = datetime.strptime(file.getPath().getParent().getName(), "day=%Y-%m-%d").replace(tzinfo=UTC)
+        except ValueError:
+            continue
+        if file.getModificationTime() != (at := int(day.timestamp() * 1000)):
+            fs.setTimes(file.getPath(), at, -1)
+
+
+def _day_files(spark: SparkSession, path: str):
+    """(file system, files in the day folders below ``path``): one a day, or a few."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/day=*/part-*")
+    fs = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, list(fs.globStatus(files) or [])
+
+
+def drop_empty_days(spark: SparkSession, path: str) -> int:
+    """Remove the day folders that a stream has emptied, so that they are no longer listed; returns how many are left."""
+    fs, found = _day_files(spark, path)
+    used = {f.getPath().getParent().getName() for f in found}
+    days = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/day=*")
+    for folder in fs.globStatus(days) or []:
+        if folder.getPath().getName() not in used:
+            fs.delete(folder.getPath(), True)
+    return len(used)
 
 
 def export_stock_csv(reconciliation: DataFrame, path: str) -> None:
