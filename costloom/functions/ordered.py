@@ -169,6 +169,22 @@ def in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Chunk
     return Chunks(marked, tuple(keys), tuple(order), spark.createDataFrame(split, schema) if split else None)
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``df`` with each row's position in the whole order, from 1, without a task that sees all rows.
+
+    Rows are range-partitioned by the order and numbered inside their partition;
+    the partitions' counts, one row each, give the offsets. ``order`` must be a
+    total order, or equal rows take any of their positions.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marked = written(df.repartitionByRange(parts, *order).withColumn(CHUNK, F.spark_partition_id()))
+    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    counts = marked.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy(CHUNK).orderBy(*order)).cast("bigint")
+    return marked.withColumn(name, place).join(F.broadcast(offsets), CHUNK).withColumn(name, F.col(name) + F.col("__before")).drop(CHUNK, "__before")
+
+
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], running: Sequence[Running], reverse: bool = False) -> DataFrame:
     """Running values per key in ``order`` (ascending, or descending if ``reverse``).
 

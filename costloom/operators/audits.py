@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import CUSTOMER_TYPES, any_of, py_strip
 from ..schemas import SHEET_COLUMNS
+from ..session import written
 
 # Fixed values of the supplier sheets.
 CURRENCIES = ("ARS", "USD")
@@ -118,6 +119,16 @@ def sheet_gate(checked: DataFrame, vendors: DataFrame | None = None) -> DataFram
     return out.filter(F.col("__first_bad").isNull() | (F.col("sheet_no") < F.col("__first_bad"))).drop("__first_bad", "invalid", "errors")
 
 
+def load_sheets(sheets: DataFrame, product: DataFrame, partner: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(validated rows, rows that load) of sheets.
+
+    The rows are validated once and written; the failing sheets, the errors and
+    the rows that load all come from that table.
+    """
+    checked = written(validate_sheet(sheets, product))
+    return checked, sheet_gate(checked, check_vendors(checked, partner))
+
+
 def upsert_supplier_products(current: DataFrame, loaded: DataFrame, company_currency: str) -> DataFrame:
     """Catalogue after accepted sheet rows; only cells that were filled overwrite.
 

@@ -346,48 +346,50 @@ def discontinued_lines(po_line: DataFrame, product: DataFrame) -> DataFrame:
     return po_line.join(flag, "product_id", "left")
 
 
-def _literal_head(mask: Column) -> Column:
-    return F.regexp_extract(mask, r"^[^%_\\]*", 0)
+GRAM = 3  # characters of a mask that codes are looked up by
+FREE_MASKS = 10_000  # masks without any literal that may be broadcast
 
 
-FREE_MASKS = 10_000  # masks starting with a wildcard that may be broadcast
+def _gram(mask: Column) -> Column:
+    """The last characters, up to GRAM, of the longest literal part of a mask, wherever it stands; empty if it has none."""
+    parts = F.regexp_extract_all(mask, F.lit(r"([^%_\\]+)"), 1)
+    longest = F.aggregate(parts, F.lit(""), lambda best, part: F.when(F.length(part) > F.length(best), part).otherwise(best))
+    return F.right(longest, F.lit(GRAM))
 
 
 def assign_brands(product: DataFrame, brand: DataFrame, salts: int = 16, free_masks: int = FREE_MASKS) -> DataFrame:
     """Product with the brand whose mask its code matches, the last checked one.
 
-    ``brand``: id, mask, checked_order. The text before a mask's first wildcard
-    is an equality key, so a code meets only masks that can match it; masks
-    sharing a short head are spread over ``salts`` copies. Masks that start with
-    a wildcard can match any code: they are broadcast, after their number has
-    been checked, or else dealt to every partition of the products. Products
-    that match no mask lose their brand.
+    ``brand``: id, mask, checked_order. A code that matches a mask holds each of
+    its literal parts, so masks are indexed by a gram of their longest one and a
+    code looks up the distinct grams it has; LIKE decides. Masks sharing a gram
+    are spread over ``salts`` copies. Masks of wildcards alone match almost any
+    code: they are broadcast, after their number has been checked, or else dealt
+    to every partition of the products. Products that match no mask lose their brand.
     """
-    masks = brand.select("id", "mask", "checked_order", _literal_head(F.col("mask")).alias("__head"))
+    masks = brand.select("id", "mask", "checked_order", _gram(F.col("mask")).alias("__gram"))
     coded = product.filter(F.col("default_code").isNotNull()).select(F.col("id").alias("product_id"), "default_code")
-    headed = masks.filter(F.col("__head") != "")
-    lengths = headed.agg(F.collect_set(F.length("__head"))).scalar()  # at most the length of a code
-    headed = headed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    heads = coded.withColumn("__lengths", lengths)
-    heads = heads.withColumn("__lengths", F.filter("__lengths", lambda n: n <= F.length("default_code")))
-    heads = heads.select(
-        "product_id",
-        "default_code",
-        F.pmod(F.hash("product_id"), F.lit(salts)).alias("__salt"),
-        F.explode(F.transform("__lengths", lambda n: F.substring(F.col("default_code"), F.lit(1), n))).alias("__head"),
-    )
+    indexed = masks.filter(F.col("__gram") != "")
+    lengths = indexed.agg(F.collect_set(F.length("__gram"))).scalar()  # at most GRAM numbers
+    indexed = indexed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    held = coded.withColumn("__n", F.explode(lengths)).filter(F.col("__n") <= F.length("default_code"))
+    places = F.sequence(F.lit(1), F.length("default_code") - F.col("__n") + 1)
+    grams = F.array_distinct(F.transform(places, lambda at: F.substring(F.col("default_code"), at, F.col("__n"))))
+    held = held.select("product_id", "default_code", F.pmod(F.hash("product_id"), F.lit(salts)).alias("__salt"), F.explode(grams).alias("__gram"))
     like = F.expr("default_code LIKE mask")
     found = ["product_id", "checked_order", "id"]
-    hits = heads.join(headed, ["__head", "__salt"]).filter(like).select(*found)
+    hits = held.join(indexed, ["__gram", "__salt"]).filter(like).select(*found)
 
-    free = masks.filter(F.col("__head") == "").select("id", "mask", "checked_order")
-    if free.limit(free_masks + 1).count() <= free_masks:
-        meets = coded.join(F.broadcast(free), like)
-    else:
+    free = masks.filter(F.col("__gram") == "").select("id", "mask", "checked_order")
+    n_free = free.limit(free_masks + 1).count()
+    if n_free > free_masks:
         parts = int(product.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         spread = free.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
         meets = coded.withColumn("__part", F.pmod(F.hash("product_id"), F.lit(parts))).join(spread, "__part").filter(like)
-    best = hits.unionByName(meets.select(*found)).groupBy("product_id").agg(F.max(F.struct("checked_order", "id")).alias("__best"))
+        hits = hits.unionByName(meets.select(*found))
+    elif n_free:
+        hits = hits.unionByName(coded.join(F.broadcast(free), like).select(*found))
+    best = hits.groupBy("product_id").agg(F.max(F.struct("checked_order", "id")).alias("__best"))
     side = best.select(F.col("product_id").alias("id"), F.col("__best.id").alias("brand_id"))
     return product.drop("brand_id").join(side, "id", "left")
 

@@ -15,7 +15,7 @@ from ..functions.columns import (
     purchase_net_price,
 )
 from ..functions.fixed_point import exact_sum
-from ..functions.ordered import Running, ordered_scan, top_k
+from ..functions.ordered import Running, numbered, ordered_scan, top_k
 from .currency import convert, convert_from_company, current_rates, with_current_rate
 
 INVOICED_STATES = ("open", "paid")
@@ -393,6 +393,15 @@ def cost_history(product: DataFrame, layers: DataFrame) -> DataFrame:
     ).drop("__at")
 
 
+def _listing_order(keys: tuple[str, ...], newest_first: bool) -> list[Column]:
+    return [F.col(k).desc_nulls_last() if newest_first else F.col(k).asc_nulls_first() for k in keys]
+
+
 def ordered(df: DataFrame, *keys: str, newest_first: bool = False) -> DataFrame:
     """Listing order for a sink; views and operators never sort."""
-    return df.orderBy(*[F.col(k).desc() if newest_first else F.col(k).asc() for k in keys])
+    return df.orderBy(*_listing_order(keys, newest_first))
+
+
+def listed(df: DataFrame, *keys: str, newest_first: bool = False, position: str = "position") -> DataFrame:
+    """Every row with its place in the listing, from 1: a page of it is a plain filter."""
+    return numbered(df, _listing_order(keys, newest_first), position)

@@ -18,13 +18,32 @@ CAP_MARKUP = 1.35  # fixed value: lowest accepted price over cost
 # -- price history lookups ---------------------------------------------------
 
 
+# Days count from year 0, so that a closed range splits into aligned blocks of 1, 2, 4, ... days; 2^22 days reach year 11,000.
+DAY_ZERO = 719_528
+LEVELS = 22
+
+
+def _day_number(day: str) -> str:
+    return f"unix_date({day}) + {DAY_ZERO}"
+
+
+def day_blocks(first: str, last: str) -> Column:
+    """The aligned blocks (level, number) that together are the days from ``first`` to ``last``, at most two of a level."""
+    low, high = f"shiftright({_day_number(first)} + shiftleft(1, k) - 1, k)", f"shiftright({_day_number(last)} + 1, k)"
+    left = f"CASE WHEN {low} < {high} AND {low} % 2 = 1 THEN named_struct('level', k, 'block', {low}) END"
+    right = f"CASE WHEN {low} < {high} AND {high} % 2 = 1 THEN named_struct('level', k, 'block', {high} - 1) END"
+    return F.expr(f"array_compact(flatten(transform(sequence(0, {LEVELS}), k -> array({left}, {right}))))")
+
+
 def historic_price(line: DataFrame, supplierinfo: DataFrame) -> DataFrame:
     """Price valid on each line's date: start on or before, end open or on or after.
 
     ``line``: line_id, product_tmpl_id, date. The latest start wins, then the
     lowest id. Lines collapse to product and day first. Open rows are an as-of
-    lookup; closed rows are listed under each month they cover and joined on
-    (product, month). Result: line_id, price; lines without price drop out.
+    lookup. A closed row becomes the few aligned blocks of days it consists of,
+    about two for each doubling of its length, of which only the best row a block
+    is kept; a day looks up the one block of each length that holds it. Result:
+    line_id, price; lines without price drop out.
     """
     key = "product_tmpl_id"
     asked = line.select(key, F.col("date").cast("date").alias("day")).filter("day IS NOT NULL").distinct()
@@ -34,12 +53,11 @@ def historic_price(line: DataFrame, supplierinfo: DataFrame) -> DataFrame:
     opened = dated.filter(F.col("date_end").isNull()).groupBy(key, F.col("date_start").alias("day")).agg(F.max(found).alias("found"))
     by_open = asof_by_day(asked, opened, [key], "day", "found")
 
-    month = lambda c: F.year(c) * 12 + F.month(c)
-    closed = dated.filter(F.col("date_end") >= F.col("date_start")).select(
-        key, "date_start", "date_end", found.alias("found"), F.explode(F.sequence(month("date_start"), month("date_end"))).alias("__m")
-    )
-    inside = (F.col("date_start") <= F.col("day")) & (F.col("day") <= F.col("date_end"))
-    by_closed = asked.withColumn("__m", month("day")).join(closed, [key, "__m"]).filter(inside).select(key, "day", "found")
+    closed = dated.filter(F.col("date_end") >= F.col("date_start")).select(key, found.alias("found"), F.explode(day_blocks("date_start", "date_end")).alias("b"))
+    closed = closed.groupBy(key, "b.level", "b.block").agg(F.max("found").alias("found"))
+    levels = closed.agg(F.collect_set("level")).scalar()  # at most LEVELS + 1 numbers
+    holds = asked.withColumn("level", F.explode(levels)).withColumn("block", F.expr(f"shiftright({_day_number('day')}, level)"))
+    by_closed = holds.join(closed, [key, "level", "block"]).select(key, "day", "found")
     best = by_open.unionByName(by_closed).groupBy(key, "day").agg(F.max("found").alias("found"))
     out = line.select("line_id", key, F.col("date").cast("date").alias("day")).join(best, [key, "day"])
     return out.filter(F.col("found").isNotNull()).select("line_id", F.col("found.price").alias("price"))

@@ -185,14 +185,18 @@ def sales_filter(
     return fact
 
 
-def period_filter(fact: DataFrame, period: str, today: str) -> DataFrame:
-    """this_month, last_month, this_year or last_year relative to ``today``; half open."""
+def in_period(period: str, today: str) -> Column:
+    """Whether the invoice date is in this_month, last_month, this_year or last_year relative to ``today``; half open."""
     which, unit = period.split("_")
     months = {"month": 1, "year": 12}[unit]
     start = F.trunc(F.lit(today).cast("date"), unit)
     shift = {"this": 0, "last": -months}[which]
     low, high = F.add_months(start, shift), F.add_months(start, shift + months)
-    return fact.filter((F.col("date_invoice") >= low) & (F.col("date_invoice") < high))
+    return (F.col("date_invoice") >= low) & (F.col("date_invoice") < high)
+
+
+def period_filter(fact: DataFrame, period: str, today: str) -> DataFrame:
+    return fact.filter(in_period(period, today))
 
 
 def date_between(fact: DataFrame, date_from: str | None = None, date_to: str | None = None) -> DataFrame:

@@ -84,8 +84,7 @@ def checked_sheets(t: Tables):
 
 
 def loaded_sheets(t: Tables):
-    checked = checked_sheets(t)
-    return audits.sheet_gate(checked, audits.check_vendors(checked, t.vendor))
+    return audits.load_sheets(sheets(t), t.product, t.vendor)[1]
 
 
 @query(f""", {SHEET} SELECT upload_id, vendor_ref, sheet_no, row_no, "column", reason FROM error""")
@@ -145,8 +144,8 @@ def upsert_supplier_products(t: Tables):
            CASE WHEN coalesce(b.e, 0) > 0 THEN 'error' ELSE 'done' END AS state
     FROM names n LEFT JOIN done d ON d.upload_id = n.upload_id LEFT JOIN bad b ON b.upload_id = n.upload_id""")
 def import_log(t: Tables):
-    checked = checked_sheets(t)
-    loaded = loaded_sheets(t).select("upload_id", "default_code", "product_exists").distinct()
+    checked, loaded = audits.load_sheets(sheets(t), t.product, t.vendor)
+    loaded = loaded.select("upload_id", "default_code", "product_exists").distinct()
     actions = loaded.withColumn("action", F.when(F.col("product_exists"), "updated").otherwise("created"))
     return sinks.import_log(actions, audits.sheet_errors(checked), checked)
 

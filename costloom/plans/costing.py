@@ -375,3 +375,8 @@ def top_k_per_key(t: Tables):
 def newest_invoices(t: Tables):
     # A global top 25 is the feature here: a listing's first page.
     return costing.ordered(t.invoice.select("id", "date_invoice"), "date_invoice", "id", newest_first=True).limit(25)
+
+
+@query("""SELECT id, date_invoice, row_number() OVER (ORDER BY date_invoice DESC, id DESC) AS position FROM invoice""")
+def invoice_listing(t: Tables):
+    return costing.listed(t.invoice.select("id", "date_invoice"), "date_invoice", "id", newest_first=True)

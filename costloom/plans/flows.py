@@ -13,7 +13,7 @@ from ..operators import catalogue, kpis, stock
 from ..schemas import FEED_COLUMNS
 from ..session import shared_folder
 from ..sources import files
-from ..sources.tables import DEFINITIONS, Tables
+from ..sources.tables import DEFINITIONS, Tables, read_erp
 from ..streaming.feed import FeedJob, start_feed, stream_feed
 from . import audits as sheet_plans
 from .catalogue import CODES_SQL, CURRENT_SQL, FEED_SQL, HELD_SQL, PARSED, TAX_SQL, feed, flat, good_feed
@@ -78,16 +78,31 @@ def barcode_files(t: Tables):
     return files.read_barcodes(t.spark, folder)
 
 
+def _cell_sql(c: str) -> str:
+    """Text, number and kind of a staged cell as it must be read back."""
+    text, number = (f"{c}_text" if c in sheet_plans.TEXT else "'x'"), (f"{c}_num" if c in sheet_plans.NUMBER else "1")
+    return f"""CASE WHEN {c}_kind = 'text' THEN {text} END AS {c}_text, {r4(f"CASE WHEN {c}_kind IN ('int', 'float') THEN {number} END")} AS {c}_num, {c}_kind"""
+
+
 @query(f""", sheet AS ({flat(sheet_plans.SHEET_SQL)})
-    SELECT vendor_ref, sheet_no, CAST(row_no % 2147483647 AS INT) AS row_no, default_code_text AS default_code, {r4("cost_num")} AS cost, 'A' AS upload_id FROM sheet
-    WHERE default_code_kind = 'text' AND cost_kind = 'float'""")
+    SELECT vendor_ref, sheet_no, CAST(row_no % 2147483647 AS INT) AS row_no, 'A' AS upload_id, {", ".join(map(_cell_sql, sheet_plans.SHEET_COLUMNS))}
+    FROM sheet WHERE default_code_kind IS NOT NULL""")
 def supplier_sheet_files(t: Tables):
     folder = shared_folder(t.spark)
     staged = sheet_plans.sheets(t).drop("upload_id").withColumn("row_no", (F.col("row_no") % 2147483647).cast("int"))
     staged.write.partitionBy("vendor_ref").mode("overwrite").parquet(folder)
     read = files.read_supplier_sheets(t.spark, folder, upload_id="A")
-    typed = read.filter("default_code.kind = 'text' AND cost.kind = 'float'")
-    return rounded(typed.select("vendor_ref", "sheet_no", "row_no", F.col("default_code.text").alias("default_code"), F.col("cost.num").alias("cost"), "upload_id"), "cost")
+    cells = [F.col(f"{c}.{part}").alias(f"{c}_{part}") for c in sheet_plans.SHEET_COLUMNS for part in ("text", "num", "kind")]
+    out = read.select("vendor_ref", "sheet_no", "row_no", "upload_id", *cells)
+    return rounded(out, *[f"{c}_num" for c in sheet_plans.SHEET_COLUMNS])
+
+
+@query(""", line AS (SELECT *, row_number() OVER (
+        ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS line_id FROM lineitem)
+    SELECT line_id AS id, l_orderkey AS invoice_id, l_partkey AS product_id, l_suppkey AS source_vendor_id, l_linenumber AS line_no, l_quantity AS quantity FROM line""")
+def dense_lines(t: Tables):
+    numbered = read_erp(t.spark, t.folder, dense=True).invoice_line
+    return numbered.select("id", "invoice_id", "product_id", "source_vendor_id", "line_no", "quantity")
 
 
 @query(f""", {POSTED}, first_supplier AS (SELECT product_tmpl_id, arg_min(vendor_id, id) AS vendor_id FROM supplierinfo GROUP BY 1)

@@ -71,13 +71,17 @@ def filter_document(t: Tables):
     return sales.sales_filter(fact(t), document="refund").select(*KEYS)
 
 
-@query(f""", {FACT}
-    SELECT state, type, COUNT(*) AS n_lines FROM fact WHERE {INVOICED} GROUP BY state, type
-    UNION ALL
-    SELECT state, type, COUNT(*) FROM fact WHERE state IN ('draft', 'proforma', 'proforma2') GROUP BY state, type""")
+@query(f""", {FACT} SELECT {", ".join(KEYS)} FROM fact WHERE {INVOICED}""")
 def filter_status(t: Tables):
-    count = lambda status: sales.sales_filter(fact(t), status=status).groupBy("state", "type").agg(F.count(F.lit(1)).alias("n_lines"))
-    return count("invoiced").unionByName(count("draft"))
+    return sales.sales_filter(fact(t), status="invoiced").select(*KEYS)
+
+
+@query(f""", {FACT} SELECT {", ".join(KEYS)} FROM fact WHERE state IN ('draft', 'proforma', 'proforma2')""")
+def filter_draft(t: Tables):
+    return sales.sales_filter(fact(t), status="draft").select(*KEYS)
+
+
+PERIODS = ("last_month", "this_month", "last_year", "this_year")
 
 
 @query(f""", {FACT}, span AS (
@@ -85,18 +89,10 @@ def filter_status(t: Tables):
         SELECT 'this_month', DATE '2001-08-01', DATE '2001-09-01' UNION ALL
         SELECT 'last_year', DATE '2000-01-01', DATE '2001-01-01' UNION ALL
         SELECT 'this_year', DATE '2001-01-01', DATE '2002-01-01')
-    SELECT period, COUNT(*) AS n_lines, {xsum("price_total")} AS price_total
-    FROM fact JOIN span ON date_invoice >= lo AND date_invoice < hi GROUP BY period""")
+    SELECT period, {", ".join(KEYS)} FROM fact JOIN span ON date_invoice >= lo AND date_invoice < hi""")
 def filter_period(t: Tables):
-    base = fact(t)
-    parts = []
-    for period in ("last_month", "this_month", "last_year", "this_year"):
-        one = sales.period_filter(base, period, TODAY).withColumn("period", F.lit(period))
-        parts.append(one.select("period", "price_total"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.groupBy("period").agg(F.count(F.lit(1)).alias("n_lines"), sales.exact_sum(F.col("price_total")).alias("price_total"))
+    held = F.array_compact(F.array(*[F.when(sales.in_period(p, TODAY), p) for p in PERIODS]))
+    return fact(t).select(*KEYS, F.explode(held).alias("period"))
 
 
 @query(f""", {FACT} SELECT {", ".join(KEYS)} FROM fact
@@ -110,16 +106,9 @@ def low_margin(t: Tables):
     return rounded(sales.low_margin(fact(t)).select("id", "number", "margin_percent"), "margin_percent")
 
 
-@query(f""", {FACT}
-    SELECT category_path, COUNT(*) AS n_lines, {xsum("price_total")} AS price_total FROM fact
-    WHERE category_path = 'Section S' OR category_path LIKE 'Section S/%' GROUP BY category_path""")
+@query(f""", {FACT} SELECT {", ".join(KEYS)} FROM fact WHERE category_path = 'Section S' OR category_path LIKE 'Section S/%'""")
 def under_category(t: Tables):
-    tree = catalogue.build_categories(t.item)
-    inside = sales.under_category(fact(t), tree, "Section S")
-    paths = tree.select(F.col("id").alias("product_category_id"), F.col("path").alias("category_path"))
-    return inside.join(paths, "product_category_id").groupBy("category_path").agg(
-        F.count(F.lit(1)).alias("n_lines"), sales.exact_sum(F.col("price_total")).alias("price_total")
-    )
+    return sales.under_category(fact(t), catalogue.build_categories(t.item), "Section S").select(*KEYS)
 
 
 @query(f""", {FACT} SELECT {", ".join(KEYS)} FROM fact

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import FEED_COLUMNS
+from .session import written
 
 # Fixed header of the stock export.
 STOCK_HEADER = {
@@ -107,6 +108,14 @@ def write_import_errors(errors: DataFrame, path: str) -> None:
     errors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upload_id").parquet(path)
 
 
+def record_import(actions: DataFrame, errors: DataFrame, vendors: DataFrame, path: str) -> DataFrame:
+    """Write the log and the errors of uploads below ``path``, a folder an upload; an upload recorded again replaces itself. Returns the log."""
+    log = written(import_log(actions, errors, vendors))
+    write_import_log(log, f"{path}/log")
+    write_import_errors(errors, f"{path}/errors")
+    return log
+
+
 RUN_COUNTERS = ["processed", "created", "barcodes_created", "barcodes_changed"]
 
 

@@ -9,9 +9,13 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.ordered import numbered
 
 # A line has no key of its own: order and line number repeat. This packs them with
-# product, vendor, quantity and price, in that order of weight.
+# product, vendor, quantity and price, in that order of weight. It fits 64 bits up to
+# order key 1.1e10 and is an error beyond; ``dense_lines`` numbers lines of any size.
 LINE_ID = """(l_orderkey * 8 + l_linenumber) * 100000000 + (l_partkey % 1000) * 100000 + (l_suppkey % 100) * 1000
                + CAST(l_quantity AS BIGINT) * 10 + CAST(floor(l_extendedprice) AS BIGINT) % 10"""
 
@@ -164,12 +168,31 @@ DEFINITIONS = {name: text.replace("{line_id}", LINE_ID) for name, text in DEFINI
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+DENSE_ID = "line_id"
+
+
+def dense_lines(lineitem: DataFrame) -> DataFrame:
+    """Lines with ``line_id``, their place in the order of their natural columns, then of the others: dense, unique, and no wider than their count.
+
+    Lines are range-partitioned by that order, numbered in their partitions and
+    moved by the counts of those before; equal lines take any of their places.
+    """
+    others = [c for c in lineitem.columns if c not in LINE_ORDER and c != DENSE_ID]
+    return numbered(lineitem.drop(DENSE_ID), [F.col(c) for c in (*LINE_ORDER, *others)], DENSE_ID)
+
+
 class Tables:
-    """Base and canonical tables of one data folder, read lazily."""
+    """Base and canonical tables of one data folder, read lazily.
+
+    ``dense`` numbers lines instead of packing their columns into a key: for order
+    keys beyond 1.1e10, or where packed keys might meet.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, dense: bool = False):
         self.spark = spark
         self.folder = folder
+        self.dense = dense
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> Any:
@@ -180,9 +203,11 @@ class Tables:
     def get(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in BASE_TABLES:
-                self._cache[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                base = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                self._cache[name] = dense_lines(base) if self.dense and name == "lineitem" else base
             else:
-                self._cache[name] = self.sql(DEFINITIONS[name])
+                text = DEFINITIONS[name]
+                self._cache[name] = self.sql(text.replace(LINE_ID, DENSE_ID) if self.dense else text)
         return self._cache[name]
 
     def sql(self, text: str) -> DataFrame:
@@ -191,9 +216,9 @@ class Tables:
         return self.spark.sql(text, **{n: self.get(n) for n in names})
 
 
-def read_erp(spark: SparkSession, folder: str) -> Tables:
-    """All tables of a data folder; nothing is read until a column is used."""
-    return Tables(spark, folder)
+def read_erp(spark: SparkSession, folder: str, dense: bool = False) -> Tables:
+    """All tables of a data folder; nothing is read until a column is used, but for lines that are to be numbered."""
+    return Tables(spark, folder, dense)
 
 
 def ansi_prelude() -> str:
