@@ -156,6 +156,11 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that hold no benchmark passage, all their columns; rows without an id stay."""
-    found = contaminations(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark passage, all their columns.
+
+    Rows are told apart by id and text together: a row without an id is searched
+    like any other, and of two texts under one id only the one with a passage goes.
+    """
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    found = contaminations(keyed.select(F.col("__key").alias("doc_id"), "text"), benchmark)
+    return keyed.join(found.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)

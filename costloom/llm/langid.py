@@ -220,25 +220,29 @@ class Languages:
         return names, scores
 
 
-def fit(docs: DataFrame, text: str, lang: str, rows: int = 300, chars: int = 160_000) -> list[tuple]:
+def fit(docs: DataFrame, text: str, lang: str, rows: int = 300, chars: int = 40_000) -> list[tuple]:
     """Suffix automata of labelled text, one per language.
 
-    The sample is bounded: ``rows`` rows of each language in the order of a hash
-    of the text, texts of up to 4,000 characters first, and ``chars`` characters
-    of all languages together, shared out equally.
+    The sample is bounded for each language alone: the first ``rows`` different
+    texts in the order of a hash, texts of up to 4,000 characters first, and of
+    these, in turn, those that still fit into ``chars`` characters; the first
+    one always. Texts are taken whole or not at all. They are chosen by hash and
+    length, and only the chosen ones are fetched, copies of one text once.
     """
     usable = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
-    order = [F.greatest(F.length("text"), F.lit(4000)), F.xxhash64("text"), F.col("text")]
-    sample = usable.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order[:2]))).filter(F.col("n") <= rows)
-    sample = kept(sample, "langid-sample")
-    found = sample.agg(F.count_distinct("lang")).first()[0]
-    share = chars // max(1, found)
+    usable = usable.withColumns({"size": F.greatest(F.length("text"), F.lit(4000)), "hash": F.xxhash64("text")})
+    # ``rows`` is below Spark's limit for ranking in the map tasks: each sends that many small rows of a language at most.
+    order = Window.partitionBy("lang").orderBy("size", "hash")
+    picked = usable.select("lang", "size", "hash").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows)
+    picked = kept(picked, "langid-picked")
+    fetched = usable.join(picked, ["lang", "size", "hash"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
+    sample = kept(fetched, "langid-sample")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         parts, used = [], 0
         for x in pdf.sort_values("n").text:
-            part = symbols_of(x)[: max(0, share - used)]
-            if part:
+            part = symbols_of(x)
+            if part and (not used or used + len(part) <= chars):
                 parts.append(part)
                 used += len(part)
         if not used:

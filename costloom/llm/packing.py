@@ -24,6 +24,7 @@ CAPACITIES = (256, 512, 1024, 2048, 4096)
 # Cost of a sequence in token units: its length, a fixed share, and attention's square.
 FIXED, SQUARE = 16.0, 1 / 65536
 SHARD_ROWS = 50_000  # pieces of one shard, on average
+COPIES = 10_000  # equal pieces that one row stands for while they are numbered
 PACKED = "shard long, bin long, capacity int, slot int, doc_id long, piece int, start long, length int, offset int"
 
 
@@ -99,6 +100,20 @@ def pieces(docs: DataFrame, length: Column, largest: int) -> DataFrame:
     return cut.select("doc_id", "piece", start.alias("start"), F.least(F.lit(largest).cast("long"), F.col("total") - start).cast("int").alias("length"))
 
 
+def copies(cut: DataFrame) -> DataFrame:
+    """The same pieces, equal ones numbered by ``copy``.
+
+    They are counted, which combines in every task, and listed again from their
+    count in two steps, so that no task numbers more than ``COPIES`` of a piece.
+    """
+    columns = cut.columns
+    counted = cut.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    runs = counted.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(__n - 1) div {0}".format(COPIES)))))
+    first = F.col("__run") * COPIES
+    each = F.sequence(first, F.least(first + COPIES, F.col("__n")) - 1)
+    return runs.repartition(*columns, "__run").withColumn("copy", F.explode(each)).drop("__n", "__run")
+
+
 def packed(docs: DataFrame, length: Column, capacities: Sequence[int] = CAPACITIES, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per piece: shard and bin (together a sequence), its capacity, place and offset in it.
 
@@ -109,10 +124,10 @@ def packed(docs: DataFrame, length: Column, capacities: Sequence[int] = CAPACITI
     caps = sorted({int(c) for c in capacities if c > 0})
     if not caps:
         raise ValueError("no permitted length")
-    rows = kept(pieces(docs, length, caps[-1]), "pieces")
+    rows = kept(copies(pieces(docs, length, caps[-1])), "pieces")
     shards = max(1, -(-rows.count() // shard_rows))
-    # Dealt by content, so repeated runs pack alike.
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)))
+    # Dealt by content and copy, so repeated runs pack alike and equal pieces spread.
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length", "copy"), F.lit(shards)))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")

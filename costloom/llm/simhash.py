@@ -274,9 +274,13 @@ def digest(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """One document of each component: that with the smallest id, all its columns.
 
-    Of repeated rows with that id and text one stays. Documents without an id
-    cannot be named as copies and stay.
+    Documents are told apart by id and text together, so different texts under
+    one id are judged each for itself, and one without an id goes like any other;
+    it stays only where no document of its component has an id. Of repeated rows
+    one stays.
     """
-    copies = near_duplicates(docs, shingle=shingle, distance=distance).filter("doc_id <> component_id").select("doc_id").distinct()
-    rest = docs.join(copies, "doc_id", "left_anti").withColumn("__text", F.xxhash64("text"))
-    return rest.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    groups = near_duplicates(keyed, doc_id="__key", shingle=shingle, distance=distance).select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    named = groups.join(keyed.select("__key", F.col("doc_id").alias("__id")).distinct(), "__key")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__key")).alias("first"))
+    return keyed.join(first.select("first.__key"), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)

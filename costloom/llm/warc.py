@@ -49,27 +49,35 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     Of pages with equal payloads of at least ``least_bytes`` bytes the one with the
     smallest page_id is a response and the others revisit it. A NULL html is an
     empty payload. Repeated rows of that smallest id are all responses; pages
-    without an id are responses of no name.
+    without an id are responses that name no page. Every record has an id of its
+    own and the time of writing as its date; a revisit names the address and date
+    of what it repeats. The page's id is a field beside these.
     """
     body = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", body.alias("body"))
     rows = rows.withColumns({"size": F.octet_length("body").cast("long"), "digest": base32_sha1(F.col("body").cast("binary"))})
-    big = rows.filter(F.col("size") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    big = rows.filter(F.col("size") >= least_bytes).groupBy("digest").agg(
+        F.min("page_id").alias("first"), F.min_by("url", "page_id").alias("first_url"), F.count(F.lit(1)).alias("n")
+    )
     # Written, so that the planner knows its true size before it chooses a join.
-    shared = kept(big.filter("n > 1 and first is not null").select("digest", "first"), "warc-shared")
+    shared = kept(big.filter("n > 1 and first is not null").select("digest", "first", "first_url"), "warc-shared")
     rows = rows.join(shared, "digest", "left").withColumn("first", F.when((F.col("size") >= least_bytes) & (F.col("page_id") > F.col("first")), F.col("first")))
     again = F.col("first").isNotNull()
-    name = lambda c: F.concat(F.lit("<urn:x-page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
-    uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
+    uri = lambda c: F.regexp_replace(F.regexp_replace(c, "\r", "%0D"), "\n", "%0A")
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     block = F.when(again, F.lit(HTTP)).otherwise(F.concat(F.lit(HTTP), F.col("body")))
     length = F.when(again, F.lit(len(HTTP))).otherwise(F.col("size") + len(HTTP))
     fields = [
         ("WARC-Type", F.when(again, "revisit").otherwise("response")),
-        ("WARC-Record-ID", name("page_id")),
-        ("WARC-Target-URI", uri),
+        ("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.expr("uuid()"), F.lit(">"))),
+        ("WARC-Date", now),
+        ("WARC-Target-URI", uri("url")),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
         ("X-Payload-Length", F.col("size").cast("string")),
-        ("WARC-Refers-To", F.when(again, name("first"))),
+        ("WARC-Refers-To-Target-URI", F.when(again, uri("first_url"))),
+        ("WARC-Refers-To-Date", F.when(again, now)),
+        ("X-Page-ID", F.col("page_id").cast("string")),
+        ("X-Refers-To-Page", F.when(again, F.col("first").cast("string"))),
         ("WARC-Profile", F.when(again, F.lit(PROFILE))),
         ("Content-Type", F.lit("application/http; msgtype=response")),
         ("Content-Length", length.cast("string")),
@@ -271,14 +279,12 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     path = shared_path(spark, "warc")
     write_warc(pages, path, least_bytes)
     found = read_warc(spark, path, with_payload=False)
-    page = lambda c: F.regexp_extract(c, "<urn:x-page:(-?[0-9]*)>", 1)
-    number = lambda c: F.when(c != "", c.cast("long"))
     kind = header("WARC-Type")
     again = kind == "revisit"
     return found.select(
-        number(page(header("WARC-Record-ID"))).alias("page_id"),
+        header("X-Page-ID").cast("long").alias("page_id"),
         F.when(again, header("X-Payload-Length").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
         F.when(again, F.substring_index(header("WARC-Payload-Digest"), ":", -1)).otherwise(F.col("payload_digest")).alias("payload_digest"),
         kind.alias("record_type"),
-        number(page(header("WARC-Refers-To"))).alias("refers_to"),
+        header("X-Refers-To-Page").cast("long").alias("refers_to"),
     )

@@ -45,3 +45,14 @@ def test_odd_rows(spark, docs):
     for _, stage in cp.STAGES:
         assert stage(spark, odd, SF).count() >= 2
         assert stage(spark, odd.filter("false"), SF).count() == 0
+
+
+def test_rows_without_an_id_are_judged_too(spark, docs):
+    passage = table(spark, SF, "benchmark").first()["text"]
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, passage), (3, passage), (3, text), (9, text), (None, text), (None, "own words stay"), (None, "own words stay")]
+    odd = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+    clean = cp.without_benchmark(spark, odd, SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in clean) == sorted((i or 0, t) for i, t in rows if t != passage)
+    left = cp.without_copies(spark, odd, SF).collect()
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in left) == sorted([(3, passage), (3, text), (0, "own words stay")])

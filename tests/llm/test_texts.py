@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -247,8 +249,6 @@ def plain_leaks(text, items):
 
 
 def test_leaks(spark):
-    import random
-
     rng = random.Random(5)
     item = lambda n: [f"w{rng.randint(0, 400)}" for _ in range(n)]
     items = {i: item(n) for i, n in enumerate([40, 25, 13, 6, 3, 60])}
@@ -270,7 +270,7 @@ def test_leaks(spark):
     want = {(i, x) for i, t in rows if i is not None for x in plain_leaks(t, {k: " ".join(w) for k, w in items.items() if k != 6})}
     assert got == want and len(got) > 60
     clean = decontam.decontaminated(docs, bench)
-    assert clean.columns == docs.columns and {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows} - {i for i, _ in want}
+    assert clean.columns == docs.columns and {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows} - {i for i, _ in want} - {None}  # that row holds items[0]
     assert decontam.contaminations(docs.filter("false"), bench).collect() == [] == decontam.contaminations(docs, bench.filter("false")).collect()
 
 
@@ -330,4 +330,88 @@ def test_packing_of_odd_rows(spark):
 
 
 def test_every_query_is_named():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(CHECKS) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(CHECKS) <= set(QUERIES)
+
+
+def test_equal_pieces_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "COPIES", 7)
+    docs = spark.range(300).select(F.when(F.col("id") < 200, F.lit(None)).otherwise(F.col("id")).cast("long").alias("doc_id"), F.lit(10).alias("n"))
+    rows = packing.packed(docs, F.col("n"), [30, 60], shard_rows=20).collect()
+    assert len(rows) == 300 and sum(r["doc_id"] is None for r in rows) == 200
+    sizes = [sum(r["shard"] == s for r in rows) for s in {r["shard"] for r in rows}]
+    assert len(sizes) == 15 and max(sizes) < 3 * 20
+    again = packing.packed(docs, F.col("n"), [30, 60], shard_rows=20).collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
+def test_packing_places_everything_once(spark):
+    """Every bin against its pieces, and no fewer bins than a plain first-fit of each shard would need by more than a tenth."""
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, rng.choice([1, 5, 17, 40, 90, 250])) for i in range(400)], "doc_id long, n int")
+    caps = [32, 64, 128]
+    rows = packing.packed(docs, F.col("n"), caps, shard_rows=100).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault((r["shard"], r["bin"]), []).append(r)
+    for own in bins.values():
+        own.sort(key=lambda r: r["slot"])
+        assert [r["offset"] for r in own] == [sum(x["length"] for x in own[:i]) for i in range(len(own))]
+        total = sum(r["length"] for r in own)
+        assert {r["capacity"] for r in own} == {min(c for c in caps if c >= total)}
+    covered = {}
+    for r in rows:
+        covered.setdefault(r["doc_id"], []).append((r["start"], r["start"] + r["length"]))
+    for d in docs.collect():
+        spans = sorted(covered[d["doc_id"]])
+        assert spans[0][0] == 0 and spans[-1][1] == d["n"] and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+    def plain(lengths):
+        """Cost of first-fit into the largest length, cut down at the end."""
+        open_ = []
+        for n in lengths:
+            b = next((b for b in open_ if sum(b) + n <= caps[-1]), None)
+            open_.append([n]) if b is None else b.append(n)
+        return sum(packing.cost(min(c for c in caps if c >= sum(b))) for b in open_)
+
+    got = sum(packing.cost(own[0]["capacity"]) for own in bins.values())
+    want = sum(plain([r["length"] for r in rows if r["shard"] == s]) for s in {r["shard"] for r in rows})
+    assert got <= 1.1 * want
+
+
+def test_long_runs_and_doubled_values_cost_no_more_than_their_text():
+    start = time.perf_counter()
+    run = credentials.scan("token=abcdefgh1 " + "a" * 1_000_000)
+    assert ("assign", 0, 15) in run and ("lexed", 6, 15) in run
+    doubled = "a = 'kx9Q2zPw'\n" + "a = a + a\n" * 40 + "password = a\n"
+    assert credentials.lexed_spans(doubled) == [(5, 13)]
+    for text in ("a=" * 200_000, "a" * 500_000 + "=b " + "x" * 300_000 + ":", ":" * 300_000 + "=" * 300_000, 'a="' * 200_000, "-" * 500_000 + "=", "a]" * 300_000 + "=", "secret" + " " * 500_000 + "= abcdef12"):
+        credentials.scan(text)
+    assert time.perf_counter() - start < 6
+
+
+def test_names_are_read_from_their_operators():
+    def literals(text):
+        return [text[a:b] for a, b in credentials.lexed_spans(text)]
+
+    secret = "hQ7x9Zk2Lm"
+    for text in (
+        f"db_password = '{secret}'", f'"apiKey": "{secret}"', f"token: str = '{secret}'", f"config['secret'] = \"{secret}\"", f"--auth-token={secret} --v=1",
+        f"x = y = 3\nmy_pwd := {secret}", f"<password>{secret}</password>", f"k = '{secret}'\nprivate_key => k", f"part = '{secret[:5]}'\nsecret = part + '{secret[5:]}'",
+        f"9password={secret}",
+    ):
+        assert "".join(literals(text)) == secret, text
+    for text in (f"password == '{secret}'", f"password != '{secret}'", f"note = '{secret}'", "password = 'changeme'", "password = 'two words here'", f"password\" : '{secret}'", "secret = " + "x" * 500, "token = '" + "*" * 200 + "'"):
+        assert literals(text) == [], text
+
+
+def test_summaries_score_like_whole_literals():
+    rng = random.Random(9)
+    for _ in range(400):
+        parts = ["".join(rng.choices("aB3- x*.<>", k=rng.randrange(0, 50))) for _ in range(rng.randrange(1, 5))]
+        value = credentials.Value("")
+        for p in parts:
+            value += credentials.Value(p)
+        whole = "".join(parts)
+        assert abs(value.score() - credentials.literal_score(whole)) < 1e-12
+        spaced = " " in whole.strip()
+        assert value.spaced() == spaced and value.size == len(whole)

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import re
 
 import pytest
 
@@ -36,6 +37,22 @@ def test_round_trip(spark, split):
         assert (r["record_type"], r["refers_to"]) == (("response", None) if f == i else ("revisit", f))
 
 
+def test_records_have_what_the_format_requires(spark):
+    rows = [(1, "http://a/1", "same"), (2, "http://a/2", "same"), (2, "http://a/2", "same"), (None, "u", "x"), (None, "u", "x"), (4, None, None)]
+    path = shared_path(spark, "warc-test")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    found = [warc._fields(bytes(r["head"])) for r in warc.read_warc(spark, path, with_payload=False).collect()]
+    assert len(found) == 6
+    ids = [f["warc-record-id"] for f in found]
+    assert len(set(ids)) == 6 and all(re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", i) for i in ids)
+    for f in found:
+        assert {"warc-type", "warc-record-id", "warc-date", "content-length"} <= set(f)
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", f["warc-date"])
+        if f["warc-type"] == "revisit":
+            assert f["warc-refers-to-target-uri"] == "http://a/1" and "warc-refers-to-date" in f and f["warc-profile"] == warc.PROFILE
+            assert f["x-page-id"] == "2" and f["x-refers-to-page"] == "1"
+
+
 def test_payloads_come_back(spark):
     rows = [(1, "u", EVIL), (2, "u", "plain ä"), (3, "u", "")]
     path = shared_path(spark, "warc-test")
