@@ -24,6 +24,7 @@ UNKNOWN = "und"
 SEGMENT = 1024  # symbols that one lane walks
 WARM_UP = 64  # symbols before a segment that its first state is guessed from
 BLOCK = 1_000_000  # characters of a batch walked together
+PARTS = 16  # of a language, ranked apart
 MODEL = "lang string, used long, alphabet string, states long, next binary"
 
 
@@ -231,10 +232,12 @@ def fit(docs: DataFrame, text: str, lang: str, rows: int = 300, chars: int = 40_
     """
     usable = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
     usable = usable.withColumns({"size": F.greatest(F.length("text"), F.lit(4000)), "hash": F.xxhash64("text")})
-    # ``rows`` is below Spark's limit for ranking in the map tasks: each sends that many small rows of a language at most.
-    order = Window.partitionBy("lang").orderBy("size", "hash")
-    picked = usable.select("lang", "size", "hash").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows)
-    picked = kept(picked, "langid-picked")
+    # Ranked in parts first: whatever the number of tasks, the last rank sees at most PARTS * rows small rows of a language.
+    picked = usable.select("lang", "size", "hash").distinct().withColumn("part", F.pmod("hash", F.lit(PARTS)))
+    for within in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*within).orderBy("size", "hash")
+        picked = picked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows)
+    picked = kept(picked.drop("part"), "langid-picked")
     fetched = usable.join(picked, ["lang", "size", "hash"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
     sample = kept(fetched, "langid-sample")
 
