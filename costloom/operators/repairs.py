@@ -18,21 +18,27 @@ CAP_MARKUP = 1.35  # fixed value: lowest accepted price over cost
 # -- price history lookups ---------------------------------------------------
 
 
-# Days count from year 0, so that a closed range splits into aligned blocks of 1, 2, 4, ... days; 2^22 days reach year 11,000.
+# Days count from year 0, so that a closed range splits into aligned blocks of 1, 2, 4, ... days.
 DAY_ZERO = 719_528
-LEVELS = 22
 
 
 def _day_number(day: str) -> str:
     return f"unix_date({day}) + {DAY_ZERO}"
 
 
-def day_blocks(first: str, last: str) -> Column:
-    """The aligned blocks (level, number) that together are the days from ``first`` to ``last``, at most two of a level."""
-    low, high = f"shiftright({_day_number(first)} + shiftleft(1, k) - 1, k)", f"shiftright({_day_number(last)} + 1, k)"
-    left = f"CASE WHEN {low} < {high} AND {low} % 2 = 1 THEN named_struct('level', k, 'block', {low}) END"
-    right = f"CASE WHEN {low} < {high} AND {high} % 2 = 1 THEN named_struct('level', k, 'block', {high} - 1) END"
-    return F.expr(f"array_compact(flatten(transform(sequence(0, {LEVELS}), k -> array({left}, {right}))))")
+def in_day_blocks(df: DataFrame, first: str, last: str) -> DataFrame:
+    """``df`` with a row for each of the aligned blocks (level, block) that together are the days from ``first`` to ``last``.
+
+    At most two blocks of a level, and none longer than the range, so the end of
+    9999 is about forty rows away.
+    """
+    # The levels are exploded, not transformed in an array, so that all arithmetic is compiled.
+    out = df.withColumns({"__low": F.expr(_day_number(first)), "__high": F.expr(f"{_day_number(last)} + 1")})
+    out = out.withColumn("level", F.explode(F.sequence(F.lit(0), F.floor(F.log2(F.col("__high") - F.col("__low"))).cast("int"))))
+    out = out.withColumns({"__low": F.expr("shiftright(__low + shiftleft(1, level) - 1, level)"), "__high": F.expr("shiftright(__high, level)")})
+    out = out.filter("__low < __high and (__low % 2 = 1 or __high % 2 = 1)")
+    left, right = F.when(F.col("__low") % 2 == 1, F.col("__low")), F.when(F.col("__high") % 2 == 1, F.col("__high") - 1)
+    return out.withColumn("block", F.explode(F.array(left, right))).filter("block is not null").drop("__low", "__high")
 
 
 def historic_price(line: DataFrame, supplierinfo: DataFrame) -> DataFrame:
@@ -53,9 +59,10 @@ def historic_price(line: DataFrame, supplierinfo: DataFrame) -> DataFrame:
     opened = dated.filter(F.col("date_end").isNull()).groupBy(key, F.col("date_start").alias("day")).agg(F.max(found).alias("found"))
     by_open = asof_by_day(asked, opened, [key], "day", "found")
 
-    closed = dated.filter(F.col("date_end") >= F.col("date_start")).select(key, found.alias("found"), F.explode(day_blocks("date_start", "date_end")).alias("b"))
-    closed = closed.groupBy(key, "b.level", "b.block").agg(F.max("found").alias("found"))
-    levels = closed.agg(F.collect_set("level")).scalar()  # at most LEVELS + 1 numbers
+    closed = in_day_blocks(dated.filter(F.col("date_end") >= F.col("date_start")), "date_start", "date_end")
+    closed = closed.groupBy(key, "level", "block").agg(F.max(found).alias("found"))
+    length = dated.agg(F.max(F.date_diff("date_end", "date_start"))).scalar()  # no block is longer
+    levels = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.lit(0), F.coalesce(length, F.lit(0))) + 1)).cast("int"))
     holds = asked.withColumn("level", F.explode(levels)).withColumn("block", F.expr(f"shiftright({_day_number('day')}, level)"))
     by_closed = holds.join(closed, [key, "level", "block"]).select(key, "day", "found")
     best = by_open.unionByName(by_closed).groupBy(key, "day").agg(F.max("found").alias("found"))

@@ -48,11 +48,14 @@ def test_blocks_cover_a_range_once(spark):
     rng = random.Random(1)
     days = [dt.date(1970, 1, 1) + dt.timedelta(rng.randrange(-20_000, 20_000)) for _ in range(60)]
     ranges = [(a, a + dt.timedelta(rng.choice([0, 1, 2, 30, 365, 5000]))) for a in days] + [(dt.date(2000, 2, 29), FAR), (dt.date(1, 1, 1), FAR)]
-    df = spark.createDataFrame(ranges, "a date, b date").withColumn("blocks", repairs.day_blocks("a", "b"))
-    for a, b, blocks in df.collect():
-        spans = sorted((x.block << x.level, (x.block + 1) << x.level) for x in blocks)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(ranges)], "i int, a date, b date")
+    got = {}
+    for r in repairs.in_day_blocks(df, "a", "b").collect():
+        got.setdefault(r.i, []).append((r.block << r.level, (r.block + 1) << r.level))
+    for i, (a, b) in enumerate(ranges):
+        spans = sorted(got[i])
         first = (a - dt.date(1970, 1, 1)).days + repairs.DAY_ZERO
-        assert spans[0][0] == first and spans[-1][1] == first + (b - a).days + 1 and len(blocks) <= 2 * repairs.LEVELS
+        assert spans[0][0] == first and spans[-1][1] == first + (b - a).days + 1 and len(spans) <= 44
         assert all(x[1] == y[0] for x, y in zip(spans, spans[1:], strict=False))
 
 
