@@ -160,10 +160,9 @@ def in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Chunk
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     marked = written(df.repartitionByRange(parts, *keys, *order).withColumn(CHUNK, F.spark_partition_id()))
-    key = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])
+    key = F.struct(*keys)  # a struct is never NULL, so a NULL key counts as an end too
     ends = marked.groupBy(CHUNK).agg(F.min(key).alias("first"), F.max(key).alias("last")).collect()  # a row a chunk
-    whole = tuple if len(keys) > 1 else lambda k: (k,)
-    held = Counter(k for r in ends for k in {whole(r["first"]), whole(r["last"])})
+    held = Counter(k for r in ends for k in {tuple(r["first"]), tuple(r["last"])})
     split = [k for k, n in held.items() if n > 1]
     schema = marked.select(*keys).schema
     return Chunks(marked, tuple(keys), tuple(order), spark.createDataFrame(split, schema) if split else None)

@@ -63,6 +63,14 @@ def test_peaks_and_whole_values(spark, parts):
         assert {i: got[i] for i in want} == {i: (*v, sa, peak) for i, v in want.items()}
 
 
+def test_a_null_key_in_two_chunks_is_whole(spark, parts):
+    """The chunk where the NULL key ends also holds other keys, wherever the ranges are cut."""
+    for nulls in (90, 110, 130):
+        df = spark.createDataFrame([(None if i < nulls else i, i) for i in range(300)], "k int, i int")
+        rows = ordered_scan(df, ["k"], ["i"], [Running("n", "sum", F.lit(1), whole="all")]).collect()
+        assert {(r.i, r.n, r.all) for r in rows} == {(i, i + 1, nulls) if i < nulls else (i, 1, 1) for i in range(300)}
+
+
 def test_top_k_is_limited_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     best = top_k(df, ["k"], [F.col("id").desc()], 2)
