@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import any_of, cost_per_unit, normalize_code
 from ..functions.ordered import top_k
 from ..schemas import CORRUPT, FEED_COLUMNS
+from ..session import written
 
 # Fixed values of created products and categories.
 PRODUCT_DEFAULTS = {"type": "product", "invoice_policy": "order", "purchase_method": "purchase"}
@@ -347,7 +348,7 @@ def discontinued_lines(po_line: DataFrame, product: DataFrame) -> DataFrame:
 
 
 GRAM = 3  # characters of a mask that codes are looked up by
-FREE_MASKS = 10_000  # masks without any literal that may be broadcast
+FREE_MASKS = 10_000  # masks of a kind, with a literal part or without, that may be broadcast
 
 
 def _gram(mask: Column) -> Column:
@@ -362,30 +363,40 @@ def assign_brands(product: DataFrame, brand: DataFrame, salts: int = 16, free_ma
 
     ``brand``: id, mask, checked_order. A code that matches a mask holds each of
     its literal parts, so masks are indexed by a gram of their longest one and a
-    code looks up the distinct grams it has; LIKE decides. Masks sharing a gram
-    are spread over ``salts`` copies. Masks of wildcards alone match almost any
-    code: they are broadcast, after their number has been checked, or else dealt
-    to every partition of the products. Products that match no mask lose their brand.
+    code looks up the distinct grams it has; LIKE decides. The planner sees neither
+    the grams of the codes nor copies of masks, so it is told the way: up to
+    ``free_masks`` masks are broadcast, after their number has been checked; more of
+    them meet the codes in a shuffle, those that share a gram spread over ``salts``
+    copies. Masks of wildcards alone match almost any code: they are broadcast up to
+    the same number, or else dealt to every partition of the products. Products that
+    match no mask lose their brand.
     """
-    masks = brand.select("id", "mask", "checked_order", _gram(F.col("mask")).alias("__gram"))
+    masks = written(brand.select("id", "mask", "checked_order", _gram(F.col("mask")).alias("__gram")))  # read three times
+    gram = F.col("__gram")
+    n_free, n_indexed, lengths = masks.agg(F.count_if(gram == ""), F.count_if(gram != ""), F.collect_set(F.when(gram != "", F.length(gram)))).first()
     coded = product.filter(F.col("default_code").isNotNull()).select(F.col("id").alias("product_id"), "default_code")
-    indexed = masks.filter(F.col("__gram") != "")
-    lengths = indexed.agg(F.collect_set(F.length("__gram"))).scalar()  # at most GRAM numbers
-    indexed = indexed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    held = coded.withColumn("__n", F.explode(lengths)).filter(F.col("__n") <= F.length("default_code"))
-    places = F.sequence(F.lit(1), F.length("default_code") - F.col("__n") + 1)
-    grams = F.array_distinct(F.transform(places, lambda at: F.substring(F.col("default_code"), at, F.col("__n"))))
-    held = held.select("product_id", "default_code", F.pmod(F.hash("product_id"), F.lit(salts)).alias("__salt"), F.explode(grams).alias("__gram"))
     like = F.expr("default_code LIKE mask")
     found = ["product_id", "checked_order", "id"]
-    hits = held.join(indexed, ["__gram", "__salt"]).filter(like).select(*found)
 
-    free = masks.filter(F.col("__gram") == "").select("id", "mask", "checked_order")
-    n_free = free.limit(free_masks + 1).count()
+    lengths = F.array(*map(F.lit, lengths)).cast("array<int>")  # at most GRAM numbers
+    held = coded.withColumn("__n", F.explode(lengths)).filter(F.col("__n") <= F.length("default_code"))
+    places = F.sequence(F.lit(1), F.length("default_code") - F.col("__n") + 1)
+    grams = F.array_distinct(F.transform(places, lambda at: F.substring(F.col("default_code"), at, F.col("__n"))))
+    held = held.select("product_id", "default_code", F.explode(grams).alias("__gram"))
+    indexed = masks.filter(gram != "")
+    if n_indexed > free_masks:
+        held = held.withColumn("__salt", F.pmod(F.hash("product_id"), F.lit(salts)))
+        indexed = indexed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        hits = held.join(indexed.hint("merge"), ["__gram", "__salt"])
+    else:
+        hits = held.join(F.broadcast(indexed), "__gram")
+    hits = hits.filter(like).select(*found)
+
+    free = masks.filter(gram == "").select("id", "mask", "checked_order")
     if n_free > free_masks:
         parts = int(product.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         spread = free.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        meets = coded.withColumn("__part", F.pmod(F.hash("product_id"), F.lit(parts))).join(spread, "__part").filter(like)
+        meets = coded.withColumn("__part", F.pmod(F.hash("product_id"), F.lit(parts))).join(spread.hint("merge"), "__part").filter(like)
         hits = hits.unionByName(meets.select(*found))
     elif n_free:
         hits = hits.unionByName(coded.join(F.broadcast(free), like).select(*found))

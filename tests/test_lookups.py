@@ -44,6 +44,20 @@ def test_masks_with_a_literal_need_no_nested_loop(spark):
     assert out.filter("brand_id is not null").count() == 1000
 
 
+@pytest.mark.parametrize("free_masks", [3, 100])
+def test_the_grams_of_codes_are_never_broadcast(spark, free_masks):
+    # The planner takes the brands, which come from the same table, for larger than the codes' many grams.
+    product = spark.range(5000).select("id", F.concat(F.lit("C"), F.col("id") % 25, F.lit("-"), "id").alias("default_code"))
+    n = F.col("n")
+    brand = product.select((F.col("id") % 25).alias("n")).distinct()
+    brand = brand.select(n.alias("id"), F.when(n % 5 == 0, F.lit("%_")).otherwise(F.concat(F.lit("C"), n, F.lit("-%"))).alias("mask"), n.alias("checked_order"))
+    out = catalogue.assign_brands(product, brand, free_masks=free_masks)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and ("SortMergeJoin [__gram" in plan) == (free_masks < 20)
+    wrong = out.filter(~F.col("brand_id").eqNullSafe(F.when(F.col("id") % 25 < 20, F.lit(20)).when(F.col("id") % 5 == 0, F.lit(20)).otherwise(F.col("id") % 25)))
+    assert out.count() == 5000 and wrong.count() == 0
+
+
 def test_blocks_cover_a_range_once(spark):
     rng = random.Random(1)
     days = [dt.date(1970, 1, 1) + dt.timedelta(rng.randrange(-20_000, 20_000)) for _ in range(60)]
