@@ -90,7 +90,7 @@ def _cell_sql(c: str) -> str:
 def supplier_sheet_files(t: Tables):
     folder = shared_folder(t.spark)
     staged = sheet_plans.sheets(t).drop("upload_id").withColumn("row_no", (F.col("row_no") % 2147483647).cast("int"))
-    staged.write.partitionBy("vendor_ref").mode("overwrite").parquet(folder)
+    sinks.write_supplier_sheets(staged, folder)
     read = files.read_supplier_sheets(t.spark, folder, upload_id="A")
     cells = [F.col(f"{c}.{part}").alias(f"{c}_{part}") for c in sheet_plans.SHEET_COLUMNS for part in ("text", "num", "kind")]
     out = read.select("vendor_ref", "sheet_no", "row_no", "upload_id", *cells)

@@ -65,6 +65,15 @@ def drop_empty_days(spark: SparkSession, path: str) -> int:
     return len(used)
 
 
+def write_supplier_sheets(rows: DataFrame, path: str) -> None:
+    """Staged supplier price rows as Parquet, the rows of a vendor side by side in as many files as their size asks for.
+
+    ``vendor_ref`` is a column of the files, so their number follows the rows and
+    not the vendors; rows are sorted by it, and a reader of one vendor skips the rest.
+    """
+    rows.hint("rebalance", "vendor_ref").sortWithinPartitions("vendor_ref", "sheet_no").write.mode("overwrite").parquet(path)
+
+
 def export_stock_csv(reconciliation: DataFrame, path: str) -> None:
     """Quoted CSV parts below ``path``; every part begins with the header."""
     named = reconciliation.select(*[F.col(c).alias(h) for c, h in STOCK_HEADER.items()])

@@ -78,7 +78,7 @@ def read_barcodes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_supplier_sheets(spark: SparkSession, path: str, upload_id: str = "") -> DataFrame:
-    """Staged supplier price rows (parquet, one folder per vendor_ref).
+    """Staged supplier price rows (parquet, ``vendor_ref`` a column of the files or a folder each).
 
     Every cell is a struct of text, number and kind, because the rules depend on
     the cell type. Rows with an empty code are skipped.

@@ -1,6 +1,7 @@
 """Readers, the row parser and the sinks on small literal files."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from costloom import sinks
 from costloom.operators import catalogue
-from costloom.schemas import FEED_COLUMNS
+from costloom.plans import QUERIES
+from costloom.schemas import FEED_COLUMNS, SHEET_COLUMNS
 from costloom.sources import files
 
 GOOD = ["10.7811", "NUT, 3/4 W", "NUT 3/4", "897.68", "100", "21.000", ".000", "25", "25", "", "0", "21.00", "102", "2018-01-26 16:13:21"]
@@ -115,3 +117,21 @@ def test_stock_export_has_header_and_quotes(spark, tmp_path):
     parts = [p.read_text() for p in path.glob("part-*")]
     assert {t.splitlines()[0] for t in parts} == {",".join(f'"{h}"' for h in sinks.STOCK_HEADER.values())}
     assert '"S/Fact"' in "".join(parts)
+
+
+def test_staged_sheets_are_files_of_many_vendors(spark, tmp_path):
+    cells = [F.struct(F.lit("x").alias("text"), F.lit(None).cast("double").alias("num"), F.lit("text").alias("kind")).alias(c) for c in SHEET_COLUMNS]
+    vendor = F.when(F.col("id") % 50 != 0, F.concat(F.lit("V"), F.col("id") % 97))
+    rows = spark.range(0, 400, numPartitions=8).select(vendor.alias("vendor_ref"), F.lit(1).alias("sheet_no"), F.col("id").cast("int").alias("row_no"), *cells)
+    sinks.write_supplier_sheets(rows, f"{tmp_path}/files")
+    assert len(list((tmp_path / "files").rglob("*.parquet"))) <= 8
+    rows.write.partitionBy("vendor_ref").parquet(f"{tmp_path}/folders")
+    want = sorted((r.row_no, r.vendor_ref) for r in rows.collect())
+    for layout in ("files", "folders"):
+        got = files.read_supplier_sheets(spark, f"{tmp_path}/{layout}", "A").collect()
+        assert sorted((r.row_no, r.vendor_ref) for r in got) == want
+
+
+def test_the_sheet_query_writes_no_folder_a_vendor(spark):
+    assert QUERIES["supplier_sheet_files"](spark, "/root/testdata/sf0.001").count() > 0
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).rglob("vendor_ref=*"))
