@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import exchange, margin_ratio, net_unit_price, purchase_net_price
@@ -45,28 +45,55 @@ def historic_price(line: DataFrame, supplierinfo: DataFrame) -> DataFrame:
     """Price valid on each line's date: start on or before, end open or on or after.
 
     ``line``: line_id, product_tmpl_id, date. The latest start wins, then the
-    lowest id. Lines collapse to product and day first. Open rows are an as-of
-    lookup. A closed row becomes the few aligned blocks of days it consists of,
-    about two for each doubling of its length, of which only the best row a block
-    is kept; a day looks up the one block of each length that holds it. Result:
-    line_id, price; lines without price drop out.
+    lowest id. Lines collapse to product and day, price rows to product, start and
+    end. The price row that started last decides where it still holds, and no open row
+    before the last open one counts. What is left is asked of closed rows in
+    days on which a later one has started: there, up to the next open
+    row, a closed row becomes the few aligned blocks of days it consists of, about two
+    for each doubling of its length, of which only the best row a block is kept;
+    a day looks up the one block of each length that holds it. Result: line_id,
+    price; lines without price drop out.
     """
-    key = "product_tmpl_id"
+    key, is_open = "product_tmpl_id", F.col("date_end").isNull()
     asked = line.select(key, F.col("date").cast("date").alias("day")).filter("day IS NOT NULL").distinct()
-    found = F.struct(F.col("date_start"), (-F.col("id")).alias("rank"), "price")
-    dated = supplierinfo.filter(F.col("date_start").isNotNull())
-
-    opened = dated.filter(F.col("date_end").isNull()).groupBy(key, F.col("date_start").alias("day")).agg(F.max(found).alias("found"))
-    by_open = asof_by_day(asked, opened, [key], "day", "found")
+    dated = supplierinfo.filter(F.col("date_start").isNotNull() & (is_open | (F.col("date_end") >= F.col("date_start"))))
+    best = F.max(F.struct((-F.col("id")).alias("rank"), "price"))
+    ranges = dated.groupBy(key, F.col("date_start").alias("day"), "date_end").agg(best.alias("best"))
+    ranges = ranges.select(key, "day", "date_end", F.struct(F.col("day").alias("date_start"), "best.rank", "best.price").alias("found"))
+
+    place = ["day", "found", "date_end"]
+    types = ranges.schema
+    days = asked.withColumns({"date_end": F.lit(None).cast(types["date_end"].dataType), "found": F.lit(None).cast(types["found"].dataType), "__asked": F.lit(1)})
+    both = days.unionByName(ranges.withColumn("__asked", F.lit(0)))
+    upto = Window.partitionBy(key).orderBy("day", "__asked", *place[1:]).rowsBetween(Window.unboundedPreceding, 0)
+    started = F.col("__asked") == 0
+    seen = both.withColumns(
+        {
+            "latest": F.last(F.when(started, F.struct("found", "date_end")), ignorenulls=True).over(upto),
+            "opened": F.last(F.when(started & is_open, F.col("found")), ignorenulls=True).over(upto),
+        }
+    ).filter(~started & F.col("latest").isNotNull())
+    holds = F.col("latest.date_end").isNull() | (F.col("latest.date_end") >= F.col("day"))
+    seen = seen.select(key, "day", F.when(holds, F.col("latest.found")).otherwise(F.col("opened")).alias("so_far"), holds.alias("holds"))
 
-    closed = in_day_blocks(dated.filter(F.col("date_end") >= F.col("date_start")), "date_start", "date_end")
-    closed = closed.groupBy(key, "level", "block").agg(F.max(found).alias("found"))
+    after = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in place])
+    hidden = ranges.withColumns(
+        {
+            "__first": F.lag("day").over(after),
+            "__open": F.last(F.when(is_open, F.col("day")), ignorenulls=True).over(after.rowsBetween(Window.unboundedPreceding, -1)),
+        }
+    )
+    hidden = hidden.filter(~is_open).withColumn("__last", F.least("date_end", F.date_sub("__open", 1))).filter("__first <= __last")
+    closed = in_day_blocks(hidden.select(key, "__first", "__last", "found"), "__first", "__last")
+    closed = closed.groupBy(key, "level", "block").agg(F.max("found").alias("found"))
     length = dated.agg(F.max(F.date_diff("date_end", "date_start"))).scalar()  # no block is longer
     levels = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.lit(0), F.coalesce(length, F.lit(0))) + 1)).cast("int"))
-    holds = asked.withColumn("level", F.explode(levels)).withColumn("block", F.expr(f"shiftright({_day_number('day')}, level)"))
-    by_closed = holds.join(closed, [key, "level", "block"]).select(key, "day", "found")
-    best = by_open.unionByName(by_closed).groupBy(key, "day").agg(F.max("found").alias("found"))
-    out = line.select("line_id", key, F.col("date").cast("date").alias("day")).join(best, [key, "day"])
+    # A day whose price is known looks up no block.
+    looks = seen.withColumn("level", F.explode(F.when(F.col("holds"), F.array(F.lit(-1))).otherwise(levels)))
+    looks = looks.withColumn("block", F.expr(f"shiftright({_day_number('day')}, greatest(level, 0))"))
+    known = looks.join(closed, [key, "level", "block"], "left").groupBy(key, "day").agg(F.max("so_far").alias("so_far"), F.max("found").alias("found"))
+    known = known.select(key, "day", F.greatest("so_far", "found").alias("found"))
+    out = line.select("line_id", key, F.col("date").cast("date").alias("day")).join(known, [key, "day"])
     return out.filter(F.col("found").isNotNull()).select("line_id", F.col("found.price").alias("price"))
 
 

@@ -92,6 +92,19 @@ def test_historic_price_of_long_and_overlapping_ranges(spark):
     assert got == want
 
 
+def test_days_whose_last_price_holds_look_up_no_block(spark, monkeypatch):
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(n)
+    # The second price of each product starts inside the first one, which holds again for ten days after it.
+    info = [(p * 2 + k, p, float(k), day(40 * k), day((100, 90)[k])) for p in range(20) for k in range(2)]
+    supplier = spark.createDataFrame(info, "id long, product_tmpl_id long, price double, date_start date, date_end date")
+    line = spark.range(20 * 100).select(F.col("id").alias("line_id"), (F.col("id") % 20).alias("product_tmpl_id"), F.date_add(F.lit(day(0)), (F.col("id") / 20).cast("int")).alias("date"))
+    asked, whole = [], repairs.in_day_blocks
+    monkeypatch.setattr(repairs, "in_day_blocks", lambda df, first, last: asked.append(df.select(F.col(first).alias("a"), F.col(last).alias("b"))) or whole(df, first, last))
+    got = {r.line_id: r.price for r in repairs.historic_price(line, supplier).collect()}
+    assert got == {n: float(40 <= n // 20 <= 90) for n in range(2000)}
+    assert {(r.a, r.b) for r in asked[0].collect()} == {(day(40), day(100))}
+
+
 def test_every_row_has_its_place(spark, parts):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 11).alias("day"))
     rows = numbered(df, [F.col("day").desc(), F.col("id").asc()], "n").collect()
