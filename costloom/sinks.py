@@ -32,11 +32,16 @@ def write_daily(feed: DataFrame, path: str, mode: str = "append", order: list[st
     time it was written. Files go to their place when their task ends, not one by
     one at the end of the job: there are as many as days. A repeated task writes
     the same names; start a stream after the write.
+
+    A row is dealt as the line of text it becomes, which is a fraction of its
+    columns, and files are compressed: readers see that by their names.
     """
-    out = feed.withColumn("day", F.substring("write_date", 1, 10)).hint("rebalance", "day")
-    out = out.sortWithinPartitions("day", *(order or [])).select(*FEED_COLUMNS, "day")
+    line = F.to_csv(F.struct(*FEED_COLUMNS), {"quoteAll": "false", "escape": '"'}).alias("value")
+    order = order or []
+    out = feed.select(line, *order, F.substring("write_date", 1, 10).alias("day")).hint("rebalance", "day")
+    out = out.sortWithinPartitions("day", *order).select("value", "day")
     writer = out.write.partitionBy("day").mode(mode).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    writer.option("quoteAll", "false").option("escape", '"').csv(path)
+    writer.option("compression", "gzip").text(path)
     fs, found = _day_files(feed.sparkSession, path)
     for file in found:
         try:

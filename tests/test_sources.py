@@ -66,6 +66,20 @@ def test_feed_file_quotes_width_and_daily_split(spark, tmp_path):
     assert catalogue.newer_than(whole).count() == 2
 
 
+def test_daily_files_hold_the_same_cells_in_fewer_bytes(spark, tmp_path):
+    odd = ["", None, 'say "hi"', "a, b", " padded ", "ñ\\", '"', "back\\slash", "#x"]
+    days = ["2018-01-26 10:00:00", "2018-01-27 10:00:00", "", None, "no date"]
+    rows = [tuple(odd[(n + i) % len(odd)] for i in range(13)) + (days[n % 5],) for n in range(3000)]
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in FEED_COLUMNS))
+    out, plain = str(tmp_path / "daily"), str(tmp_path / "plain")
+    sinks.write_daily(raw, out)
+    raw.write.option("quoteAll", "false").option("escape", '"').csv(plain)
+    cells = lambda path: sorted(map(str, files.read_product_feed(spark, path).select(*FEED_COLUMNS).collect()))
+    assert cells(out) == cells(plain)
+    size = lambda path: sum(f.stat().st_size for f in Path(path).rglob("part-*"))
+    assert 0 < 4 * size(out) < size(plain)
+
+
 def test_items_trim_resolve_and_last_row_wins(spark, tmp_path):
     sections = files.read_sections(spark, write(tmp_path, "section.csv", "1,Bolts\n1,Bulonería\n2,Tools\n"))
     families = files.read_families(spark, write(tmp_path, "family.csv", "ARA,WASHERS \n"))
