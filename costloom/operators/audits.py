@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from ..session import written
 CURRENCIES = ("ARS", "USD")
 VAT_FRACTIONS = (0.21, 0.105)
 OPEN_ORDER_STATES = ("draft", "sent")
+ERRORS = "array<struct<column:string,reason:string>>"
 
 
 # -- supplier sheets ---------------------------------------------------------
@@ -75,12 +78,14 @@ def validate_sheet(rows: DataFrame, product: DataFrame) -> DataFrame:
     values["parent"] = F.when(present & F.col("__parent_exists"), F.col("__parent"))
 
     keep = [c for c in rows.columns if c not in SHEET_COLUMNS]
+    invalid = any_of([bad for bad, _ in errors])
     return step.select(
         *keep,
         *[values[c].alias(c) for c in SHEET_COLUMNS],
         exists.alias("product_exists"),
-        any_of([bad for bad, _ in errors]).alias("invalid"),
-        F.array_compact(F.array(*[F.when(bad, why) for bad, why in errors])).alias("errors"),
+        invalid.alias("invalid"),
+        # Most rows have no error: theirs is a constant, and only the others are gone through reason by reason.
+        F.when(invalid, F.array_compact(F.array(*[F.when(bad, why) for bad, why in errors]))).otherwise(F.array().cast(ERRORS)).alias("errors"),
     )
 
 
@@ -119,13 +124,14 @@ def sheet_gate(checked: DataFrame, vendors: DataFrame | None = None) -> DataFram
     return out.filter(F.col("__first_bad").isNull() | (F.col("sheet_no") < F.col("__first_bad"))).drop("__first_bad", "invalid", "errors")
 
 
-def load_sheets(sheets: DataFrame, product: DataFrame, partner: DataFrame) -> tuple[DataFrame, DataFrame]:
+def load_sheets(sheets: DataFrame, product: DataFrame, partner: DataFrame, cells: Sequence[str] = SHEET_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """(validated rows, rows that load) of sheets.
 
     The rows are validated once and written; the failing sheets, the errors and
-    the rows that load all come from that table.
+    the rows that load all come from that table. Every cell is validated; the
+    values of those in ``cells`` are kept.
     """
-    checked = written(validate_sheet(sheets, product))
+    checked = written(validate_sheet(sheets, product).drop(*[c for c in SHEET_COLUMNS if c not in cells]))
     return checked, sheet_gate(checked, check_vendors(checked, partner))
 
 

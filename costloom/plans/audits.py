@@ -144,7 +144,7 @@ def upsert_supplier_products(t: Tables):
            CASE WHEN coalesce(b.e, 0) > 0 THEN 'error' ELSE 'done' END AS state
     FROM names n LEFT JOIN done d ON d.upload_id = n.upload_id LEFT JOIN bad b ON b.upload_id = n.upload_id""")
 def import_log(t: Tables):
-    checked, loaded = audits.load_sheets(sheets(t), t.product, t.vendor)
+    checked, loaded = audits.load_sheets(sheets(t), t.product, t.vendor, ["default_code"])
     loaded = loaded.select("upload_id", "default_code", "product_exists").distinct()
     actions = loaded.withColumn("action", F.when(F.col("product_exists"), "updated").otherwise("created"))
     return sinks.import_log(actions, audits.sheet_errors(checked), checked)

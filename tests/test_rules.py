@@ -143,6 +143,19 @@ def test_failing_sheet_stops_later_ones(spark):
     assert audits.sheet_gate(checked, vendors).count() == 0
 
 
+def test_validation_keeps_the_cells_that_are_asked_for(spark):
+    product = spark.createDataFrame([("OLD",)], "default_code string")
+    partner = spark.createDataFrame([(1, "v")], "id long, ref string")
+    rows = sheet(spark, ("v", 1, FULL), ("v", 2, [*FULL[:2], "x", *FULL[3:5], 0.3, *FULL[6:]]))
+    whole, all_loaded = audits.load_sheets(rows, product, partner)
+    few, loaded = audits.load_sheets(rows, product, partner, ["default_code"])
+    assert {"cost", "name", "sale_tax"}.isdisjoint(few.columns) and {"invalid", "errors", "default_code"} <= set(few.columns)
+    errors = lambda df: sorted(map(str, audits.sheet_errors(df).collect()))
+    assert errors(few) == errors(whole) and len(errors(few)) == 2
+    assert [r.errors for r in whole.filter("not invalid").collect()] == [[]]
+    assert loaded.select(*loaded.columns).collect() == all_loaded.select(*loaded.columns).collect() and loaded.count() == 1
+
+
 def test_discounts(spark):
     rule = spark.createDataFrame([(1, 1, 7, 0.0, 10.0), (2, 1, None, 0.0, 5.0)], "id long, user_id long, pricelist_id long, min_discount double, max_discount double")
     lines = spark.createDataFrame([(1, 1, 7, 8.0, None), (2, 1, 7, 12.0, None), (3, 1, 9, 12.0, None), (4, 2, 7, 1.0, None), (5, 2, 7, 3.0, 3.0)], "id long, user_id long, pricelist_id long, discount double, pricelist_discount double")
