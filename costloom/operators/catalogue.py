@@ -48,8 +48,9 @@ def feed_width_check(raw: DataFrame) -> DataFrame:
 def parse_feed(raw: DataFrame) -> DataFrame:
     """Typed feed rows with ``invalid`` and the ``errors`` behind it.
 
-    See ``good_rows`` and ``reject_rows``: the flag is a plain predicate, so
-    the array of reasons is only built for rows that have one. Empty optional cells keep a default. The pack cost is divided by the pack
+    See ``good_rows`` and ``reject_rows``: the flag is a plain predicate, and
+    the array of reasons is only built for rows that have one, also where both
+    are written. Empty optional cells keep a default. The pack cost is divided by the pack
     size. A row with any error is rejected alone.
     """
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
@@ -90,11 +91,12 @@ def parse_feed(raw: DataFrame) -> DataFrame:
     if CORRUPT in raw.columns:
         errors.append((F.col(CORRUPT).isNotNull(), F.lit(f"row: not {len(FEED_COLUMNS)} columns")))
     keep = [c for c in raw.columns if c not in FEED_COLUMNS and c != CORRUPT]
+    invalid = any_of([bad for bad, _ in errors])
     out = raw.select(
         *keep,
         *[v.alias(k) for k, v in typed.items()],
-        any_of([bad for bad, _ in errors]).alias("invalid"),
-        F.array_compact(F.array(*[F.when(bad, why) for bad, why in errors])).alias("errors"),
+        invalid.alias("invalid"),
+        F.when(invalid, F.array_compact(F.array(*[F.when(bad, why) for bad, why in errors]))).otherwise(F.array().cast("array<string>")).alias("errors"),
     )
     return out.withColumn("cost", cost_per_unit(F.col("pack_cost"), F.col("upv")))
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -65,6 +65,18 @@ def placed(batch: DataFrame) -> DataFrame:
     return batch.withColumn("place", place).drop("file", "block")
 
 
+def by_file_number(rows: DataFrame) -> DataFrame:
+    """``place`` with the number of its file among those of the batch, in the order of their paths, for the path.
+
+    Places are moved and compared many times, and a path is longer than the rest of a
+    row. One row a file, at most ``files_per_batch``, is numbered and broadcast.
+    """
+    files = rows.select(F.col("place.file").alias("__path")).distinct()
+    numbers = written(files.select("__path", F.row_number().over(Window.orderBy("__path")).alias("__number")))
+    out = rows.join(F.broadcast(numbers), F.col("place.file") == F.col("__path"))
+    return out.withColumn("place", F.struct(F.col("__number").alias("file"), "place.block", "place.line")).select(*rows.columns)
+
+
 def side_by_side(*steps: Callable[[], object]) -> list:
     """Results of steps that do not need each other: their small jobs overlap instead of waiting in line."""
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -173,7 +185,7 @@ def load_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> DataFrame:
             item.skip(spark, batch_id)
 
     parsed, _ = side_by_side(lambda: job.save(parse_feed(placed(batch)), "parsed", batch_id), load_items)
-    good = good_rows(parsed)
+    good = by_file_number(good_rows(parsed))
     current = written(product.read(spark, batch_id, good.select("default_code").distinct()))
     feed = job.save(choose_tax(protected_prefix(good, current), look["tax"]), "feed", batch_id)
     taxed = feed.filter(~F.col("tax_missing"))
@@ -192,8 +204,8 @@ def load_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> DataFrame:
         )
     )
 
-    # Every row is an event, in the order of the feed.
-    events = taxed.join(products.select("default_code", "tmpl_id"), "default_code").select(
+    # Every row is an event, in the order of the feed. History and prices read them several times.
+    found = taxed.join(products.select("default_code", "tmpl_id"), "default_code").select(
         F.lit(job.primary_vendor_id).cast("bigint").alias("vendor_id"),
         "tmpl_id",
         F.col("write_date").cast("date").alias("date"),
@@ -205,6 +217,7 @@ def load_batch(job: FeedJob, batch: DataFrame, batch_id: int) -> DataFrame:
         F.col("wholesaler_bulk").alias("min_qty"),
         F.col("default_code").alias("vendor_code"),
     )
+    events = written(found)
 
     def load_history() -> None:
         touched = products.select(F.lit(job.primary_vendor_id).cast("bigint").alias("vendor_id"), F.col("tmpl_id").alias("product_tmpl_id"))

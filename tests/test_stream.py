@@ -10,7 +10,7 @@ from costloom.plans.catalogue import TAX_SQL
 from costloom.schemas import FEED, FEED_COLUMNS
 from costloom.sources.files import CSV
 from costloom.sinks import drop_empty_days, write_daily
-from costloom.streaming.feed import FeedJob, price_history, rejects, run_feed_batch, start_feed, stream_feed
+from costloom.streaming.feed import FeedJob, by_file_number, price_history, rejects, run_feed_batch, start_feed, stream_feed
 from costloom.streaming.state import KeyedTable
 
 PRODUCT = (
@@ -100,6 +100,14 @@ def test_rows_of_one_second_apply_in_file_order(spark, job, tmp_path):
     assert sorted(r.price for r in history) == [5.0, 7.0, 9.0] and [r.price for r in history if r.date_end is None] == [7.0]
 
 
+def test_places_keep_their_order_without_paths(spark):
+    paths = ["f:/b/day=2018-01-02/p1", "f:/a/day=2018-01-03/p0", "f:/b/day=2018-01-01/p9"]
+    rows = spark.createDataFrame([((paths[n % 3], n // 3 % 2, n), n) for n in range(30)], "place struct<file:string,block:long,line:long>, n int")
+    short = by_file_number(rows)
+    assert short.columns == ["place", "n"] and short.schema["place"].dataType["file"].dataType.simpleString() == "int"
+    assert [r.n for r in short.orderBy("place").collect()] == [r.n for r in rows.orderBy("place").collect()]
+
+
 def test_a_failed_batch_is_logged_and_lost_state_is_no_new_start(spark, job, tmp_path):
     path = tmp_path / "2018-01-26-data.csv"
     path.write_text(LINE.format(code="102.AF", cost="500.00", day="2018-01-26"))
