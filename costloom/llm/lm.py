@@ -178,6 +178,16 @@ def centres_of(x: np.ndarray, weight: np.ndarray, rounds: int = 20) -> np.ndarra
     return centres
 
 
+def joined(table: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Mean vector of each word's subword ids; ``size`` tells how many ids of the turn each word has, none giving zeros."""
+    out = np.zeros((len(size), table.shape[1]), np.float32)
+    some = np.flatnonzero(size)
+    if len(some):
+        own = size[some]
+        out[some] = np.add.reduceat(table[ids], np.cumsum(own) - own, axis=0) / own[:, None]
+    return out
+
+
 class Spelling:
     """What is known of the words of each class: tokens, discounted rest, and the log10 of a spelling."""
 
@@ -250,13 +260,18 @@ def first_parameters(class_counts: np.ndarray, seed: int = 7) -> np.ndarray:
 MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
 
-def gradient(m: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean loss over the real positions and its gradient, flat; ``c`` inputs, ``y`` targets (windows x positions)."""
+def gradient(m: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, real: np.ndarray, own: np.ndarray | None = None) -> tuple[float, np.ndarray]:
+    """Mean loss over the real positions and its gradient, flat; ``c`` inputs, ``y`` targets (windows x positions).
+
+    ``own``, a vector a position from its subword ids, is added to the input and replaced by its slope.
+    """
     dtype, count, flat = m["e"].dtype, c.shape, (-1, WIDTH)
     scale = dtype.type(1 / math.sqrt(WIDTH))
     x = np.take(m["e"], c, axis=0)
     x += m["p"]
     x = x.reshape(flat)
+    if own is not None:
+        x += own
     mixed = np.hstack([m["q"] * scale, m["k"], m["v"]])
     qkv = (x @ mixed).reshape(*count, 3 * WIDTH)
     q, k, v = qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
@@ -292,6 +307,8 @@ def gradient(m: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, real: np.nd
     d = d.reshape(-1, 3 * WIDTH)
     dx = d @ mixed.T
     dx += dh
+    if own is not None:
+        own[:] = dx
     cell = (c.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
     dm = x.T @ d
     grads = {
@@ -314,26 +331,57 @@ def trained(windows: np.ndarray) -> np.ndarray:
     return real
 
 
+class Spelled:
+    """Subword ids of the inputs of windows, in turn, and how many each input has (windows x positions)."""
+
+    def __init__(self, ids: np.ndarray, size: np.ndarray):
+        self.ids, self.size = ids, size
+        self.at = np.concatenate([[0], np.cumsum(size.sum(1))])
+
+    def of(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, _, _ = parts(self.ids, self.at, chosen)
+        return ids, self.size[chosen].ravel()
+
+
 class Adam:
-    """Steps on windows as they come; the rate falls from ``rate`` with the number of steps."""
+    """Steps on windows as they come; the rate falls from ``rate`` with the number of steps.
 
-    def __init__(self, flat: np.ndarray, rate: float):
+    ``table`` holds a vector for each subword id; a step moves those of the ids it meets.
+    """
+
+    def __init__(self, flat: np.ndarray, rate: float, table: np.ndarray | None = None):
         self.flat, self.rate, self.t = flat.copy(), rate, 0
         self.m, self.v = np.zeros_like(flat), np.zeros_like(flat)
+        self.spelled = None
+        if table is not None:
+            self.table, self.table_m, self.table_v = table.copy(), np.zeros_like(table), np.zeros_like(table)
 
-    def epoch(self, windows: np.ndarray, seed: int) -> None:
-        windows = windows[np.random.default_rng(seed).permutation(len(windows))]
+    def epoch(self, windows: np.ndarray, seed: int, spelled: Spelled | None = None) -> None:
+        order = np.random.default_rng(seed).permutation(len(windows))
         for i in range(0, len(windows), BATCH):
-            self.step(windows[i : i + BATCH])
+            chosen = order[i : i + BATCH]
+            self.spelled = None if spelled is None else spelled.of(chosen)
+            self.step(windows[chosen])
 
     def step(self, windows: np.ndarray) -> float:
         c, y = windows[:, :-1], windows[:, 1:]
-        loss, g = gradient(unpacked(self.flat), np.where(c < 0, 0, c), np.where(y < 0, 0, y), trained(windows))
+        own = None if self.spelled is None else joined(self.table, *self.spelled)
+        loss, g = gradient(unpacked(self.flat), np.where(c < 0, 0, c), np.where(y < 0, 0, y), trained(windows), own)
         self.t += 1
+        size = self.rate / (1 + self.t / 400) ** 0.5
+        first, second = 1 - 0.9**self.t, 1 - 0.99**self.t
         self.m = 0.9 * self.m + 0.1 * g
         self.v = 0.99 * self.v + 0.01 * g * g
-        size = self.rate / (1 + self.t / 400) ** 0.5
-        self.flat = self.flat - size * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-8)
+        self.flat = self.flat - size * (self.m / first) / (np.sqrt(self.v / second) + 1e-8)
+        if own is not None and len(self.spelled[0]):
+            ids, length = self.spelled
+            met, which = np.unique(ids, return_inverse=True)
+            slope = np.repeat(own / np.maximum(length, 1)[:, None], length, axis=0)
+            cell = (which[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+            g = np.bincount(cell, slope.ravel(), len(met) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
+            self.table_m[met] = m = 0.9 * self.table_m[met] + 0.1 * g
+            self.table_v[met] = v = 0.99 * self.table_v[met] + 0.01 * g * g
+            self.table[met] -= size * (m / first) / (np.sqrt(v / second) + 1e-8)
         return loss
 
 
@@ -366,11 +414,14 @@ class Scorer:
         self.classes, self.places = row(m["e"], 1.0), row(m["p"], 0.0)
         self.u = np.vstack([m["u"], m["b"]]).astype(np.float32)
         self.ones = np.ones(CLASSES, np.float32)
+        self.added = row(np.eye(WIDTH, dtype=np.float32), 0.0)  # of an input vector from subword ids
 
-    def log10(self, c: np.ndarray, y: np.ndarray, first: int) -> np.ndarray:
+    def log10(self, c: np.ndarray, y: np.ndarray, first: int, own: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of the targets from position ``first`` on (windows x positions)."""
         t = np.take(self.classes, c, axis=0)
         t += self.places
+        if own is not None:
+            t += own @ self.added
         s = t[:, first:, :WIDTH] @ t[:, :, WIDTH : 2 * WIDTH].transpose(0, 2, 1)
         s += MASK[first:]
         if s.max() > 60:  # exp stays finite
@@ -386,8 +437,11 @@ class Scorer:
         np.exp(z, out=z)
         return ((hit - np.log((z @ self.ones).astype(np.float64))) / math.log(10)).reshape(len(c), -1)
 
-    def scores(self, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """log10 probability of each document's classes; ``classes`` holds all of them in turn."""
+    def scores(self, classes: np.ndarray, sizes: np.ndarray, number: np.ndarray | None = None, vectors: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of each document's classes; ``classes`` holds all of them in turn.
+
+        ``number`` holds the words in turn and ``vectors`` what each word's subword ids add to its input.
+        """
         total = np.zeros(len(sizes))
         if not len(classes):
             return total
@@ -402,7 +456,12 @@ class Scorer:
             c = padded[np.minimum(index, len(padded)) - 1].copy()
             if not skip:
                 c[:, 0] = START
-            p = self.log10(c, y, skip)
+            own = None
+            if vectors is not None:
+                own = vectors[number[np.clip(index - 1, 0, len(number) - 1)]]
+                if not skip:
+                    own[:, 0] = 0.0
+            p = self.log10(c, y, skip, own)
             inside = index[:, skip:] < ends[doc[lo:hi], None]
             np.add.at(total, doc[lo:hi], (p * inside).sum(1))
         return total
@@ -437,15 +496,15 @@ class Numbers(dict):
 class WordIds:
     """Subword ids, classes and looked-up counts of the words a task has met, up to ``CACHED`` words at a time."""
 
-    def __init__(self, subwords: Subwords, known: dict[bytes, int], classes: Classes | None = None, spelling: Spelling | None = None):
-        self.subwords, self.known, self.classes, self.spelling = subwords, known, classes, spelling
+    def __init__(self, subwords: Subwords, known: dict[bytes, int], classes: Classes | None = None, spelling: Spelling | None = None, table: np.ndarray | None = None):
+        self.subwords, self.known, self.classes, self.spelling, self.table = subwords, known, classes, spelling, table
         self.forget()
 
     def forget(self) -> None:
         self.index = Numbers({END_WORD: 0})
         self.ids, self.at = np.array([self.subwords.end]), np.array([0, 1])
         self.count = np.array([self.known.get(END_WORD, -1)])
-        self.group, self.unknown = np.zeros(1, np.int64), np.zeros(1)
+        self.group, self.unknown, self.vectors = np.zeros(1, np.int64), np.zeros(1), np.zeros((1, WIDTH), np.float32)
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of all words in turn with an end after each text, how many each text has)."""
@@ -469,6 +528,8 @@ class WordIds:
                 self.group = np.concatenate([self.group, group])
                 if self.spelling:
                     self.unknown = np.concatenate([self.unknown, self.spelling.unknown(group, ids, at)])
+            if self.table is not None:
+                self.vectors = np.concatenate([self.vectors, joined(self.table, ids, np.diff(at))])
         return np.concatenate(out), np.array(sizes, np.int64)
 
 
@@ -521,7 +582,11 @@ def spelling_of(counts: DataFrame, ranks: list[tuple[bytes, int]], classes: Clas
 
 
 def training_windows(train: DataFrame, ranks: list[tuple[bytes, int]], classes: Classes) -> DataFrame:
-    """All windows of all texts as classes, WINDOW + 1 each: the input before the first, then targets; -1 past the text."""
+    """All windows of all texts, as they enter and as they are predicted.
+
+    ``w``: classes, WINDOW + 1 each: the input before the first, then targets; -1 past the text.
+    ``ids``: the subword ids of the inputs in turn, and ``size``: how many each input has.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordIds(Subwords(ranks), {}, classes)
@@ -535,29 +600,58 @@ def training_windows(train: DataFrame, ranks: list[tuple[bytes, int]], classes:
                     index = (starts[own] + n * STEP)[:, None] + np.arange(-1, WINDOW)
                     rows = np.where(index < ends[own, None], c[np.clip(index, 0, len(c) - 1)], -1).astype(np.int16)
                     rows[n == 0, 0] = START
-                    yield pd.DataFrame({"w": [x.tobytes() for x in rows]})
+                    given = (rows[:, 1:] >= 0) & (rows[:, :-1] != START)
+                    ids, _, length = parts(words.ids, words.at, number[index[:, :-1][given]])
+                    size = np.zeros(given.shape, np.int32)
+                    size[given] = length
+                    at = np.concatenate([[0], np.cumsum(size.sum(1))])
+                    ids = ids.astype(np.int32)
+                    yield pd.DataFrame({"w": [x.tobytes() for x in rows], "ids": [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], "size": [x.tobytes() for x in size]})
+
+    return kept(texts_of(train).mapInPandas(cut, "w binary, ids binary, size binary"), "lm-windows")
 
-    return kept(texts_of(train).mapInPandas(cut, "w binary"), "lm-windows")
 
+def train_model(windows: DataFrame, flat: np.ndarray, rounds: int = ROUNDS, size: int = 0) -> tuple[np.ndarray, np.ndarray | None]:
+    """Parameters and the vectors of ``size`` subword ids after rounds of local descent in every task and averaging over tasks.
 
-def train_model(windows: DataFrame, flat: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Parameters after rounds of local descent in every task and averaging over tasks; a round is one pass over all windows."""
+    A round is one pass over all windows. A task returns what it changed, as rows of
+    WIDTH numbers: the parameters and the vectors of the ids it met.
+    """
+    table = np.zeros((size, WIDTH), np.float32) if size else None
+    pad = -len(flat) % WIDTH
+    own_rows = (len(flat) + pad) // WIDTH
+    numbers = [f"x{j}" for j in range(WIDTH)]
     for r in range(rounds):
         rate = 0.01 / (1 + r)
 
-        def descend(batches: Iterator[pd.DataFrame], flat: np.ndarray = flat, rate: float = rate) -> Iterator[pd.DataFrame]:
-            adam, rows = Adam(flat, rate), 0
+        def descend(batches: Iterator[pd.DataFrame], flat: np.ndarray = flat, table: np.ndarray | None = table, rate: float = rate) -> Iterator[pd.DataFrame]:
+            adam, rows = Adam(flat, rate, table), 0
             for pdf in batches:
                 w = np.frombuffer(b"".join(pdf.w), np.int16).reshape(len(pdf), -1).astype(np.int64)
-                adam.epoch(w, len(pdf))
+                spelled = None
+                if table is not None:
+                    spelled = Spelled(np.frombuffer(b"".join(pdf.ids), np.int32).astype(np.int64), np.frombuffer(b"".join(pdf["size"]), np.int32).reshape(len(pdf), -1).astype(np.int64))
+                adam.epoch(w, len(pdf), spelled)
                 rows += len(w)
             if rows:
-                yield pd.DataFrame({"i": np.arange(len(adam.flat)), "x": adam.flat.astype(float) * rows, "n": float(rows)})
-
-        found = windows.mapInPandas(descend, "i int, x double, n double").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()
+                moved = np.pad(adam.flat.astype(float) - flat, (0, pad)).reshape(-1, WIDTH)
+                met = np.zeros(0, np.int64) if table is None else np.flatnonzero((adam.table != table).any(1))
+                if len(met):
+                    moved = np.concatenate([moved, adam.table[met].astype(float) - table[met]])
+                out = pd.DataFrame(moved * rows, columns=numbers)
+                out.insert(0, "i", np.concatenate([np.arange(own_rows), own_rows + met]))
+                yield out.assign(n=float(rows))
+
+        schema = "i long, " + ", ".join(f"{x} double" for x in numbers) + ", n double"
+        found = windows.mapInPandas(descend, schema).groupBy("i").agg(*[F.sum(x).alias(x) for x in (*numbers, "n")]).toPandas().sort_values("i")
         if len(found):
-            flat = found.sort_values("i")["x"].to_numpy(np.float32)
-    return flat
+            # An id that a task did not meet has not moved there.
+            moved = found[numbers].to_numpy() / found["n"].to_numpy()[0]
+            flat = (flat + moved[:own_rows].ravel()[: len(flat)]).astype(np.float32)
+            if table is not None:
+                table = table.copy()
+                table[found["i"].to_numpy()[own_rows:] - own_rows] += moved[own_rows:].astype(np.float32)
+    return flat, table
 
 
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_log double, score double, tail array<struct<word:binary,n:int,unknown:double>>"
@@ -583,13 +677,13 @@ def scores(docs: DataFrame, vocabulary_path: str = VOCABULARY) -> DataFrame:
     if len(heavy):
         classes.centres = centres_of(classes.vectors(*Subwords(ranks).encode([bytes(w) for w in heavy["word"]])), heavy["n"].to_numpy(float))
     spelling = spelling_of(counts, ranks, classes)
-    flat = train_model(training_windows(train, ranks, classes), first_parameters(spelling.tokens))
+    flat, table = train_model(training_windows(train, ranks, classes), first_parameters(spelling.tokens), size=max(i for _, i in ranks) + 2)
     # At most SHARE words can have so large a part of the tokens.
     head = counts.filter(F.col("n") * SHARE >= total).toPandas()
     head_words, head_counts = [bytes(w) for w in head["word"]], head["n"].to_numpy(np.int64)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(Subwords(ranks), dict(zip(head_words, head_counts.tolist(), strict=True)), classes, spelling)
+        words = WordIds(Subwords(ranks), dict(zip(head_words, head_counts.tolist(), strict=True)), classes, spelling, table)
         scorer = Scorer(flat)
         for pdf in batches:
             for lo, hi in blocks([len(x) for x in pdf.text], BLOCK):
@@ -600,7 +694,7 @@ def scores(docs: DataFrame, vocabulary_path: str = VOCABULARY) -> DataFrame:
                 in_head = c >= 0
                 logs = np.bincount(text_of[in_head], np.log10(c[in_head] + 0.1), len(own))
                 hits = np.bincount(text_of[in_head], minlength=len(own))
-                model = scorer.scores(group, sizes) - np.bincount(text_of, spelling.whole[group], len(own))
+                model = scorer.scores(group, sizes, number, words.vectors) - np.bincount(text_of, spelling.whole[group], len(own))
                 shared = in_head & (group >= OWN)
                 model += np.bincount(text_of[shared], np.log10(c[shared] - DISCOUNT), len(own))
                 spread = len(words.index)

@@ -188,6 +188,57 @@ def test_training_windows_hold_each_token_once(spark, ranks):
     assert (windows[:, 0] == lm.START).sum() >= len(texts)
 
 
+def test_attention_reads_the_subword_ids(spark, ranks):
+    texts = ["the word word7 unsplittableish", "", " ".join(f"word{i} the" for i in range(60)), "x" * 9000 + " y z"]
+    words = sorted({w for x in texts for w in lm.words_of(x)})
+    classes, ids, at, size = word_classes(ranks, words)
+    spelled = {w: ids[a:b].tolist() for w, a, b in zip(words, at[:-1], at[1:], strict=True)}
+    rows = lm.training_windows(spark.createDataFrame([(x,) for x in texts], "text string").coalesce(1), ranks, classes).collect()
+    got = []
+    for r in rows:
+        n, own = np.frombuffer(r["size"], np.int32), np.frombuffer(r["ids"], np.int32)
+        assert n.sum() == len(own) and (n > 0).sum() <= lm.WINDOW
+        got.append([own[b - k : b].tolist() for k, b in zip(n, np.cumsum(n), strict=True) if k])
+    want = []
+    for x in texts:
+        own = lm.words_of(x)
+        first = [0, *range(lm.STEP, len(own) + 1 - lm.CONTEXT, lm.STEP)] if len(own) + 1 > lm.WINDOW else [0]
+        for i in first:
+            want.append([spelled[w] for w in own[max(0, i - 1) : i + lm.WINDOW - 1]])
+    assert sorted(got) == sorted(want)
+    # Vectors of the ids met are learned, of others not; they change the probability of what follows.
+    flat, table = lm.train_model(spark.createDataFrame(rows), lm.first_parameters(np.ones(lm.CLASSES)), rounds=2, size=size)
+    met = {i for w in spelled.values() for i in w}
+    assert set(np.flatnonzero(np.abs(table).sum(1)).tolist()) <= met and np.abs(table[spelled[b"word7"]]).sum() > 0
+    number, sizes = np.array([0, 1, 2]), np.array([3])
+    scorer, same = lm.Scorer(flat), np.array([5, 5, 0])
+    plain = scorer.scores(same, sizes, number, np.zeros((3, lm.WIDTH), np.float32))
+    assert np.allclose(plain, scorer.scores(same, sizes))
+    assert abs(scorer.scores(same, sizes, number, lm.joined(table, np.array(spelled[b"word7"]), np.array([len(spelled[b"word7"]), 0, 0]))) - plain)[0] > 1e-6
+
+
+def test_slope_of_what_subword_ids_add():
+    rng = np.random.default_rng(3)
+    m = lm.unpacked(lm.first_parameters(rng.integers(1, 100, lm.CLASSES)).astype(np.float64))
+    c, y = rng.integers(0, lm.CLASSES, (2, 3, lm.WINDOW))
+    real, own = rng.random((3, lm.WINDOW)) > 0.2, rng.normal(0, 0.3, (3 * lm.WINDOW, lm.WIDTH))
+    slope = own.copy()
+    lm.gradient(m, c, y, real, slope)
+    for i, j in zip(rng.integers(0, len(own), 20), rng.integers(0, lm.WIDTH, 20), strict=True):
+        up, down = own.copy(), own.copy()
+        up[i, j] += 1e-5
+        down[i, j] -= 1e-5
+        assert abs((lm.gradient(m, c, y, real, up)[0] - lm.gradient(m, c, y, real, down)[0]) / 2e-5 - slope[i, j]) < 1e-4
+    # One more vector for the input is one more row of the tables.
+    flat = np.concatenate([m[n].ravel() for n in lm.SHAPES]).astype(np.float32)
+    vectors = rng.normal(0, 0.3, (7, lm.WIDTH)).astype(np.float32)
+    number, classes = rng.integers(0, 7, lm.WINDOW), rng.integers(0, lm.CLASSES, lm.WINDOW)
+    got = lm.Scorer(flat).scores(classes, np.array([lm.WINDOW]), number, vectors)[0]
+    given = np.concatenate([np.zeros((1, lm.WIDTH)), vectors[number[:-1]]])
+    loss = lm.gradient(m, np.r_[lm.START, classes[:-1]][None], classes[None], np.ones((1, lm.WINDOW), bool), given)[0]
+    assert abs(-loss * lm.WINDOW / math.log(10) - got) < 1e-3 * lm.WINDOW
+
+
 def test_class_is_that_of_the_nearest_centre(ranks):
     words = [b"hello", b"anderenzwei", "été".encode(), b"x" * 3000, b"the", b"\xff\xfe"]
     classes, ids, at, _ = word_classes(ranks, words)
