@@ -4,7 +4,8 @@ Tokens are words and the end of a text. The most frequent words are classes of t
 every other word goes to the class its subword ids point to. For that each subword has a
 profile, the frequent word last seen before it, counted over all training documents; the
 profiles of a word's subwords are multiplied and the nearest of the centres taken.
-Attention over the tokens before gives the probability of a token's class. Inside the
+Attention over the tokens before, each entering by its class and the vectors of its subword
+ids, gives the probability of a token's class. Inside the
 class a known word has its discounted corpus share, and what the discount leaves belongs to unknown
 words, spelled by first and later subwords and their number as the class's known words are.
 All of it sums to one at most over all texts.
