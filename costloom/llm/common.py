@@ -39,13 +39,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     The rows outlive lost executors and are computed once, whoever reads them.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -33,6 +33,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,7 @@ ROUNDS = 2  # passes over all windows, at every size
 BATCH = 64  # windows of one step
 BLOCK = 2_000_000  # characters scored together
 WRITTEN = 10_000  # training windows handed to Spark together
+PLACES = 16  # ids of a word added place by place
 CACHED = 400_000  # words a task keeps the ids of
 
 
@@ -180,12 +182,26 @@ def centres_of(x: np.ndarray, weight: np.ndarray, rounds: int = 20) -> np.ndarra
 
 
 def joined(table: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Mean vector of each word's subword ids; ``size`` tells how many ids of the turn each word has, none giving zeros."""
-    out = np.zeros((len(size), table.shape[1]), np.float32)
-    some = np.flatnonzero(size)
-    if len(some):
-        own = size[some]
-        out[some] = np.add.reduceat(table[ids], np.cumsum(own) - own, axis=0) / own[:, None]
+    """Mean vector of each word's subword ids; ``size`` tells how many ids of the turn each word has, none giving zeros.
+
+    Words go by their number of ids, most first, so that those with a further id are the first ones; ids
+    from ``PLACES`` on, of which few words have any, are added apart.
+    """
+    order = np.argsort(-np.minimum(size, PLACES + 1).astype(np.int16), kind="stable")
+    at, size = (np.cumsum(size) - size)[order], size[order]
+    total = np.zeros((len(size), table.shape[1]), np.float32)
+    having = len(size) - np.cumsum(np.bincount(np.minimum(size, PLACES + 1), minlength=PLACES + 2))  # words of more than j ids
+    for j, n in enumerate(having[:PLACES].tolist()):
+        if not n:
+            break
+        total[:n] += table.take(ids.take(at[:n] + j), axis=0)
+    if n := int(having[PLACES]):
+        more = size[:n] - PLACES
+        first = np.cumsum(more) - more
+        total[:n] += np.add.reduceat(table[ids[np.repeat(at[:n] + PLACES - first, more) + np.arange(more.sum())]], first, axis=0)
+    total /= np.maximum(size, 1).astype(np.float32)[:, None]
+    out = np.empty_like(total)
+    out[order] = total
     return out
 
 
@@ -265,66 +281,95 @@ def gradient(m: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, real: np.nd
     """Mean loss over the real positions and its gradient, flat; ``c`` inputs, ``y`` targets (windows x positions).
 
     ``own``, a vector a position from its subword ids, is added to the input and replaced by its slope.
+    Class scores are computed where a target counts only. Ones beside the input, the value and the
+    output sum the attention and add the bias; both softmaxes stay unnormalised, their sums going into narrow arrays.
     """
-    dtype, count, flat = m["e"].dtype, c.shape, (-1, WIDTH)
+    dtype, count, n = m["e"].dtype, c.shape, c.size
     scale = dtype.type(1 / math.sqrt(WIDTH))
-    x = np.take(m["e"], c, axis=0)
-    x += m["p"]
-    x = x.reshape(flat)
+    x = np.empty((n, WIDTH + 1), dtype)
+    x[:, WIDTH] = 1
+    given = m["e"].take(c.ravel(), axis=0)
+    given.reshape(*count, WIDTH)[...] += m["p"]
     if own is not None:
-        x += own
-    mixed = np.hstack([m["q"] * scale, m["k"], m["v"]])
-    qkv = (x @ mixed).reshape(*count, 3 * WIDTH)
+        given += own
+    x[:, :WIDTH] = given
+    mixed = np.zeros((WIDTH + 1, 3 * WIDTH + 1), dtype)
+    mixed[:WIDTH, : 3 * WIDTH] = np.hstack([m["q"] * scale, m["k"], m["v"]])
+    mixed[WIDTH, 3 * WIDTH] = 1
+    qkv = (x @ mixed).reshape(*count, 3 * WIDTH + 1)
     q, k, v = qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
     a = q @ k.transpose(0, 2, 1)
     a += MASK
-    a -= a.max(-1, keepdims=True)
+    if a.max() > 60:  # exp stays finite
+        a -= a.max(-1, keepdims=True)
     np.exp(a, out=a)
-    a /= a.sum(-1, keepdims=True)
-    o = (a @ v).reshape(flat)
-    h = o @ m["o"]
-    h += x
-    p = h @ m["u"]
-    p += m["b"]
-    if p.max() > 60:  # exp stays finite
+    o = (a @ v).reshape(n, WIDTH + 1)
+    over = 1 / o[:, WIDTH:]
+    o = o[:, :WIDTH] * over
+    h = x.copy()
+    h[:, :WIDTH] += o @ m["o"]
+    chosen = np.flatnonzero(real)
+    h = h.take(chosen, axis=0)
+    u = np.vstack([m["u"], m["b"]])
+    p = h @ u
+    at, aim = np.arange(len(p)), y.ravel()[chosen]
+    if len(p) and p.max() > 60:
         p -= p.max(-1, keepdims=True)
-    at, aim = np.arange(len(p)), y.ravel()
     hit = p[at, aim]
     np.exp(p, out=p)
     total = p @ np.ones(p.shape[1], dtype)
-    share = real.ravel().astype(dtype) / dtype.type(max(1, int(real.sum())))
+    share = dtype.type(1 / max(1, len(p)))
     loss = float(((np.log(total) - hit) * share).sum())
-    p *= (share / total)[:, None]
-    p[at, aim] -= share  # the slope by the class scores from here on
-    dh = p @ m["u"].T
-    do = (dh @ m["o"].T).reshape(*count, WIDTH)
-    d = np.empty_like(qkv)
+    p[at, aim] -= total
+    part = (share / total)[:, None]  # times this, the slope by the class scores
+    dh = np.zeros((n, WIDTH), dtype)
+    dh[chosen] = (p @ m["u"].T) * part
+    h *= part
+    du = (p.T @ h).T
+    do = np.empty((n, WIDTH + 1), dtype)
+    np.matmul(dh, m["o"].T, out=do[:, :WIDTH])
+    do[:, :WIDTH] *= over
+    np.einsum("ij,ij->i", do[:, :WIDTH], o, out=do[:, WIDTH])
+    np.negative(do[:, WIDTH], out=do[:, WIDTH])
+    do = do.reshape(*count, WIDTH + 1)
+    d = np.empty((*count, 3 * WIDTH), dtype)
     ds = do @ v.transpose(0, 2, 1)
-    ds -= (do * o.reshape(do.shape)).sum(-1, keepdims=True)
     ds *= a
     np.matmul(ds, k, out=d[..., :WIDTH])
     np.matmul(ds.transpose(0, 2, 1), q, out=d[..., WIDTH : 2 * WIDTH])
-    np.matmul(a.transpose(0, 2, 1), do, out=d[..., 2 * WIDTH :])
-    d = d.reshape(-1, 3 * WIDTH)
-    dx = d @ mixed.T
+    np.matmul(a.transpose(0, 2, 1), do[..., :WIDTH], out=d[..., 2 * WIDTH :])
+    d = d.reshape(n, 3 * WIDTH)
+    dx = d @ mixed[:WIDTH, : 3 * WIDTH].T
     dx += dh
     if own is not None:
         own[:] = dx
-    cell = (c.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-    dm = x.T @ d
+    dm = (d.T @ x).T
     grads = {
-        "e": np.bincount(cell, dx.ravel(), m["e"].size),
-        "p": dx.reshape(*count, WIDTH).sum(0),
-        "q": dm[:, :WIDTH] * scale,
-        "k": dm[:, WIDTH : 2 * WIDTH],
-        "v": dm[:, 2 * WIDTH :],
+        "e": np.bincount(((c.ravel() * WIDTH)[:, None] + np.arange(WIDTH)).ravel(), dx.ravel(), m["e"].size),
+        "p": np.ones(count[0], dtype) @ dx.reshape(count[0], -1),
+        "q": dm[:WIDTH, :WIDTH] * scale,
+        "k": dm[:WIDTH, WIDTH : 2 * WIDTH],
+        "v": dm[:WIDTH, 2 * WIDTH :],
         "o": o.T @ dh,
-        "u": h.T @ p,
-        "b": p.sum(0),
+        "u": du[:WIDTH],
+        "b": du[WIDTH],
     }
     return loss, np.concatenate([grads[n].ravel() for n in SHAPES]).astype(np.float32)
 
 
+def binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Rows of bytes: numbers in turn, cut after each of ``ends``."""
+    at = np.concatenate([[0], ends * values.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def numbers_of(column: pa.Array, dtype: type) -> np.ndarray:
+    """The numbers of all rows of bytes in turn."""
+    _, at, values = column.buffers()
+    at = np.frombuffer(at, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(values, np.uint8)[at[0] : at[-1]].view(dtype) if at[-1] > at[0] else np.zeros(0, dtype)
+
+
 def trained(windows: np.ndarray) -> np.ndarray:
     """Which targets count: those of the text, but where a window only repeats the one before for context."""
     real = windows[:, 1:] >= 0
@@ -339,9 +384,12 @@ class Spelled:
         self.ids, self.size = ids, size
         self.at = np.concatenate([[0], np.cumsum(size.sum(1))])
 
-    def of(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ids, _, _ = parts(self.ids, self.at, chosen)
-        return ids, self.size[chosen].ravel()
+    def of(self, chosen: np.ndarray) -> "Spelled":
+        return Spelled(parts(self.ids, self.at, chosen)[0], self.size[chosen])
+
+    def cut(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of these windows in turn, how many each input has)."""
+        return self.ids[self.at[lo] : self.at[hi]], self.size[lo:hi].ravel()
 
 
 class Adam:
@@ -356,33 +404,56 @@ class Adam:
         self.spelled = None
         if table is not None:
             self.table, self.table_m, self.table_v = table.copy(), np.zeros_like(table), np.zeros_like(table)
+            self.seen, self.number = np.zeros(len(table), bool), np.zeros(len(table), np.int64)
 
     def epoch(self, windows: np.ndarray, seed: int, spelled: Spelled | None = None) -> None:
         order = np.random.default_rng(seed).permutation(len(windows))
+        windows = windows[order]
+        if spelled is not None:
+            spelled = spelled.of(order)
         for i in range(0, len(windows), BATCH):
-            chosen = order[i : i + BATCH]
-            self.spelled = None if spelled is None else spelled.of(chosen)
-            self.step(windows[chosen])
+            self.spelled = None if spelled is None else spelled.cut(i, min(i + BATCH, len(windows)))
+            self.step(windows[i : i + BATCH])
 
     def step(self, windows: np.ndarray) -> float:
         c, y = windows[:, :-1], windows[:, 1:]
-        own = None if self.spelled is None else joined(self.table, *self.spelled)
-        loss, g = gradient(unpacked(self.flat), np.where(c < 0, 0, c), np.where(y < 0, 0, y), trained(windows), own)
+        own = None
+        if self.spelled is not None:
+            ids, length = self.spelled
+            self.seen[ids] = True
+            met = np.flatnonzero(self.seen)
+            self.seen[met] = False
+            self.number[met] = np.arange(len(met))
+            which, vectors = self.number.take(ids), self.table.take(met, axis=0)
+            own = joined(vectors, which, length)
+        loss, g = gradient(unpacked(self.flat), np.maximum(c, 0), np.maximum(y, 0), trained(windows), own)
         self.t += 1
         size = self.rate / (1 + self.t / 400) ** 0.5
         first, second = 1 - 0.9**self.t, 1 - 0.99**self.t
         self.m = 0.9 * self.m + 0.1 * g
         self.v = 0.99 * self.v + 0.01 * g * g
         self.flat = self.flat - size * (self.m / first) / (np.sqrt(self.v / second) + 1e-8)
-        if own is not None and len(self.spelled[0]):
-            ids, length = self.spelled
-            met, which = np.unique(ids, return_inverse=True)
-            slope = np.repeat(own / np.maximum(length, 1)[:, None], length, axis=0)
-            cell = (which[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-            g = np.bincount(cell, slope.ravel(), len(met) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
-            self.table_m[met] = m = 0.9 * self.table_m[met] + 0.1 * g
-            self.table_v[met] = v = 0.99 * self.table_v[met] + 0.01 * g * g
-            self.table[met] -= size * (m / first) / (np.sqrt(v / second) + 1e-8)
+        if own is not None and len(ids):
+            own /= np.maximum(length, 1).astype(np.float32)[:, None]
+            slope = own.take(np.repeat(np.arange(len(length)), length), axis=0)
+            g = np.zeros(len(met) * WIDTH, np.float32)
+            np.add.at(g, ((which * WIDTH)[:, None] + np.arange(WIDTH)).ravel(), slope.ravel())
+            g = g.reshape(-1, WIDTH)
+            m, v = self.table_m.take(met, axis=0), self.table_v.take(met, axis=0)
+            m *= 0.9
+            m += 0.1 * g
+            g *= g
+            v *= 0.99
+            g *= 0.01
+            v += g
+            self.table_m[met], self.table_v[met] = m, v
+            v /= second
+            np.sqrt(v, out=v)
+            v += 1e-8
+            m *= size / first
+            m /= v
+            vectors -= m
+            self.table[met] = vectors
         return loss
 
 
@@ -417,12 +488,8 @@ class Scorer:
         self.ones = np.ones(CLASSES, np.float32)
         self.added = row(np.eye(WIDTH, dtype=np.float32), 0.0)  # of an input vector from subword ids
 
-    def log10(self, c: np.ndarray, y: np.ndarray, first: int, own: np.ndarray | None = None) -> np.ndarray:
-        """log10 probability of the targets from position ``first`` on (windows x positions)."""
-        t = np.take(self.classes, c, axis=0)
-        t += self.places
-        if own is not None:
-            t += own @ self.added
+    def log10(self, t: np.ndarray, y: np.ndarray, first: int) -> np.ndarray:
+        """log10 probability of the targets from position ``first`` on (windows x positions); ``t`` holds the inputs' rows."""
         s = t[:, first:, :WIDTH] @ t[:, :, WIDTH : 2 * WIDTH].transpose(0, 2, 1)
         s += MASK[first:]
         if s.max() > 60:  # exp stays finite
@@ -436,35 +503,41 @@ class Scorer:
             z -= z.max(-1, keepdims=True)
         hit = z[np.arange(len(z)), y[:, first:].ravel()].astype(np.float64)
         np.exp(z, out=z)
-        return ((hit - np.log((z @ self.ones).astype(np.float64))) / math.log(10)).reshape(len(c), -1)
+        return ((hit - np.log((z @ self.ones).astype(np.float64))) / math.log(10)).reshape(len(t), -1)
 
     def scores(self, classes: np.ndarray, sizes: np.ndarray, number: np.ndarray | None = None, vectors: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of each document's classes; ``classes`` holds all of them in turn.
 
         ``number`` holds the words in turn and ``vectors`` what each word's subword ids add to its input.
+        The row of an input is made once for all places of its word.
         """
         total = np.zeros(len(sizes))
         if not len(classes):
             return total
+        if vectors is None:
+            rows, turn = self.classes, classes.astype(np.int64)
+        else:
+            met, turn = np.unique(number * CLASSES + classes, return_inverse=True)
+            rows = self.classes[met % CLASSES] + vectors[met // CLASSES] @ self.added
+            rows = np.concatenate([rows, self.classes[START:]])
+        start = len(rows) - 1  # the row of the input before the first token
         doc, nth, starts, ends = window_places(sizes)
         padded = np.concatenate([classes, np.zeros(WINDOW + 1, classes.dtype)])
+        turn = np.concatenate([turn, np.full(WINDOW + 1, start)])
         place = starts[doc] + nth * STEP
         grid = np.arange(WINDOW)
         n_first = int((nth == 0).sum())
         for lo, hi, skip in [(i, min(i + 128, n_first), 0) for i in range(0, n_first, 128)] + [(i, min(i + 128, len(doc)), CONTEXT) for i in range(n_first, len(doc), 128)]:
             index = place[lo:hi, None] + grid
-            y = padded[np.minimum(index, len(padded) - 1)]
-            c = padded[np.minimum(index, len(padded)) - 1].copy()
+            y = padded.take(index)
+            c = turn.take(index - 1, mode="wrap")
             if not skip:
-                c[:, 0] = START
-            own = None
-            if vectors is not None:
-                own = vectors[number[np.clip(index - 1, 0, len(number) - 1)]]
-                if not skip:
-                    own[:, 0] = 0.0
-            p = self.log10(c, y, skip, own)
+                c[:, 0] = start
+            t = rows.take(c, axis=0)
+            t += self.places
+            p = self.log10(t, y, skip)
             inside = index[:, skip:] < ends[doc[lo:hi], None]
-            np.add.at(total, doc[lo:hi], (p * inside).sum(1))
+            total += np.bincount(doc[lo:hi], (p * inside).sum(1), len(total))
         return total
 
 
@@ -589,11 +662,12 @@ def training_windows(train: DataFrame, ranks: list[tuple[bytes, int]], classes:
     ``ids``: the subword ids of the inputs in turn, and ``size``: how many each input has.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(Subwords(ranks), {}, classes)
-        for pdf in batches:
-            for lo, hi in blocks([len(x) for x in pdf.text], BLOCK):
-                number, sizes = words.numbers(list(pdf.text[lo:hi]))
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for lo, hi in blocks([len(x) for x in texts], BLOCK):
+                number, sizes = words.numbers(texts[lo:hi])
                 c = words.group[number]
                 doc, nth, starts, ends = window_places(sizes)
                 for i in range(0, len(doc), WRITTEN):
@@ -605,11 +679,11 @@ def training_windows(train: DataFrame, ranks: list[tuple[bytes, int]], classes:
                     ids, _, length = parts(words.ids, words.at, number[index[:, :-1][given]])
                     size = np.zeros(given.shape, np.int32)
                     size[given] = length
-                    at = np.concatenate([[0], np.cumsum(size.sum(1))])
-                    ids = ids.astype(np.int32)
-                    yield pd.DataFrame({"w": [x.tobytes() for x in rows], "ids": [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], "size": [x.tobytes() for x in size]})
+                    grid = np.arange(1, len(rows) + 1)
+                    columns = [binary(rows, grid * rows.shape[1]), binary(ids.astype(np.int32), np.cumsum(size.sum(1))), binary(size, grid * WINDOW)]
+                    yield pa.RecordBatch.from_arrays(columns, ["w", "ids", "size"])
 
-    return kept(texts_of(train).mapInPandas(cut, "w binary, ids binary, size binary"), "lm-windows")
+    return kept(texts_of(train).mapInArrow(cut, "w binary, ids binary, size binary"), "lm-windows", "zstd")
 
 
 def train_model(windows: DataFrame, flat: np.ndarray, rounds: int = ROUNDS, size: int = 0) -> tuple[np.ndarray, np.ndarray | None]:
@@ -625,26 +699,27 @@ def train_model(windows: DataFrame, flat: np.ndarray, rounds: int = ROUNDS, size
     for r in range(rounds):
         rate = 0.01 / (1 + r)
 
-        def descend(batches: Iterator[pd.DataFrame], flat: np.ndarray = flat, table: np.ndarray | None = table, rate: float = rate) -> Iterator[pd.DataFrame]:
+        def descend(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat, table: np.ndarray | None = table, rate: float = rate) -> Iterator[pa.RecordBatch]:
             adam, rows = Adam(flat, rate, table), 0
-            for pdf in batches:
-                w = np.frombuffer(b"".join(pdf.w), np.int16).reshape(len(pdf), -1).astype(np.int64)
+            for batch in batches:
+                w = numbers_of(batch.column("w"), np.int16).reshape(batch.num_rows, -1).astype(np.int64)
                 spelled = None
                 if table is not None:
-                    spelled = Spelled(np.frombuffer(b"".join(pdf.ids), np.int32).astype(np.int64), np.frombuffer(b"".join(pdf["size"]), np.int32).reshape(len(pdf), -1).astype(np.int64))
-                adam.epoch(w, len(pdf), spelled)
+                    size = numbers_of(batch.column("size"), np.int32).reshape(batch.num_rows, -1)
+                    spelled = Spelled(numbers_of(batch.column("ids"), np.int32).astype(np.int64), size.astype(np.int64))
+                adam.epoch(w, len(w), spelled)
                 rows += len(w)
             if rows:
                 moved = np.pad(adam.flat.astype(float) - flat, (0, pad)).reshape(-1, WIDTH)
                 met = np.zeros(0, np.int64) if table is None else np.flatnonzero((adam.table != table).any(1))
                 if len(met):
                     moved = np.concatenate([moved, adam.table[met].astype(float) - table[met]])
-                out = pd.DataFrame(moved * rows, columns=numbers)
-                out.insert(0, "i", np.concatenate([np.arange(own_rows), own_rows + met]))
-                yield out.assign(n=float(rows))
+                moved *= rows
+                columns = [np.concatenate([np.arange(own_rows), own_rows + met]), *(np.ascontiguousarray(x) for x in moved.T), np.full(len(moved), float(rows))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["i", *numbers, "n"])
 
         schema = "i long, " + ", ".join(f"{x} double" for x in numbers) + ", n double"
-        found = windows.mapInPandas(descend, schema).groupBy("i").agg(*[F.sum(x).alias(x) for x in (*numbers, "n")]).toPandas().sort_values("i")
+        found = windows.mapInArrow(descend, schema).groupBy("i").agg(*[F.sum(x).alias(x) for x in (*numbers, "n")]).toPandas().sort_values("i")
         if len(found):
             # An id that a task did not meet has not moved there.
             moved = found[numbers].to_numpy() / found["n"].to_numpy()[0]
@@ -707,7 +782,7 @@ def scores(docs: DataFrame, vocabulary_path: str = VOCABULARY) -> DataFrame:
                 yield pd.DataFrame({"row": own.row, "doc_id": own.doc_id, "held_out": own.held_out, "n_tokens": sizes, "head_known": hits, "head_log": logs, "score": model, "tail": tails})
 
     texts = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text"))
-    scored = kept(texts.mapInPandas(score, SCORED), "lm-scored")
+    scored = kept(texts.mapInPandas(score, SCORED), "lm-scored", "zstd")
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", F.col("t.word").alias("word"), F.col("t.n").alias("times"), F.col("t.unknown").alias("unknown"))
     found = tail.join(counts, "word", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     # A word of its own class is certain there, whether looked up or joined.

@@ -1,6 +1,8 @@
 """Classifiers and the language model: held-out quality, exact arithmetic, and odd rows."""
 
 import math
+import os
+import urllib.parse
 import zlib
 
 import numpy as np
@@ -217,6 +219,27 @@ def test_attention_reads_the_subword_ids(spark, ranks):
     assert abs(scorer.scores(same, sizes, number, lm.joined(table, np.array(spelled[b"word7"]), np.array([len(spelled[b"word7"]), 0, 0]))) - plain)[0] > 1e-6
 
 
+def test_training_windows_take_little_disk(spark, ranks):
+    rng = np.random.default_rng(5)
+    words = [f"{a}{b}{c}" for a in ("un", "re", "ab", "kö") for b in ("do", "turn", "zzz", "lich") for c in range(40)]
+    texts = [" ".join(words[i] for i in rng.zipf(1.3, 400) % len(words)) for _ in range(500)]
+    classes, *_ = word_classes(ranks, [w.encode() for w in words])
+    windows = lm.training_windows(spark.createDataFrame([(x,) for x in texts], "text string").coalesce(1), ranks, classes)
+    took = sum(os.path.getsize(urllib.parse.urlparse(x).path) for x in windows.inputFiles())
+    assert took < 0.65 * sum(len(x.encode()) for x in texts)
+
+
+def test_mean_vector_of_words_of_any_length():
+    rng = np.random.default_rng(6)
+    vectors, size = rng.normal(size=(50, lm.WIDTH)).astype(np.float32), np.array([0, 3, 40, 0, lm.PLACES + 1, lm.PLACES, 1])
+    ids = rng.integers(0, 50, size.sum())
+    ends = np.cumsum(size)
+    for got, n, end in zip(lm.joined(vectors, ids, size), size, ends, strict=True):
+        assert np.allclose(got, vectors[ids[end - n : end]].mean(0) if n else 0, atol=1e-6)
+    assert lm.joined(vectors, ids[:0], size[:0]).shape == (0, lm.WIDTH)
+    assert not lm.joined(vectors, ids[:0], np.zeros(3, np.int64)).any()
+
+
 def test_slope_of_what_subword_ids_add():
     rng = np.random.default_rng(3)
     m = lm.unpacked(lm.first_parameters(rng.integers(1, 100, lm.CLASSES)).astype(np.float64))
