@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,60 +42,101 @@ def in_day_blocks(df: DataFrame, first: str, last: str) -> DataFrame:
     return out.withColumn("block", F.explode(F.array(left, right))).filter("block is not null").drop("__low", "__high")
 
 
-def historic_price(line: DataFrame, supplierinfo: DataFrame) -> DataFrame:
+# A product with more rows than this is not left to one task.
+CROWDED = 1_000_000
+BUCKETS = 65_536
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+
+
+def _crowded(key: str, *keyed: DataFrame) -> list[int]:
+    """Hash buckets of the values of ``key`` with so many rows that one task should not hold them; usually none."""
+    rows = reduce(DataFrame.union, keyed).groupBy(_bucket(key).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    full = F.collect_list(F.when(F.col("n") > CROWDED, F.struct("bucket", "n"))).alias("full")
+    seen = rows.agg(F.sum("n").alias("n"), full).first()
+    return [r["bucket"] for r in seen["full"] if r["n"] * BUCKETS > 8 * seen["n"]]
+
+
+def historic_price(line: DataFrame, supplierinfo: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
     """Price valid on each line's date: start on or before, end open or on or after.
 
     ``line``: line_id, product_tmpl_id, date. The latest start wins, then the
-    lowest id. Lines collapse to product and day, price rows to product, start and
-    end. The price row that started last decides where it still holds, and no open row
-    before the last open one counts. What is left is asked of closed rows in
-    days on which a later one has started: there, up to the next open
-    row, a closed row becomes the few aligned blocks of days it consists of, about two
-    for each doubling of its length, of which only the best row a block is kept;
-    a day looks up the one block of each length that holds it. Result: line_id,
+    lowest id. Lines and price rows are shuffled once, by product. Only for products of more
+    than ``CROWDED`` rows, which are counted first, lines collapse to product and day and price rows
+    to product, start and end, and lines look the result up. ``keyed`` is what is counted
+    for ``line``: its product_tmpl_id from a source that is cheaper to read. Result: line_id,
     price; lines without price drop out.
     """
-    key, is_open = "product_tmpl_id", F.col("date_end").isNull()
-    asked = line.select(key, F.col("date").cast("date").alias("day")).filter("day IS NOT NULL").distinct()
-    dated = supplierinfo.filter(F.col("date_start").isNotNull() & (is_open | (F.col("date_end") >= F.col("date_start"))))
-    best = F.max(F.struct((-F.col("id")).alias("rank"), "price"))
-    ranges = dated.groupBy(key, F.col("date_start").alias("day"), "date_end").agg(best.alias("best"))
-    ranges = ranges.select(key, "day", "date_end", F.struct(F.col("day").alias("date_start"), "best.rank", "best.price").alias("found"))
-
-    place = ["day", "found", "date_end"]
-    types = ranges.schema
-    days = asked.withColumns({"date_end": F.lit(None).cast(types["date_end"].dataType), "found": F.lit(None).cast(types["found"].dataType), "__asked": F.lit(1)})
-    both = days.unionByName(ranges.withColumn("__asked", F.lit(0)))
-    upto = Window.partitionBy(key).orderBy("day", "__asked", *place[1:]).rowsBetween(Window.unboundedPreceding, 0)
-    started = F.col("__asked") == 0
+    key = "product_tmpl_id"
+    asked = line.select("line_id", key, F.col("date").cast("date").alias("day")).filter("day IS NOT NULL")
+    dated = supplierinfo.filter(F.col("date_start").isNotNull() & (F.col("date_end").isNull() | (F.col("date_end") >= F.col("date_start"))))
+    ranges = dated.select(key, F.col("date_start").alias("day"), "date_end", (-F.col("id")).alias("rank"), "price")
+    same = asked.select(key).union(ranges.select(key)).schema[key].dataType
+    asked, ranges, counted = (df.filter(F.col(key).isNotNull()).withColumn(key, F.col(key).cast(same)) for df in (asked, ranges, keyed or asked))
+    crowded = _crowded(key, counted.select(key), ranges.select(key))
+    if not crowded:
+        return _priced(asked, ranges).select("line_id", "found.price")
+
+    busy = _bucket(key).isin(crowded)
+    best = F.max(F.struct("rank", "price")).alias("best")
+    fewer = ranges.filter(busy).groupBy(key, "day", "date_end").agg(best).select(key, "day", "date_end", "best.rank", "best.price")
+    known = _priced(asked.filter(busy).select(key, "day").distinct(), fewer)
+    others = _priced(asked.filter(~busy), ranges.filter(~busy))
+    return others.select("line_id", "found.price").union(asked.filter(busy).join(known, [key, "day"]).select("line_id", "found.price"))
+
+
+def _priced(asked: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``asked`` with the price row ``found`` for each row's product and day; rows without one drop out.
+
+    The price row that started last decides a day where it still holds, and no open row
+    before the last open one counts. Other days for which some closed row may still hold look
+    up blocks: from the day a later row starts up to the next open row, a closed row that outlasts
+    the next one becomes the few aligned blocks of days it consists of, about two for each
+    doubling of its length, but for those in which the next one holds; a day
+    looks up the one block of each length that holds it. All of it is done where
+    the shuffle by product put the rows.
+    """
+    key, is_open, started = "product_tmpl_id", F.col("date_end").isNull(), F.col("__asked") == 0
+    own = asked.columns
+    asked, ranges = asked.repartition(key), ranges.repartition(key)
+    found, place = F.struct(F.col("day").alias("date_start"), "rank", "price"), ["rank", "price", "date_end"]
+
+    both = asked.withColumn("__asked", F.lit(1)).unionByName(ranges.withColumn("__asked", F.lit(0)), allowMissingColumns=True)
+    upto = Window.partitionBy(key).orderBy("day", "__asked", *place).rowsBetween(Window.unboundedPreceding, 0)
     seen = both.withColumns(
         {
-            "latest": F.last(F.when(started, F.struct("found", "date_end")), ignorenulls=True).over(upto),
-            "opened": F.last(F.when(started & is_open, F.col("found")), ignorenulls=True).over(upto),
+            "latest": F.last(F.when(started, F.struct("day", "rank", "price", "date_end")), ignorenulls=True).over(upto),
+            "opened": F.last(F.when(started & is_open, found), ignorenulls=True).over(upto),
+            "reach": F.max(F.when(started, F.col("date_end"))).over(upto),
+            "length": F.max(F.when(started, F.date_diff("date_end", "day"))).over(upto),
+            "__row": F.row_number().over(upto),
         }
     ).filter(~started & F.col("latest").isNotNull())
     holds = F.col("latest.date_end").isNull() | (F.col("latest.date_end") >= F.col("day"))
-    seen = seen.select(key, "day", F.when(holds, F.col("latest.found")).otherwise(F.col("opened")).alias("so_far"), holds.alias("holds"))
+    latest = F.struct(F.col("latest.day").alias("date_start"), "latest.rank", "latest.price")
+    seen = seen.withColumns({"found": F.when(holds, latest).otherwise(F.col("opened")), "__seeks": ~holds & (F.col("reach") >= F.col("day"))})
 
-    after = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in place])
+    after = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in ("day", *place)])
     hidden = ranges.withColumns(
         {
             "__first": F.lag("day").over(after),
+            "__next": F.lag("date_end").over(after),
             "__open": F.last(F.when(is_open, F.col("day")), ignorenulls=True).over(after.rowsBetween(Window.unboundedPreceding, -1)),
         }
     )
-    hidden = hidden.filter(~is_open).withColumn("__last", F.least("date_end", F.date_sub("__open", 1))).filter("__first <= __last")
-    closed = in_day_blocks(hidden.select(key, "__first", "__last", "found"), "__first", "__last")
-    closed = closed.groupBy(key, "level", "block").agg(F.max("found").alias("found"))
-    length = dated.agg(F.max(F.date_diff("date_end", "date_start"))).scalar()  # no block is longer
-    levels = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.lit(0), F.coalesce(length, F.lit(0))) + 1)).cast("int"))
+    hidden = hidden.filter(~is_open).withColumn("__last", F.least("date_end", F.date_sub("__open", 1))).filter("__first <= __last AND __next < __last")
+    closed = in_day_blocks(hidden.select(key, "__first", "__last", "__next", found.alias("__closed")), "__first", "__last")
+    closed = closed.filter(f"shiftleft(block + 1, level) > {_day_number('__next')} + 1").select(key, "level", "block", "__closed")
+    looks = seen.filter("__seeks").withColumn("level", F.explode(F.sequence(F.lit(0), F.floor(F.log2(F.col("length") + 1)).cast("int"))))
+    looks = looks.withColumn("block", F.expr(f"shiftright({_day_number('day')}, level)")).select(*own, "__row", "found", "level", "block")
+    met = looks.unionByName(closed, allowMissingColumns=True)
+    met = met.withColumn("__closed", F.max("__closed").over(Window.partitionBy(key, "level", "block"))).filter("__row IS NOT NULL")
+    met = met.groupBy(*own, "__row").agg(F.max("found").alias("found"), F.max("__closed").alias("__closed"))
+    met = met.select(*own, F.greatest("found", "__closed").alias("found"))
     # A day whose price is known looks up no block.
-    looks = seen.withColumn("level", F.explode(F.when(F.col("holds"), F.array(F.lit(-1))).otherwise(levels)))
-    looks = looks.withColumn("block", F.expr(f"shiftright({_day_number('day')}, greatest(level, 0))"))
-    known = looks.join(closed, [key, "level", "block"], "left").groupBy(key, "day").agg(F.max("so_far").alias("so_far"), F.max("found").alias("found"))
-    known = known.select(key, "day", F.greatest("so_far", "found").alias("found"))
-    out = line.select("line_id", key, F.col("date").cast("date").alias("day")).join(known, [key, "day"])
-    return out.filter(F.col("found").isNotNull()).select("line_id", F.col("found.price").alias("price"))
+    return seen.filter("NOT __seeks").select(*own, "found").union(met).filter("found IS NOT NULL")
 
 
 def consignment_lines(line: DataFrame, product: DataFrame, supplierinfo: DataFrame, vendor: DataFrame) -> DataFrame:

@@ -17,13 +17,14 @@ HISTORIC = f"""historic AS (
     QUALIFY row_number() OVER (PARTITION BY l.id ORDER BY s.date_start DESC, s.id) = 1)"""
 
 
-def price_dates(t: Tables):
-    return dated_lines(t).select(F.col("id").alias("line_id"), F.col("product_id").alias("product_tmpl_id"), F.col("date_invoice").alias("date"))
+def past_prices(t: Tables):
+    dates = dated_lines(t).select(F.col("id").alias("line_id"), F.col("product_id").alias("product_tmpl_id"), F.col("date_invoice").alias("date"))
+    return repairs.historic_price(dates, t.supplierinfo, keyed=t.invoice_line.select(F.col("product_id").alias("product_tmpl_id")))
 
 
 @query(f""", {DATED_LINE}, {HISTORIC} SELECT line_id, price FROM historic""")
 def historic_price(t: Tables):
-    return repairs.historic_price(price_dates(t), t.supplierinfo)
+    return past_prices(t)
 
 
 @query("""SELECT id, product_id FROM invoice_line WHERE product_id IN (
@@ -41,8 +42,7 @@ def consignment_lines(t: Tables):
 def consignment_margin(t: Tables):
     line = repairs.consignment_lines(dated_lines(t), t.product, t.supplierinfo, t.vendor)
     mode = costing.business_mode(t.product, t.supplierinfo, t.vendor)
-    past = repairs.historic_price(price_dates(t), t.supplierinfo)
-    return rounded(costing.line_margin(line, mode, t.currency_rate, historic=past).select("id", "product_margin"), "product_margin")
+    return rounded(costing.line_margin(line, mode, t.currency_rate, historic=past_prices(t)).select("id", "product_margin"), "product_margin")
 
 
 @query("""SELECT id, date_start, CASE WHEN date_end < date_start THEN date_start ELSE date_end END AS date_end FROM supplierinfo""")

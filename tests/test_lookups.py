@@ -105,6 +105,63 @@ def test_days_whose_last_price_holds_look_up_no_block(spark, monkeypatch):
     assert {(r.a, r.b) for r in asked[0].collect()} == {(day(40), day(100))}
 
 
+@pytest.mark.parametrize("crowded", [0, 70, 10**6])
+def test_historic_price_of_odd_rows_and_crowded_products(spark, monkeypatch, crowded):
+    monkeypatch.setattr(repairs, "CROWDED", crowded)
+    rng = random.Random(crowded)
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(n)
+    info = []
+    for i in range(400):
+        start = rng.randrange(-20, 300)
+        end = rng.choice([None, FAR, *(day(start + rng.choice([-3, 0, 1, rng.randrange(20), rng.randrange(200)])) for _ in range(10))])
+        product = rng.choice([None, 0, 0, 0, 1, 2, 3, 4, 5])
+        info += [(i, product, rng.choice([None, float(i)]), rng.choice([None] + [day(start)] * 20), end)] * rng.choice([1, 1, 2])
+    lines = [(rng.randrange(300), rng.choice([None, 0, 0, 1, 2, 3, 4, 5, 6]), rng.choice([None] + [day(rng.randrange(-30, 500)) for _ in range(15)])) for _ in range(400)]
+    supplier = spark.createDataFrame(info, "id long, product_tmpl_id long, price double, date_start date, date_end date")
+    line = spark.createDataFrame(lines, "line_id long, product_tmpl_id int, date date")
+    want = []
+    for n, product, at in lines:
+        fit = [(s, -i, p) for i, t, p, s, e in info if product is not None and t == product and at and s and s <= at and (e is None or at <= e)]
+        if fit:
+            want.append((n, max(fit, key=lambda f: f[:2])[2]))
+    order = lambda rows: sorted(rows, key=repr)
+    for keyed in (None, line.select("product_tmpl_id")):
+        assert order((r.line_id, r.price) for r in repairs.historic_price(line, supplier, keyed).collect()) == order(want)
+
+
+def shuffled(df):
+    """Records that the collected ``df`` has shuffled, by exchange."""
+    def walk(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        if kind == "ReusedExchangeExec":
+            return []
+        own = [plan.metrics().apply("shuffleRecordsWritten").value()] if kind == "ShuffleExchangeExec" else []
+        return own + [n for i in range(plan.children().size()) for n in walk(plan.children().apply(i))]
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_historic_price_moves_each_line_and_price_row_once(spark):
+    # Every second price row is hidden by a shorter one that starts inside it, so half the lines look up blocks.
+    n = F.col("id")
+    start = F.date_add(F.lit(dt.date(2000, 1, 1)), (n / 50).cast("int") * 30)
+    supplier = spark.range(2000).select("id", (n % 50).alias("product_tmpl_id"), n.cast("double").alias("price"), start.alias("date_start"), F.date_add(start, F.when(n / 50 % 2 < 1, 80).otherwise(10)).alias("date_end"))
+    line = spark.range(3000).select(n.alias("line_id"), (n % 50).alias("product_tmpl_id"), F.date_add(F.lit(dt.date(2000, 1, 1)), (n / 50).cast("int") * 20).alias("date"))
+    out = repairs.historic_price(line, supplier)
+    rows = {r.line_id: r.price for r in out.collect()}
+    want = {}
+    for i in range(3000):
+        fit = [k for k in range(40) if k * 30 <= i // 50 * 20 <= k * 30 + (10 if k % 2 else 80)]
+        if fit:
+            want[i] = float(max(fit) * 50 + i % 50)
+    assert rows == want
+    assert sum(shuffled(out)) == 5000, shuffled(out)
+
+
 def test_every_row_has_its_place(spark, parts):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 11).alias("day"))
     rows = numbered(df, [F.col("day").desc(), F.col("id").asc()], "n").collect()
