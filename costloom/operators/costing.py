@@ -141,6 +141,15 @@ def loyalty_price(sale: DataFrame, partner: DataFrame) -> DataFrame:
     )
 
 
+def net_price() -> Column:
+    """Net unit price of a line in company currency; reads price_unit, discount and ``__rate_i``."""
+    return exchange(net_unit_price(F.col("price_unit"), F.col("discount")), F.col("__rate_i"), F.lit(1.0))
+
+
+def customer_line() -> Column:
+    return F.col("type").isin(*CUSTOMER_TYPES) & F.col("product_id").isNotNull()
+
+
 def margin_column(agreed: Column | None = None, convert_negative_stock: bool = False) -> Column:
     """The margin rule over a line joined with its product and both current rates.
 
@@ -149,7 +158,6 @@ def margin_column(agreed: Column | None = None, convert_negative_stock: bool = F
     ``__rate_p`` (of the product currency).
     """
     agreed = F.col("today_cost") if agreed is None else agreed
-    price = exchange(net_unit_price(F.col("price_unit"), F.col("discount")), F.col("__rate_i"), F.lit(1.0))
     own = F.col("today_cost")
     if convert_negative_stock:
         own = exchange(own, F.col("__rate_p"), F.lit(1.0))
@@ -159,9 +167,8 @@ def margin_column(agreed: Column | None = None, convert_negative_stock: bool = F
         .when(F.col("virtual_available") >= 0, F.col("standard_price"))
         .otherwise(own)
     )
-    margin = F.when(mode == "undefined", F.lit(MARGIN_UNKNOWN)).otherwise(margin_ratio(price, cost))
-    customer = F.col("type").isin(*CUSTOMER_TYPES) & F.col("product_id").isNotNull()
-    return F.when(customer, margin)
+    margin = F.when(mode == "undefined", F.lit(MARGIN_UNKNOWN)).otherwise(margin_ratio(net_price(), cost))
+    return F.when(customer_line(), margin)
 
 
 def line_margin(
@@ -190,12 +197,15 @@ def line_margin(
         "__rate_p",
     )
     out = with_current_rate(line, rates, "currency", "__rate_i", as_of).join(what, "product_id", "left")
-    agreed = None
+    margin = margin_column(None, convert_negative_stock)
     if historic is not None:
+        # Only the price and rate of lines that ask for it, or the margin of the others, go through the join by line.
+        consigned = customer_line() & (F.coalesce("business_mode", F.lit("standard")) == "consignment")
+        asks = {"__asked": F.when(consigned, net_price()).otherwise(margin), "__rate": F.when(consigned, F.coalesce("__rate_p", F.lit(1.0)))}
         past = historic.select(F.col("line_id").alias("id"), F.col("price").alias("__past"))
-        out = out.join(past, "id", "left")
-        agreed = F.col("__past")
-    margin = margin_column(agreed, convert_negative_stock)
+        out = out.withColumns(asks).join(past, "id", "left")
+        agreed = margin_ratio(F.col("__asked"), exchange(F.col("__past"), F.col("__rate"), F.lit(1.0)))
+        margin = F.when(F.col("__rate").isNotNull(), agreed).otherwise(F.col("__asked"))
     return out.withColumn("product_margin", margin).select(*line.columns, "product_margin")
 
 

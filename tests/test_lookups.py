@@ -129,8 +129,8 @@ def test_historic_price_of_odd_rows_and_crowded_products(spark, monkeypatch, cro
         assert order((r.line_id, r.price) for r in repairs.historic_price(line, supplier, keyed).collect()) == order(want)
 
 
-def shuffled(df):
-    """Records that the collected ``df`` has shuffled, by exchange."""
+def shuffles(df):
+    """Records that the collected ``df`` has shuffled and their columns, by exchange."""
     def walk(plan):
         kind = plan.getClass().getSimpleName()
         if kind == "AdaptiveSparkPlanExec":
@@ -139,7 +139,8 @@ def shuffled(df):
             return walk(plan.plan())
         if kind == "ReusedExchangeExec":
             return []
-        own = [plan.metrics().apply("shuffleRecordsWritten").value()] if kind == "ShuffleExchangeExec" else []
+        columns = {plan.output().apply(i).name() for i in range(plan.output().size())}
+        own = [(plan.metrics().apply("shuffleRecordsWritten").value(), columns)] if kind == "ShuffleExchangeExec" else []
         return own + [n for i in range(plan.children().size()) for n in walk(plan.children().apply(i))]
 
     return walk(df._jdf.queryExecution().executedPlan())
@@ -159,7 +160,38 @@ def test_historic_price_moves_each_line_and_price_row_once(spark):
         if fit:
             want[i] = float(max(fit) * 50 + i % 50)
     assert rows == want
-    assert sum(shuffled(out)) == 5000, shuffled(out)
+    assert sum(n for n, _ in shuffles(out)) == 5000, shuffles(out)
+
+
+def test_margin_at_past_prices_moves_three_columns_by_line(spark):
+    modes = ["consignment", "standard", None, "undefined"]
+    what = [(p, modes[p % 4], 50.0, 0.0 if p == 5 else 40.0, 1.0 if p % 3 else -1.0, "USD" if p % 2 else "ARS") for p in range(12)]
+    product = spark.createDataFrame(what, "id long, business_mode string, standard_price double, today_cost double, virtual_available double, currency string")
+    rates = spark.createDataFrame([("USD", dt.date(2000, 1, 1), 0.5), ("EUR", dt.date(2000, 1, 1), 0.25)], "currency string, date date, rate double")
+    types = ["out_invoice", "out_refund", "in_invoice", None]
+    sold = [(i // 2 if i < 20 else i, i % 13 if i % 31 else None, types[i % 7 % 4], "EUR" if i % 5 else "ARS", 100.0 if i % 11 else 0.0, 10.0) for i in range(200)]
+    line = spark.createDataFrame(sold, "id long, product_id long, type string, currency string, price_unit double, discount double")
+    paid = [(i, None if i % 17 == 0 else float(i % 6)) for i in range(200) if i % 4 < 2]
+    past = spark.createDataFrame([*paid, *paid[:3]], "line_id long, price double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = costing.line_margin(line, product, rates, historic=past).select("id", "product_margin")
+        got = sorted((r.id, repr(r.product_margin)) for r in out.collect())
+        assert {"id", "__asked", "__rate"} in [c for _, c in shuffles(out)], shuffles(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want, of = [], {p: rest for p, *rest in what}
+    for i, p, kind, currency, price, discount in sold:
+        mode, standard, today, stock, at = of.get(p, (None, None, None, None, None))
+        net = price * (1.0 - discount / 100.0) * 1.0 / (0.25 if currency == "EUR" else 1.0)
+        for agreed in [x for n, x in [*paid, *paid[:3]] if n == i] or [None]:
+            cost = today if stock is None or stock < 0 else standard
+            if mode == "consignment":
+                cost = None if agreed is None else agreed / (0.5 if at == "USD" else 1.0)
+            margin = net / cost - 1.0 if net and cost else 1e10
+            want.append((i, repr(None if p is None or kind not in types[:2] else 1e10 if mode == "undefined" else margin)))
+    assert got == sorted(want)
 
 
 def test_every_row_has_its_place(spark, parts):
