@@ -91,34 +91,18 @@ def _priced(asked: DataFrame, ranges: DataFrame) -> DataFrame:
     """``asked`` with the price row ``found`` for each row's product and day; rows without one drop out.
 
     The price row that started last decides a day where it still holds, and no open row
-    before the last open one counts. Other days for which some closed row may still hold look
-    up blocks: from the day a later row starts up to the next open row, a closed row that outlasts
-    the next one becomes the few aligned blocks of days it consists of, about two for each
-    doubling of its length, but for those in which the next one holds; a day
-    looks up the one block of each length that holds it. All of it is done where
-    the shuffle by product put the rows.
+    before the last open one counts. A closed row that outlasts the next one may hold again
+    from the end of that one up to the next open row. On the first and the day after the last of these
+    days blocks are looked up: the days from the next start become the few aligned blocks they
+    consist of, about two for each doubling of their number, and a day asks for the one block
+    of each length that holds it. Between two of the days nothing changes, so other
+    days take the last one's result. All of it is done where the shuffle by product put the rows.
     """
-    key, is_open, started = "product_tmpl_id", F.col("date_end").isNull(), F.col("__asked") == 0
+    key, is_open, place = "product_tmpl_id", F.col("date_end").isNull(), ["day", "rank", "price", "date_end"]
     own = asked.columns
     asked, ranges = asked.repartition(key), ranges.repartition(key)
-    found, place = F.struct(F.col("day").alias("date_start"), "rank", "price"), ["rank", "price", "date_end"]
 
-    both = asked.withColumn("__asked", F.lit(1)).unionByName(ranges.withColumn("__asked", F.lit(0)), allowMissingColumns=True)
-    upto = Window.partitionBy(key).orderBy("day", "__asked", *place).rowsBetween(Window.unboundedPreceding, 0)
-    seen = both.withColumns(
-        {
-            "latest": F.last(F.when(started, F.struct("day", "rank", "price", "date_end")), ignorenulls=True).over(upto),
-            "opened": F.last(F.when(started & is_open, found), ignorenulls=True).over(upto),
-            "reach": F.max(F.when(started, F.col("date_end"))).over(upto),
-            "length": F.max(F.when(started, F.date_diff("date_end", "day"))).over(upto),
-            "__row": F.row_number().over(upto),
-        }
-    ).filter(~started & F.col("latest").isNotNull())
-    holds = F.col("latest.date_end").isNull() | (F.col("latest.date_end") >= F.col("day"))
-    latest = F.struct(F.col("latest.day").alias("date_start"), "latest.rank", "latest.price")
-    seen = seen.withColumns({"found": F.when(holds, latest).otherwise(F.col("opened")), "__seeks": ~holds & (F.col("reach") >= F.col("day"))})
-
-    after = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in ("day", *place)])
+    after = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in place])
     hidden = ranges.withColumns(
         {
             "__first": F.lag("day").over(after),
@@ -126,17 +110,30 @@ def _priced(asked: DataFrame, ranges: DataFrame) -> DataFrame:
             "__open": F.last(F.when(is_open, F.col("day")), ignorenulls=True).over(after.rowsBetween(Window.unboundedPreceding, -1)),
         }
     )
+    # No block where the next row still holds: a row that it covers needs none.
     hidden = hidden.filter(~is_open).withColumn("__last", F.least("date_end", F.date_sub("__open", 1))).filter("__first <= __last AND __next < __last")
-    closed = in_day_blocks(hidden.select(key, "__first", "__last", "__next", found.alias("__closed")), "__first", "__last")
-    closed = closed.filter(f"shiftleft(block + 1, level) > {_day_number('__next')} + 1").select(key, "level", "block", "__closed")
-    looks = seen.filter("__seeks").withColumn("level", F.explode(F.sequence(F.lit(0), F.floor(F.log2(F.col("length") + 1)).cast("int"))))
-    looks = looks.withColumn("block", F.expr(f"shiftright({_day_number('day')}, level)")).select(*own, "__row", "found", "level", "block")
-    met = looks.unionByName(closed, allowMissingColumns=True)
-    met = met.withColumn("__closed", F.max("__closed").over(Window.partitionBy(key, "level", "block"))).filter("__row IS NOT NULL")
-    met = met.groupBy(*own, "__row").agg(F.max("found").alias("found"), F.max("__closed").alias("__closed"))
-    met = met.select(*own, F.greatest("found", "__closed").alias("found"))
-    # A day whose price is known looks up no block.
-    return seen.filter("NOT __seeks").select(*own, "found").union(met).filter("found IS NOT NULL")
+    held = hidden.select(key, "__first", "__last", "__next", F.struct(F.col("day").alias("start"), "rank", "price").alias("held"))
+    blocks = in_day_blocks(held, "__first", "__last").withColumns({"__from": F.expr(f"{_day_number('__next')} + 1"), "__to": F.expr(f"{_day_number('__last')} + 1")})
+    blocks = blocks.filter("shiftleft(block + 1, level) > __from").withColumn("__most", F.max("level").over(Window.partitionBy(key)))
+    # Each block stays, and those that hold the first or end with the last day ask for these days.
+    turns = F.array(F.lit(None), F.when(F.expr("shiftleft(block, level) <= __from"), F.col("__from")), F.when(F.expr("shiftleft(block + 1, level) = __to"), F.col("__to")))
+    looks = blocks.select("*", F.posexplode(turns).alias("__place", "at")).filter("__place = 0 OR at IS NOT NULL")
+    looks = looks.withColumn("__of", F.explode(F.when(F.col("at").isNull(), F.array("level")).otherwise(F.sequence(F.lit(0), F.col("__most")))))
+    looks = looks.select(key, "at", "__of", F.expr("coalesce(shiftright(at, __of), block)").alias("block"), F.when(F.col("at").isNull(), F.col("held")).alias("held"))
+    looks = looks.withColumn("held", F.max("held").over(Window.partitionBy(key, "__of", "block"))).filter("at IS NOT NULL")
+    turned = looks.groupBy(key, "at").agg(F.max("held").alias("held"))
+    turned = turned.select(key, F.expr(f"date_from_unix_date(at - {DAY_ZERO})").alias("day"), "held")
+
+    kinds = [df.withColumn("kind", F.lit(n)) for n, df in enumerate((ranges, turned, asked))]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kinds)
+    upto = Window.partitionBy(key).orderBy("day", "kind", *place[1:]).rowsBetween(Window.unboundedPreceding, 0)
+    last = lambda when, *what: F.last(F.when(when, F.struct(*what)), ignorenulls=True).over(upto)
+    row = F.struct(F.col("day").alias("start"), "rank", "price").alias("row")
+    seen = both.withColumns({"latest": last(F.col("kind") == 0, row, "date_end"), "opened": last((F.col("kind") == 0) & is_open, row), "again": last(F.col("kind") == 1, "held")})
+    # A day whose price is known looks no further.
+    holds = F.col("latest.date_end").isNull() | (F.col("latest.date_end") >= F.col("day"))
+    found = F.when(holds, F.col("latest.row")).otherwise(F.greatest("opened.row", "again.held"))
+    return seen.filter("kind = 2 AND latest IS NOT NULL").select(*own, found.alias("found")).filter("found IS NOT NULL")
 
 
 def consignment_lines(line: DataFrame, product: DataFrame, supplierinfo: DataFrame, vendor: DataFrame) -> DataFrame:
