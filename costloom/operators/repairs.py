@@ -74,7 +74,7 @@ def historic_price(line: DataFrame, supplierinfo: DataFrame, keyed: DataFrame |
     dated = supplierinfo.filter(F.col("date_start").isNotNull() & (F.col("date_end").isNull() | (F.col("date_end") >= F.col("date_start"))))
     ranges = dated.select(key, F.col("date_start").alias("day"), "date_end", (-F.col("id")).alias("rank"), "price")
     same = asked.select(key).union(ranges.select(key)).schema[key].dataType
-    asked, ranges, counted = (df.filter(F.col(key).isNotNull()).withColumn(key, F.col(key).cast(same)) for df in (asked, ranges, keyed or asked))
+    asked, ranges, counted = (df.filter(F.col(key).isNotNull()).withColumn(key, F.col(key).cast(same)) for df in (asked, ranges, asked if keyed is None else keyed))
     crowded = _crowded(key, counted.select(key), ranges.select(key))
     if not crowded:
         return _priced(asked, ranges).select("line_id", "found.price")
